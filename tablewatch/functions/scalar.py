@@ -61,7 +61,7 @@ def iso_text(ts: Column | str) -> Column:
 
 def seconds_between(start: Column | str, end: Column | str) -> Column:
     """``(end - start).total_seconds()`` as a double (microsecond exact, NTZ or LTZ)."""
-    return F.timestampdiff("MICROSECOND", _c(start), _c(end)) / F.lit(1_000_000.0)
+    return F.timestamp_diff("MICROSECOND", _c(start), _c(end)) / F.lit(1_000_000.0)
 
 
 def humanize_seconds(seconds: Column | str) -> Column:

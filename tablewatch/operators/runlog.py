@@ -45,7 +45,7 @@ def current_runs(events: DataFrame) -> DataFrame:
         F.min(F.when(F.col("status") == RUNNING, F.col("event_time"))).alias("started_at"),
         F.max(term).alias("fin"),
     )
-    us = F.timestampdiff("MICROSECOND", F.col("started_at"), F.col("fin.t"))
+    us = F.timestamp_diff("MICROSECOND", F.col("started_at"), F.col("fin.t"))
     hundredths = F.floor((us + F.lit(5000)) / F.lit(10000)).cast("decimal(18,0)")
     return g.select(
         "run_id", "job_name", "started_at",

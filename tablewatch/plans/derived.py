@@ -106,7 +106,7 @@ def fx_results(events: DataFrame) -> DataFrame:
         F.when(eid % 5 == 0, F.concat(F.lit("c"), (eid % 3).cast("string"))).alias("column_name"),
         F.when(eid % 11 == 0, F.lit("fail")).when(eid % 11 == 1, F.lit("warn")).otherwise(F.lit("pass")).alias("status"),
         F.concat(F.lit("k="), F.get_json_object(F.col("props"), "$.k")).alias("detail"),
-        F.date_trunc("hour", F.col("ts")).alias("checked_at"),
+        F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("checked_at"),
     )
 
 

@@ -269,3 +269,411 @@ UNION ALL SELECT direction, '*', CAST(sum(row_count) AS BIGINT) FROM per GROUP B
 def q_run_metrics(spark, sf):
     st = staged(spark, sf)
     return WH.run_metrics(st, WH.warehouse_tables(st))
+
+
+# =========================================================================================
+# Checks: nulls, duplicates, referential integrity, schema drift, freshness, suite
+# =========================================================================================
+
+from tablewatch.operators import checks as CK  # noqa: E402
+from tablewatch.operators import drift as DR  # noqa: E402
+from tablewatch.operators import freshness as FR  # noqa: E402
+from tablewatch.operators.latency import detection_latency  # noqa: E402
+from tablewatch.operators.runlog import current_runs  # noqa: E402
+from tablewatch.plans import suite as SU  # noqa: E402
+from tablewatch.sources.rules import ForeignKey, Rules, TableRule  # noqa: E402
+
+NULL_THR, DUP_THR, STALE_H = 1.0, 0.5, 24
+
+# Column types of the benchmark tables as Spark names them (for drift texts in SQL).
+TABLE_SCHEMAS = {
+    "lineitem": [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"),
+                 ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double"),
+                 ("l_returnflag", "string"), ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz")],
+    "orders": [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
+               ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")],
+    "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"),
+                 ("c_mktsegment", "string")],
+    "part": [("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string"), ("p_type", "string"), ("p_size", "int"),
+             ("p_retailprice", "double")],
+    "supplier": [("s_suppkey", "bigint"), ("s_name", "string"), ("s_nationkey", "int"), ("s_acctbal", "double")],
+    "events": [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"), ("event_type", "string"),
+               ("value", "double"), ("props", "string")],
+    "labels": [("doc_id", "bigint"), ("quality", "int"), ("toxic", "int")],
+}
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _fixed_sql(x: str, d: int) -> str:
+    return f"printf('%.{d}f', {x})"
+
+
+def _iso_sql(x: str) -> str:
+    return (f"CASE WHEN {x} IS NULL THEN NULL WHEN strftime({x}, '%f') = '000000' THEN strftime({x}, '%Y-%m-%dT%H:%M:%S') "
+            f"ELSE strftime({x}, '%Y-%m-%dT%H:%M:%S.%f') END")
+
+
+def sql_table_checks(label: str, src: str, present: list[str], null_cols, keys, null_thr=NULL_THR, dup_thr=DUP_THR) -> str:
+    """DuckDB rows (table_name, check_type, column_name, status, measured, threshold, detail)."""
+    have = [c for c in null_cols if c in present]
+    keys_ok = bool(keys) and all(k in present for k in keys)
+    aggs = ["count(*) AS _total"] + [f"count_if({c} IS NULL) AS _null{i}" for i, c in enumerate(have)]
+    if keys_ok:
+        aggs.append(f"(SELECT count(*) FROM (SELECT DISTINCT {', '.join(keys)} FROM {src})) AS _distinct")
+    prof = f"(SELECT {', '.join(aggs)} FROM {src})"
+    parts = []
+    for c in null_cols:
+        if c not in present:
+            parts.append(f"SELECT {_q(label)} AS table_name, 'null_check' AS check_type, {_q(c)} AS column_name, 'fail' AS status, "
+                         f"CAST(NULL AS DOUBLE) AS measured, CAST(NULL AS DOUBLE) AS threshold, "
+                         f"{_q(f'column {chr(39)}{c}{chr(39)} not found in table (schema drift?)')} AS detail")
+            continue
+        n = f"_null{have.index(c)}"
+        rate = f"(CASE WHEN _total > 0 THEN {n} / _total * CAST(100.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END)"
+        parts.append(
+            f"SELECT {_q(label)} AS table_name, 'null_check' AS check_type, {_q(c)} AS column_name, "
+            f"CASE WHEN {rate} > {float(null_thr)} THEN 'fail' ELSE 'pass' END AS status, "
+            f"{rate} AS measured, CAST({float(null_thr)} AS DOUBLE) AS threshold, 'null_rate=' || {_fixed_sql(rate, 2)} || "
+            f"'%, threshold={null_thr}%, null_count=' || CAST({n} AS VARCHAR) || ', total_rows=' || CAST(_total AS VARCHAR) "
+            f"AS detail FROM {prof}")
+    if keys:
+        kt = ",".join(keys)
+        if keys_ok:
+            dup = "(_total - _distinct)"
+            rate = f"(CASE WHEN _total > 0 THEN {dup} / _total * CAST(100.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END)"
+            parts.append(
+                f"SELECT {_q(label)} AS table_name, 'duplicate_check' AS check_type, {_q(kt)} AS column_name, "
+                f"CASE WHEN {rate} > {float(dup_thr)} THEN 'fail' ELSE 'pass' END AS status, "
+                f"{rate} AS measured, CAST({float(dup_thr)} AS DOUBLE) AS threshold, 'duplicate_rate=' || {_fixed_sql(rate, 2)} || "
+                f"'%, threshold={dup_thr}%, duplicate_count=' || CAST({dup} AS VARCHAR) || ', total_rows=' || CAST(_total AS VARCHAR) "
+                f"AS detail FROM {prof}")
+    return "\nUNION ALL ".join(parts)
+
+
+def sql_ri(label: str, child: str, fk: str, parent: str, pk: str, cast_text: bool = False) -> str:
+    ck, pkx = (f"CAST({fk} AS VARCHAR)", f"CAST({pk} AS VARCHAR)") if cast_text else (fk, pk)
+    return (
+        f"SELECT {_q(label)} AS table_name, 'referential_integrity' AS check_type, {_q(fk)} AS column_name, "
+        f"CASE WHEN n > 0 THEN 'fail' ELSE 'pass' END AS status, CAST(n AS DOUBLE) AS measured, CAST(0.0 AS DOUBLE) AS threshold, "
+        f"'orphan_key_count=' || CAST(n AS VARCHAR) || {_q(f' (distinct {chr(39)}{fk}{chr(39)} values with no matching {chr(39)}{pk}{chr(39)} in parent table)')} AS detail "
+        f"FROM (SELECT count(*) AS n FROM (SELECT DISTINCT {ck} AS k FROM {child} WHERE {fk} IS NOT NULL) c "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE {pkx} = c.k))")
+
+
+FX_FAULT_SQL = """fx_lineitem AS (
+  SELECT * REPLACE (CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_partkey END AS l_partkey,
+                    CASE WHEN l_orderkey % 500 = 0 THEN NULL ELSE l_tax END AS l_tax) FROM lineitem),
+active_customer AS (SELECT * FROM customer WHERE c_custkey % 11 <> 0)"""
+
+LINEITEM_NULLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_tax", "no_such_column"]
+LINEITEM_COLS = [c for c, _ in TABLE_SCHEMAS["lineitem"]]
+
+
+@register("null_check", f"WITH {FX_FAULT_SQL}\n" + sql_table_checks("lineitem", "fx_lineitem", LINEITEM_COLS, LINEITEM_NULLS, []))
+def q_null_check(spark, sf):
+    li = D.fx_fault_lineitem(T(spark, sf, "lineitem"))
+    return CK.check_nulls(li, LINEITEM_NULLS, NULL_THR).select(F.lit("lineitem").alias("table_name"), "*")
+
+
+@register("duplicate_check", sql_table_checks("lineitem", "lineitem", LINEITEM_COLS, [], ["l_orderkey", "l_linenumber"])
+          + "\nUNION ALL " + sql_table_checks("orders", "orders", ["o_orderkey"], [], ["o_orderkey"]))
+def q_duplicate_check(spark, sf):
+    a = CK.check_duplicates(T(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], DUP_THR).select(
+        F.lit("lineitem").alias("table_name"), "*")
+    b = CK.check_duplicates(T(spark, sf, "orders"), ["o_orderkey"], DUP_THR).select(F.lit("orders").alias("table_name"), "*")
+    return a.unionByName(b)
+
+
+RI_CASES = [  # (child label, child relation, fk, parent relation, pk)
+    ("lineitem", "fx_lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ("lineitem", "fx_lineitem", "l_partkey", "part", "p_partkey"),
+    ("lineitem", "fx_lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ("orders", "orders", "o_custkey", "active_customer", "c_custkey"),
+    ("events", "events", "user_id", "customer", "c_custkey"),
+    ("labels", "labels", "doc_id", "documents", "doc_id"),
+]
+
+
+@register("referential_integrity", f"WITH {FX_FAULT_SQL}\n" + "\nUNION ALL ".join(sql_ri(*c) for c in RI_CASES))
+def q_referential_integrity(spark, sf):
+    rel = {
+        "fx_lineitem": D.fx_fault_lineitem(T(spark, sf, "lineitem")),
+        "active_customer": D.fx_active_customers(T(spark, sf, "customer")),
+    }
+    get = lambda n: rel[n] if n in rel else T(spark, sf, n)
+    out = None
+    for label, child, fk, parent, pk in RI_CASES:
+        r = CK.check_referential_integrity(get(child), fk, get(parent), pk).select(F.lit(label).alias("table_name"), "*")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("schema_snapshot", "SELECT * FROM (VALUES " + ", ".join(
+    f"({_q(t)}, {i}, {_q(c)}, {_q(ty)})" for t in ("orders", "lineitem") for i, (c, ty) in enumerate(TABLE_SCHEMAS[t])
+) + ") AS s(table_name, position, column_name, data_type)")
+def q_schema_snapshot(spark, sf):
+    return DR.schema_snapshot(spark, {"orders": T(spark, sf, "orders"), "lineitem": T(spark, sf, "lineitem")})
+
+
+# Schema-drift cases derived from part: table tbl_<p>, case p % 6 (0 first snapshot, 1 same,
+# 2 column removed, 3 type changed, 4 column added, 5 removed + added).
+_BASE = [("id", "bigint"), ("name", "string"), ("size", "int"), ("price", "double")]
+_DRIFT_CUR = {
+    0: _BASE, 1: _BASE, 2: [c for c in _BASE if c[0] != "size"],
+    3: [(c, "bigint" if c == "size" else t) for c, t in _BASE],
+    4: _BASE + [("brand", "string")], 5: [c for c in _BASE if c[0] != "price"] + [("brand", "string")],
+}
+
+
+def _drift_snapshots(part: DataFrame, which: str) -> DataFrame:
+    p = F.col("p_partkey")
+    k = (p % 6).cast("int")
+    tbl = F.concat(F.lit("tbl_"), p.cast("string"))
+    if which == "prev":
+        arr = F.when(k != 0, F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("data_type")) for c, t in _BASE]))
+    else:
+        arr = F.element_at(F.array(*[F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("data_type"))
+                                                for c, t in _DRIFT_CUR[i]]) for i in range(6)]), k + 1)
+    return part.select(tbl.alias("table_name"), F.explode(arr).alias("e")).select("table_name", "e.column_name", "e.data_type")
+
+
+def _drift_expected_sql() -> str:
+    import json
+    rows = []
+    for k, cur in _DRIFT_CUR.items():
+        js = json.dumps(dict(cur), sort_keys=True)
+        prev, now = dict(_BASE), dict(cur)
+        removed = sorted(set(prev) - set(now))
+        added = sorted(set(now) - set(prev))
+        changed = {c: (prev[c], now[c]) for c in sorted(set(prev) & set(now)) if prev[c] != now[c]}
+        if k == 0:
+            status, detail, n = "pass", f"no prior snapshot -- recording baseline: {js}", 0
+        else:
+            issues, status = [], "pass"
+            if removed:
+                issues.append(f"removed columns: {removed}")
+                status = "fail"
+            if changed:
+                issues.append(f"type changes: {changed}")
+                status = "fail"
+            if added:
+                issues.append(f"added columns: {added}")
+                status = "warn" if status == "pass" else status
+            detail = ("; ".join(issues) if issues else "no schema changes detected") + f" | current_schema: {js}"
+            n = len(removed) + len(added) + len(changed)
+        rows.append(f"({k}, {_q(status)}, {float(n)}, {_q(detail)}, {_q(js)})")
+    return ("WITH exp(k, status, measured, detail, current_schema) AS (VALUES " + ", ".join(rows) + ")\n"
+            "SELECT 'tbl_' || CAST(p_partkey AS VARCHAR) AS table_name, 'schema_drift' AS check_type, "
+            "CAST(NULL AS VARCHAR) AS column_name, status, CAST(measured AS DOUBLE) AS measured, "
+            "CAST(NULL AS DOUBLE) AS threshold, detail, current_schema FROM part JOIN exp ON exp.k = p_partkey % 6")
+
+
+@register("schema_drift", _drift_expected_sql())
+def q_schema_drift(spark, sf):
+    part = T(spark, sf, "part")
+    return DR.check_schema_drift(_drift_snapshots(part, "cur"), _drift_snapshots(part, "prev"))
+
+
+FX_RESULTS_SQL = """fx_results AS (
+  SELECT event_id AS check_result_id, CAST(floor(event_id / 50) AS BIGINT) AS run_id,
+         'tbl_' || CAST(user_id AS VARCHAR) AS table_name,
+         CASE event_id % 5 WHEN 0 THEN 'null_check' WHEN 1 THEN 'duplicate_check' WHEN 2 THEN 'referential_integrity'
+                           WHEN 3 THEN 'schema_drift' ELSE 'freshness' END AS check_type,
+         CASE WHEN event_id % 5 = 0 THEN 'c' || CAST(event_id % 3 AS VARCHAR) END AS column_name,
+         CASE WHEN event_id % 11 = 0 THEN 'fail' WHEN event_id % 11 = 1 THEN 'warn' ELSE 'pass' END AS status,
+         'k=' || json_extract_string(props, '$.k') AS detail,
+         date_trunc('hour', ts) AS checked_at
+  FROM events)"""
+
+FX_RUNS_SQL = """fx_runs AS (
+  SELECT event_id AS run_id, 'job_' || CAST(user_id AS VARCHAR) AS job_name, ts - INTERVAL 20 SECOND AS started_at,
+         CASE WHEN event_id % 97 = 1 THEN NULL ELSE ts END AS finished_at,
+         CASE WHEN event_id % 97 = 1 THEN 'running' WHEN event_id % 10 = 0 THEN 'failed' ELSE 'success' END AS status,
+         CASE WHEN event_id % 97 = 1 THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS rows_read,
+         CASE WHEN event_id % 97 <> 1 AND event_id % 10 <> 0 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS rows_written,
+         CASE WHEN event_id % 97 = 1 THEN NULL ELSE CAST(20 AS DECIMAL(10,2)) END AS duration_seconds,
+         CASE WHEN event_id % 97 <> 1 AND event_id % 10 = 0 THEN 'injected failure' END AS error_message
+  FROM events)"""
+
+FX_JOBS_SQL = """fx_jobs AS (
+  SELECT 'job_' || CAST(c_custkey AS VARCHAR) AS job_name, 'src_' || CAST(c_custkey AS VARCHAR) AS source_table,
+         'tbl_' || CAST(c_custkey AS VARCHAR) AS target_table, 'auto_parsed' AS source_type,
+         TIMESTAMP '2024-01-01 00:00:00' AS detected_at
+  FROM customer WHERE c_custkey % 7 <> 3)"""
+
+
+def sql_producing_job(edges: str) -> str:
+    return (f"(SELECT target_table AS table_name, job_name FROM {edges} QUALIFY row_number() OVER "
+            f"(PARTITION BY target_table ORDER BY detected_at DESC NULLS LAST, job_name) = 1)")
+
+
+def sql_freshness(tables: str, edges: str, runs: str, as_of: str, thr=STALE_H) -> str:
+    now = f"TIMESTAMP '{as_of}'"
+    hours = f"(CAST(date_diff('microsecond', w.last_written_at, {now}) AS DOUBLE) / CAST(1000000.0 AS DOUBLE) / CAST(3600.0 AS DOUBLE))"
+    return (
+        f"SELECT t.table_name, j.job_name, w.last_written_at, 'freshness' AS check_type, CAST(NULL AS VARCHAR) AS column_name, "
+        f"CASE WHEN w.last_written_at IS NULL THEN 'fail' WHEN {hours} > {float(thr)} THEN 'fail' ELSE 'pass' END AS status, "
+        f"{hours} AS measured, CAST({float(thr)} AS DOUBLE) AS threshold, "
+        f"CASE WHEN w.last_written_at IS NULL THEN {_q(FR.NO_WRITE_DETAIL)} ELSE 'last_written=' || {_iso_sql('w.last_written_at')} "
+        f"|| ', staleness=' || {_fixed_sql(hours, 2)} || 'h, threshold={thr}h' END AS detail "
+        f"FROM {tables} t LEFT JOIN {sql_producing_job(edges)} j ON j.table_name = t.table_name "
+        f"LEFT JOIN (SELECT job_name, max(finished_at) AS last_written_at FROM {runs} "
+        f"WHERE status = 'success' AND finished_at IS NOT NULL GROUP BY job_name) w ON w.job_name = j.job_name")
+
+
+@register("freshness", f"WITH {FX_RUNS_SQL}, {FX_JOBS_SQL}, tbls AS (SELECT 'tbl_' || CAST(c_custkey AS VARCHAR) AS table_name FROM customer)\n"
+          + sql_freshness("tbls", "fx_jobs", "fx_runs", D.AS_OF))
+def q_freshness(spark, sf):
+    customer, events = T(spark, sf, "customer"), T(spark, sf, "events")
+    return FR.check_freshness(D.fx_checked_tables(customer), D.fx_job_edges(customer), D.fx_runs(events), STALE_H, D.AS_OF)
+
+
+@register("producing_job", f"WITH {FX_JOBS_SQL}\nSELECT * FROM {sql_producing_job('fx_jobs')}")
+def q_producing_job(spark, sf):
+    return FR.producing_job(D.fx_job_edges(T(spark, sf, "customer")))
+
+
+# --- the suite -------------------------------------------------------------------------------------
+
+SUITE_JOBS = {"lineitem": "job_1", "orders": "job_2", "customer": "job_3", "part": "job_4", "supplier": "job_5"}
+SUITE_RULES = Rules(tables=(
+    TableRule("lineitem", ("l_orderkey", "l_linenumber"), tuple(LINEITEM_NULLS), True,
+              (ForeignKey("l_orderkey", "orders", "o_orderkey"), ForeignKey("l_partkey", "part", "p_partkey"),
+               ForeignKey("l_suppkey", "supplier", "s_suppkey"))),
+    TableRule("orders", ("o_orderkey",), ("o_orderkey", "o_custkey", "o_orderstatus"), True,
+              (ForeignKey("o_custkey", "active_customer", "c_custkey"),)),
+    TableRule("customer", ("c_custkey",), ("c_custkey", "c_name", "c_mktsegment"), True),
+    TableRule("part", ("p_partkey",), ("p_partkey", "p_name", "p_brand"), True),
+    TableRule("supplier", ("s_suppkey",), ("s_suppkey",), True),
+    TableRule("events", ("event_id",), ("event_id", "ts", "user_id"), False,
+              (ForeignKey("user_id", "all_customer", "c_custkey"),)),
+    TableRule("labels", ("doc_id",), ("doc_id", "quality"), False, (ForeignKey("doc_id", "documents", "doc_id"),)),
+))
+SUITE_RUN_ID = 1
+
+
+def suite_inputs(spark, sf):
+    customer = T(spark, sf, "customer")
+    tables = {
+        "lineitem": D.fx_fault_lineitem(T(spark, sf, "lineitem")),
+        "orders": T(spark, sf, "orders"),
+        "customer": customer.drop("c_mktsegment"),
+        "part": T(spark, sf, "part"),
+        "supplier": T(spark, sf, "supplier"),
+        "events": T(spark, sf, "events"),
+        "labels": T(spark, sf, "labels"),
+        "active_customer": D.fx_active_customers(customer),
+        "all_customer": customer,
+        "documents": T(spark, sf, "documents"),
+    }
+    previous = DR.schema_snapshot(spark, {n: T(spark, sf, n) for n in
+                                          ("lineitem", "orders", "customer", "part", "supplier", "events", "labels")})
+    edges = spark.createDataFrame([(j, t) for t, j in SUITE_JOBS.items()], "job_name string, target_table string").withColumn(
+        "detected_at", F.lit(D.JOBS_AT).cast("timestamp_ntz"))
+    return tables, previous.select("table_name", "column_name", "data_type"), edges, D.fx_runs(T(spark, sf, "events"))
+
+
+def _suite_sql() -> str:
+    import json
+    rels = {"lineitem": "fx_lineitem", "customer": "customer_nomkt", "active_customer": "active_customer",
+            "all_customer": "customer"}
+    current = {t: list(cols) for t, cols in TABLE_SCHEMAS.items()}
+    current["customer"] = [c for c in current["customer"] if c[0] != "c_mktsegment"]
+    parts = []
+    for r in SUITE_RULES.tables:
+        src = rels.get(r.name, r.name)
+        cols = [c for c, _ in current[r.name]]
+        parts.append(sql_table_checks(r.name, src, cols, list(r.null_check_columns), list(r.key_columns)))
+        for fk in r.referential_integrity:
+            parts.append(sql_ri(r.name, src, fk.column, rels.get(fk.parent_table, fk.parent_table), fk.parent_column))
+    for r in SUITE_RULES.tables:
+        prev, now = dict(TABLE_SCHEMAS[r.name]), dict(current[r.name])
+        js = json.dumps(now, sort_keys=True)
+        removed = sorted(set(prev) - set(now))
+        status = "fail" if removed else "pass"
+        body = f"removed columns: {removed}" if removed else "no schema changes detected"
+        parts.append(f"SELECT {_q(r.name)}, 'schema_drift', CAST(NULL AS VARCHAR), {_q(status)}, CAST({float(len(removed))} AS DOUBLE), "
+                     f"CAST(NULL AS DOUBLE), {_q(body + ' | current_schema: ' + js)}")
+    fresh_tables = " UNION ALL ".join(f"SELECT {_q(t)} AS table_name" for t in
+                                      [r.name for r in SUITE_RULES.tables if r.freshness_check])
+    jobs = " UNION ALL ".join(f"SELECT {_q(j)} AS job_name, {_q(t)} AS target_table, TIMESTAMP '{D.JOBS_AT}' AS detected_at"
+                              for t, j in SUITE_JOBS.items())
+    fresh = sql_freshness("suite_fresh", "suite_jobs", "fx_runs", D.AS_OF)
+    parts.append(f"SELECT table_name, check_type, column_name, status, measured, threshold, detail FROM ({fresh})")
+    union = "\nUNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
+    return (f"WITH {FX_FAULT_SQL}, {FX_RUNS_SQL}, customer_nomkt AS (SELECT * EXCLUDE (c_mktsegment) FROM customer),\n"
+            f"suite_fresh AS ({fresh_tables}), suite_jobs AS ({jobs}),\n"
+            f"res AS (SELECT CAST({SUITE_RUN_ID} AS BIGINT) AS run_id, u.*, TIMESTAMP '{D.AS_OF}' AS checked_at FROM (\n{union}) "
+            f"AS u(table_name, check_type, column_name, status, measured, threshold, detail))\n")
+
+
+@register("dq_suite", _suite_sql() + "SELECT * FROM res")
+def q_dq_suite(spark, sf):
+    tables, previous, edges, runs = suite_inputs(spark, sf)
+    return SU.run_suite(spark, tables, SUITE_RULES, SUITE_RUN_ID, D.AS_OF, previous, edges, runs)
+
+
+@register("dq_suite_totals", _suite_sql() + """SELECT run_id, count(*) AS checks_run, count_if(status = 'fail') AS checks_failed,
+  count_if(status = 'warn') AS checks_warned, count(*) AS rows_read, count(*) AS rows_written FROM res GROUP BY run_id""")
+def q_dq_suite_totals(spark, sf):
+    return SU.suite_totals(q_dq_suite(spark, sf))
+
+
+# --- latency, run log, snapshots ------------------------------------------------------------------
+
+@register("detection_latency", f"""WITH {FX_RESULTS_SQL}, {FX_RUNS_SQL}, {FX_JOBS_SQL},
+c AS (SELECT check_result_id, table_name, check_type, column_name, checked_at FROM fx_results WHERE status = 'fail'),
+j AS (SELECT c.*, pj.job_name FROM c LEFT JOIN {sql_producing_job('fx_jobs')} pj ON pj.table_name = c.table_name),
+a AS (SELECT j.*, (SELECT max(r.finished_at) FROM fx_runs r WHERE r.job_name = j.job_name AND r.status = 'success'
+                   AND r.finished_at <= j.checked_at) AS last_written_at FROM j),
+s AS (SELECT a.*, CAST(date_diff('microsecond', last_written_at, checked_at) AS DOUBLE) / CAST(1000000.0 AS DOUBLE) AS latency_seconds FROM a)
+SELECT *, CASE WHEN latency_seconds IS NULL THEN 'unknown -- no prior successful write found for this table'
+  WHEN latency_seconds < 60 THEN printf('%.0f', latency_seconds) || ' seconds'
+  WHEN latency_seconds < 3600 THEN printf('%.1f', latency_seconds / 60) || ' minutes'
+  ELSE printf('%.2f', latency_seconds / 3600) || ' hours' END AS latency_human FROM s""")
+def q_detection_latency(spark, sf):
+    events, customer = T(spark, sf, "events"), T(spark, sf, "customer")
+    fails = D.fx_results(events).where(F.col("status") == "fail").select(
+        "check_result_id", "table_name", "check_type", "column_name", "checked_at")
+    return detection_latency(fails, D.fx_job_edges(customer), D.fx_runs(events))
+
+
+FX_RUN_EVENTS_SQL = """ev AS (
+  SELECT event_id AS run_id, 'job_' || CAST(user_id AS VARCHAR) AS job_name, ts - INTERVAL 20 SECOND AS event_time,
+         'running' AS status, CAST(NULL AS BIGINT) AS rows_read, CAST(NULL AS BIGINT) AS rows_written,
+         CAST(NULL AS VARCHAR) AS error_message FROM events
+  UNION ALL
+  SELECT event_id, 'job_' || CAST(user_id AS VARCHAR), ts, CASE WHEN event_id % 10 = 0 THEN 'failed' ELSE 'success' END,
+         CAST(json_extract_string(props, '$.k') AS BIGINT),
+         CASE WHEN event_id % 10 <> 0 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END,
+         CASE WHEN event_id % 10 = 0 THEN 'injected failure' END
+  FROM events WHERE event_id % 97 <> 1)"""
+
+
+@register("run_log_current", f"""WITH {FX_RUN_EVENTS_SQL},
+st AS (SELECT run_id, max(job_name) AS job_name, min(CASE WHEN status = 'running' THEN event_time END) AS started_at
+       FROM ev GROUP BY run_id),
+fin AS (SELECT * FROM ev WHERE status <> 'running' QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY event_time DESC) = 1)
+SELECT st.run_id, st.job_name, st.started_at, fin.event_time AS finished_at, coalesce(fin.status, 'running') AS status,
+       fin.rows_read, fin.rows_written,
+       CAST(CAST(floor((date_diff('microsecond', st.started_at, fin.event_time) + 5000) / 10000) AS DECIMAL(18,0)) / 100
+            AS DECIMAL(10,2)) AS duration_seconds, fin.error_message
+FROM st LEFT JOIN fin ON fin.run_id = st.run_id""")
+def q_run_log_current(spark, sf):
+    return current_runs(D.fx_run_events(T(spark, sf, "events")))
+
+
+@register("last_snapshot", f"""WITH {FX_RESULTS_SQL},
+r AS (SELECT * REPLACE (CASE WHEN check_type = 'schema_drift' THEN
+        CASE WHEN check_result_id % 2 = 0 THEN 'no prior snapshot -- recording baseline: ' ELSE 'added columns: [''k''] | current_schema: ' END
+        || '{{"k": "' || regexp_replace(detail, '^k=', '') || '", "user": "bigint"}}' ELSE detail END AS detail) FROM fx_results),
+l AS (SELECT * FROM r WHERE check_type = 'schema_drift'
+      QUALIFY row_number() OVER (PARTITION BY table_name ORDER BY checked_at DESC, check_result_id DESC) = 1),
+j AS (SELECT table_name, CASE WHEN instr(detail, 'current_schema: ') > 0 THEN substr(detail, instr(detail, 'current_schema: ') + 16)
+        WHEN instr(detail, 'recording baseline: ') > 0 THEN substr(detail, instr(detail, 'recording baseline: ') + 20) END AS js FROM l)
+SELECT table_name, e.key AS column_name, e.value ->> '$' AS data_type FROM j, json_each(j.js) e""")
+def q_last_snapshot(spark, sf):
+    return DR.last_snapshot(D.fx_drift_results(T(spark, sf, "events")))
