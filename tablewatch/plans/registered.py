@@ -677,3 +677,329 @@ j AS (SELECT table_name, CASE WHEN instr(detail, 'current_schema: ') > 0 THEN su
 SELECT table_name, e.key AS column_name, e.value ->> '$' AS data_type FROM j, json_each(j.js) e""")
 def q_last_snapshot(spark, sf):
     return DR.last_snapshot(D.fx_drift_results(T(spark, sf, "events")))
+
+
+# =========================================================================================
+# Lineage: edges, graph closure, blast radius, extraction
+# =========================================================================================
+
+from tablewatch.operators import edges as ED  # noqa: E402
+from tablewatch.operators import graph as GR  # noqa: E402
+from tablewatch.operators.asof import asof_backward  # noqa: E402
+from tablewatch.operators.digest import failure_digest  # noqa: E402
+from tablewatch.operators.extract import extract_lineage, lineage_edges, unresolved_cases  # noqa: E402
+from tablewatch.operators.faults import break_foreign_key, drop_column, stale_as_of  # noqa: E402
+from tablewatch.operators.latest import dedupe_latest  # noqa: E402
+from tablewatch.plans import reports as RP  # noqa: E402
+
+
+def _fx_edges_sql(name: str, where: str, at: str, type_expr: str = "'auto_parsed'") -> str:
+    sel = ("SELECT 'job_' || CAST(p_partkey AS VARCHAR) AS job_name, 'tbl_' || CAST(p_partkey // {d} AS VARCHAR) AS source_table, "
+           "'tbl_' || CAST(p_partkey AS VARCHAR) AS target_table, {t} AS source_type, TIMESTAMP '{at}' AS detected_at "
+           "FROM part WHERE p_partkey > 0 AND ({w}){extra}")
+    return (f"{name} AS (SELECT * FROM ({sel.format(d=3, t=type_expr, at=at, w=where, extra='')} UNION "
+            f"{sel.format(d=2, t=type_expr, at=at, w=where, extra=' AND p_partkey % 5 = 0')}) WHERE source_table <> target_table)")
+
+
+FX_EDGES_SQL = _fx_edges_sql("fx_edges", "true", D.EDGES_AT)
+FX_OVERRIDES_SQL = """fx_overrides AS (
+  SELECT 'job_' || CAST(p_partkey AS VARCHAR) AS job_name, 'tbl_' || CAST(p_partkey // 3 AS VARCHAR) AS source_table,
+         'tbl_' || CAST(p_partkey AS VARCHAR) AS target_table, 'manual_override' AS source_type, TIMESTAMP '2024-01-03 00:00:00' AS detected_at
+  FROM part WHERE p_partkey > 0 AND p_partkey % 50 = 0
+  UNION ALL SELECT 'job_' || CAST(p_partkey AS VARCHAR), 'tbl_' || CAST(p_partkey // 2 AS VARCHAR), 'tbl_' || CAST(p_partkey AS VARCHAR),
+         'manual_override', TIMESTAMP '2024-01-03 00:00:00' FROM part WHERE p_partkey > 0 AND p_partkey % 50 = 0
+  UNION ALL SELECT 'job_' || CAST(p_partkey + 1 AS VARCHAR), 'tbl_' || CAST(p_partkey AS VARCHAR), 'tbl_' || CAST(p_partkey + 1 AS VARCHAR),
+         'manual_override', TIMESTAMP '2024-01-03 00:00:00' FROM part WHERE p_partkey > 0 AND p_partkey % 50 = 0)"""
+GRAPH_SQL = f"""{FX_EDGES_SQL}, {FX_OVERRIDES_SQL},
+g AS (SELECT source_table, target_table, job_name, source_type, detected_at FROM (
+        SELECT job_name, source_table, target_table, detected_at, 'auto_parsed' AS source_type FROM fx_edges
+        UNION ALL SELECT job_name, source_table, target_table, detected_at, 'manual_override' FROM fx_overrides)
+      QUALIFY row_number() OVER (PARTITION BY source_table, target_table ORDER BY
+        CASE WHEN source_type = 'manual_override' THEN 1 ELSE 0 END DESC, detected_at DESC NULLS LAST, job_name) = 1)"""
+CLOSURE_SQL = """down(root, node, depth) AS (
+  SELECT source_table, target_table, 1 FROM g WHERE source_table <> target_table
+  UNION SELECT d.root, g.target_table, d.depth + 1 FROM down d JOIN g ON g.source_table = d.node WHERE d.depth < 1000),
+closure AS (SELECT root, node, min(depth) AS distance FROM down WHERE root <> node GROUP BY root, node)"""
+
+
+def graph_edges(spark, sf) -> DataFrame:
+    part = T(spark, sf, "part")
+    return ED.combine_edges(D.fx_edges(part), D.fx_overrides(part))
+
+
+@register("edges_upsert", f"""WITH {_fx_edges_sql('b1', 'p_partkey % 2 = 0', D.UPSERT_FIRST_AT)},
+{_fx_edges_sql('b2', 'true', D.UPSERT_SECOND_AT, "CASE WHEN p_partkey % 3 = 0 THEN 'manual_override' ELSE 'auto_parsed' END")}
+SELECT job_name, source_table, target_table, arg_min(source_type, detected_at) AS source_type, max(detected_at) AS detected_at
+FROM (SELECT * FROM b1 UNION ALL SELECT * FROM b2) GROUP BY job_name, source_table, target_table""")
+def q_edges_upsert(spark, sf):
+    first, second = D.fx_upsert_batches(T(spark, sf, "part"))
+    return ED.upsert_edges(first, second)
+
+
+@register("edges_combined", f"WITH RECURSIVE {GRAPH_SQL}\nSELECT * FROM g")
+def q_edges_combined(spark, sf):
+    return graph_edges(spark, sf)
+
+
+@register("lineage_nodes", f"""WITH RECURSIVE {GRAPH_SQL}
+SELECT DISTINCT t AS table_name FROM (SELECT source_table AS t FROM g UNION ALL SELECT target_table FROM g)""")
+def q_lineage_nodes(spark, sf):
+    return ED.lineage_nodes(graph_edges(spark, sf))
+
+
+@register("lineage_roots_leaves", f"""WITH RECURSIVE {GRAPH_SQL},
+ends AS (SELECT source_table AS t, 0 AS i, 1 AS o FROM g UNION ALL SELECT target_table, 1, 0 FROM g)
+SELECT t AS table_name, CAST(sum(i) AS BIGINT) AS in_degree, CAST(sum(o) AS BIGINT) AS out_degree,
+       sum(i) = 0 AS is_root, sum(o) = 0 AS is_leaf FROM ends GROUP BY t""")
+def q_lineage_roots_leaves(spark, sf):
+    return ED.node_degrees(graph_edges(spark, sf))
+
+
+@register("lineage_downstream", f"""WITH RECURSIVE {GRAPH_SQL}, {CLOSURE_SQL}
+SELECT root AS table_name, node AS downstream_table, CAST(distance AS INTEGER) AS distance FROM closure""")
+def q_lineage_downstream(spark, sf):
+    return GR.downstream(graph_edges(spark, sf))
+
+
+@register("lineage_upstream", f"""WITH RECURSIVE {GRAPH_SQL}, {CLOSURE_SQL}
+SELECT node AS table_name, root AS upstream_table, CAST(distance AS INTEGER) AS distance FROM closure""")
+def q_lineage_upstream(spark, sf):
+    return GR.upstream(graph_edges(spark, sf))
+
+
+LATEST_FAIL_SQL = """latest AS (SELECT * FROM fx_results QUALIFY rank() OVER (PARTITION BY table_name, check_type ORDER BY checked_at DESC) = 1),
+fails AS (SELECT * FROM latest WHERE status = 'fail')"""
+WALK_SQL = """walk(root, node, depth, path) AS (
+  SELECT table_name, table_name, 0, [table_name] FROM (SELECT DISTINCT table_name FROM fails)
+  UNION ALL SELECT w.root, g.target_table, w.depth + 1, list_append(w.path, g.target_table)
+  FROM walk w JOIN g ON g.source_table = w.node WHERE NOT list_contains(w.path, g.target_table)),
+radius AS (SELECT root AS failing_table, node AS affected_table, min({'d': depth, 'p': path}) AS best FROM walk
+           WHERE root <> node GROUP BY root, node)"""
+
+
+def failing_tables(spark, sf) -> DataFrame:
+    return RP.failing_latest(D.fx_results(T(spark, sf, "events"))).select("table_name").distinct()
+
+
+@register("blast_radius", f"""WITH RECURSIVE {FX_RESULTS_SQL}, {GRAPH_SQL}, {LATEST_FAIL_SQL}, {WALK_SQL}
+SELECT failing_table, affected_table, CAST(best.d AS INTEGER) AS distance, array_to_string(best.p, ' -> ') AS path_text FROM radius""")
+def q_blast_radius(spark, sf):
+    return GR.blast_radius(graph_edges(spark, sf), failing_tables(spark, sf)).drop("path")
+
+
+@register("failing_with_blast_radius", f"""WITH RECURSIVE {FX_RESULTS_SQL}, {GRAPH_SQL}, {LATEST_FAIL_SQL}, {WALK_SQL}
+SELECT f.table_name, f.check_type, f.column_name, f.status, f.detail, f.checked_at,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS affected_count
+FROM fails f LEFT JOIN (SELECT failing_table, count(*) AS n FROM radius GROUP BY failing_table) c ON c.failing_table = f.table_name""")
+def q_failing_with_blast_radius(spark, sf):
+    return RP.failing_with_blast_radius(graph_edges(spark, sf), D.fx_results(T(spark, sf, "events")))
+
+
+@register("failure_drilldown", f"""WITH RECURSIVE {FX_RESULTS_SQL}, {GRAPH_SQL}, {LATEST_FAIL_SQL}, {WALK_SQL}
+SELECT f.table_name, f.check_type, f.column_name, r.affected_table, CAST(r.best.d AS INTEGER) AS distance,
+       array_to_string(r.best.p, ' -> ') AS path_text
+FROM fails f LEFT JOIN radius r ON r.failing_table = f.table_name""")
+def q_failure_drilldown(spark, sf):
+    return RP.failure_drilldown(graph_edges(spark, sf), D.fx_results(T(spark, sf, "events")))
+
+
+SCRIPT_EDGES_SQL = """SELECT 'job_' || CAST(p_partkey AS VARCHAR) AS job_name, s AS source_table, t AS target_table FROM (
+  SELECT p_partkey, 'src_' || CAST(p_partkey AS VARCHAR) AS s, 'tgt_' || CAST(p_partkey AS VARCHAR) AS t FROM part WHERE p_partkey % 6 = 0
+  UNION ALL SELECT p_partkey, 'a_' || CAST(p_partkey AS VARCHAR), 'fact_' || CAST(p_partkey AS VARCHAR) FROM part WHERE p_partkey % 6 = 1
+  UNION ALL SELECT p_partkey, 'b_' || CAST(p_partkey AS VARCHAR), 'fact_' || CAST(p_partkey AS VARCHAR) FROM part WHERE p_partkey % 6 = 1
+  UNION ALL SELECT p_partkey, 'data/raw_' || CAST(p_partkey AS VARCHAR) || '.csv', 'left_' || CAST(p_partkey AS VARCHAR) FROM part WHERE p_partkey % 6 = 2
+  UNION ALL SELECT p_partkey, 'data/raw_' || CAST(p_partkey AS VARCHAR) || '.csv', 'right_' || CAST(p_partkey AS VARCHAR) FROM part WHERE p_partkey % 6 = 2
+  UNION ALL SELECT p_partkey, 'base_' || CAST(p_partkey AS VARCHAR), 'first_' || CAST(p_partkey AS VARCHAR) FROM part WHERE p_partkey % 6 = 5)"""
+
+
+@register("extract_lineage", SCRIPT_EDGES_SQL)
+def q_extract_lineage(spark, sf):
+    ex = extract_lineage(D.fx_scripts(T(spark, sf, "part")))
+    return lineage_edges(ex, F.lit(D.EDGES_AT).cast("timestamp_ntz")).select("job_name", "source_table", "target_table")
+
+
+@register("extract_unresolved", """SELECT 'job_' || CAST(p_partkey AS VARCHAR) AS job_name,
+  CASE p_partkey % 6 WHEN 3 THEN 'out_' || CAST(p_partkey AS VARCHAR) WHEN 4 THEN '<unknown - dynamic table name>'
+       ELSE 'second_' || CAST(p_partkey AS VARCHAR) END AS target_table,
+  CASE p_partkey % 6 WHEN 3 THEN 'source table name was not a plain string literal (built dynamically)'
+       WHEN 4 THEN 'saveAsTable() argument was not a plain string literal'
+       ELSE 'could not trace the DataFrame back to a read() call' END AS reason
+FROM part WHERE p_partkey % 6 IN (3, 4, 5)""")
+def q_extract_unresolved(spark, sf):
+    return unresolved_cases(extract_lineage(D.fx_scripts(T(spark, sf, "part"))))
+
+
+# =========================================================================================
+# Reports over the check history and run log
+# =========================================================================================
+
+LATEST_SQL = "latest AS (SELECT * FROM fx_results QUALIFY rank() OVER (PARTITION BY table_name, check_type ORDER BY checked_at DESC) = 1)"
+STATUS_SQL = """status_per_table AS (SELECT table_name, CASE max(CASE status WHEN 'pass' THEN 0 WHEN 'warn' THEN 1 WHEN 'fail' THEN 2 END)
+  WHEN 0 THEN 'pass' WHEN 1 THEN 'warn' WHEN 2 THEN 'fail' END AS status FROM latest GROUP BY table_name)"""
+
+
+def fx_results_df(spark, sf):
+    return D.fx_results(T(spark, sf, "events"))
+
+
+@register("latest_results", f"WITH {FX_RESULTS_SQL}, {LATEST_SQL}\n"
+          "SELECT table_name, check_type, column_name, status, detail, checked_at FROM latest ORDER BY table_name, check_type")
+def q_latest_results(spark, sf):
+    return RP.all_latest_results(fx_results_df(spark, sf))
+
+
+@register("status_per_table", f"WITH {FX_RESULTS_SQL}, {LATEST_SQL}, {STATUS_SQL}\nSELECT * FROM status_per_table")
+def q_status_per_table(spark, sf):
+    return RP.status_per_table(fx_results_df(spark, sf))
+
+
+@register("dq_summary", f"""WITH {FX_RESULTS_SQL}, {LATEST_SQL}
+SELECT s.status, (SELECT count(*) FROM latest l WHERE l.status = s.status) AS check_count
+FROM (VALUES ('pass'), ('warn'), ('fail')) s(status)""")
+def q_dq_summary(spark, sf):
+    return RP.dq_summary(fx_results_df(spark, sf))
+
+
+HISTORY_SQL = f"""history AS (SELECT CAST(checked_at AS DATE) AS check_date, status, count(*) AS check_count FROM fx_results
+  WHERE checked_at >= TIMESTAMP '{D.AS_OF}' - INTERVAL 7 DAY GROUP BY ALL)"""
+
+
+@register("dq_history", f"WITH {FX_RESULTS_SQL}, {HISTORY_SQL}\nSELECT * FROM history ORDER BY check_date, status")
+def q_dq_history(spark, sf):
+    return RP.dq_history(fx_results_df(spark, sf), 7, D.AS_OF)
+
+
+@register("dq_history_pivot", f"""WITH {FX_RESULTS_SQL}, {HISTORY_SQL}
+SELECT check_date, CAST(coalesce(sum(check_count) FILTER (WHERE status = 'pass'), 0) AS BIGINT) AS pass,
+       CAST(coalesce(sum(check_count) FILTER (WHERE status = 'warn'), 0) AS BIGINT) AS warn,
+       CAST(coalesce(sum(check_count) FILTER (WHERE status = 'fail'), 0) AS BIGINT) AS fail
+FROM history GROUP BY check_date ORDER BY check_date""")
+def q_dq_history_pivot(spark, sf):
+    return RP.dq_history_pivot(RP.dq_history(fx_results_df(spark, sf), 7, D.AS_OF))
+
+
+@register("recent_runs", f"""WITH {FX_RUNS_SQL}
+SELECT run_id, job_name, started_at, finished_at, status, rows_read, rows_written, duration_seconds FROM fx_runs
+ORDER BY started_at DESC NULLS LAST, run_id DESC LIMIT 20""")
+def q_recent_runs(spark, sf):
+    return RP.recent_runs(D.fx_runs(T(spark, sf, "events")), 20)
+
+
+@register("results_filtered", f"""WITH {FX_RESULTS_SQL}, {LATEST_SQL}
+SELECT table_name, check_type, column_name, status, detail, checked_at,
+       CASE status WHEN 'pass' THEN 'pass' WHEN 'warn' THEN 'WARN' WHEN 'fail' THEN 'FAIL' END AS marker
+FROM latest WHERE status IN ('warn', 'fail')
+  AND table_name IN (SELECT 'tbl_' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'BUILDING')""")
+def q_results_filtered(spark, sf):
+    wanted = T(spark, sf, "customer").where(F.col("c_mktsegment") == "BUILDING").select(
+        F.concat(F.lit("tbl_"), F.col("c_custkey").cast("string")).alias("table_name"))
+    return RP.results_filtered(fx_results_df(spark, sf), ["warn", "fail"], wanted)
+
+
+@register("overview_metrics", f"""WITH RECURSIVE {FX_RESULTS_SQL}, {GRAPH_SQL}, {LATEST_SQL}
+SELECT 'tables_tracked' AS metric, count(DISTINCT t) AS value FROM (SELECT source_table AS t FROM g UNION ALL SELECT target_table FROM g)
+UNION ALL SELECT 'lineage_edges', count(*) FROM (SELECT DISTINCT source_table, target_table FROM g)
+UNION ALL SELECT 'checks_passing', count_if(status = 'pass') FROM latest
+UNION ALL SELECT 'checks_failing', count_if(status = 'fail') FROM latest""")
+def q_overview_metrics(spark, sf):
+    return RP.overview_metrics(graph_edges(spark, sf), fx_results_df(spark, sf))
+
+
+@register("node_status", f"""WITH RECURSIVE {FX_RESULTS_SQL}, {GRAPH_SQL}, {LATEST_SQL}, {STATUS_SQL}
+SELECT n.table_name, coalesce(s.status, 'not checked') AS status
+FROM (SELECT DISTINCT t AS table_name FROM (SELECT source_table AS t FROM g UNION ALL SELECT target_table FROM g)) n
+LEFT JOIN status_per_table s ON s.table_name = n.table_name""")
+def q_node_status(spark, sf):
+    return RP.node_status(graph_edges(spark, sf), fx_results_df(spark, sf))
+
+
+@register("table_drilldown", f"""WITH RECURSIVE {FX_RESULTS_SQL}, {GRAPH_SQL}, {LATEST_SQL}, {STATUS_SQL}, {CLOSURE_SQL},
+nodes AS (SELECT DISTINCT t AS table_name FROM (SELECT source_table AS t FROM g UNION ALL SELECT target_table FROM g))
+SELECT n.table_name,
+       CAST(coalesce((SELECT count(*) FROM closure c WHERE c.node = n.table_name), 0) AS BIGINT) AS n_upstream,
+       CAST(coalesce((SELECT count(*) FROM closure c WHERE c.root = n.table_name), 0) AS BIGINT) AS n_downstream,
+       coalesce(s.status, 'not checked') AS status, coalesce(s.status = 'fail', false) AS alert
+FROM nodes n LEFT JOIN status_per_table s ON s.table_name = n.table_name""")
+def q_table_drilldown(spark, sf):
+    return RP.table_drilldown(graph_edges(spark, sf), fx_results_df(spark, sf))
+
+
+@register("failure_digest", f"""WITH RECURSIVE {FX_RESULTS_SQL}, {GRAPH_SQL}, {CLOSURE_SQL},
+fails AS (SELECT run_id, table_name, check_type, column_name, detail FROM fx_results WHERE status = 'fail'),
+per_table AS (SELECT root AS table_name, count(*) AS n, string_agg(node, ', ' ORDER BY node) AS affected FROM closure GROUP BY root),
+blocks AS (SELECT f.*, concat_ws(chr(10), 'Table:      ' || f.table_name, 'Check type: ' || f.check_type,
+    CASE WHEN f.column_name IS NOT NULL AND f.column_name <> '' THEN 'Column:     ' || f.column_name END,
+    'Detail:     ' || coalesce(f.detail, 'None'),
+    CASE WHEN p.n > 0 THEN 'Blast radius: ' || CAST(p.n AS VARCHAR) || ' table(s) potentially affected -- ' || p.affected
+         ELSE 'Blast radius: none (failure contained to this table)' END,
+    repeat('-', 60)) AS block
+  FROM fails f LEFT JOIN per_table p ON p.table_name = f.table_name)
+SELECT run_id, count(*) AS failing_count, '[DQ Alert] ' || CAST(count(*) AS VARCHAR) || ' check(s) failing' AS subject,
+  concat_ws(chr(10), 'Data Quality Alert -- ' || CAST(count(*) AS VARCHAR) || ' check(s) failing', 'Generated: 2024-01-31T00:00:00',
+    repeat('=', 60), '', string_agg(block, chr(10) ORDER BY table_name, check_type, coalesce(column_name, ''), coalesce(detail, ''), block),
+    '', 'See the failure drill-down report for full detail.') AS body
+FROM blocks GROUP BY run_id""")
+def q_failure_digest(spark, sf):
+    results = fx_results_df(spark, sf)
+    fails = results.where(F.col("status") == "fail").select("table_name").distinct()
+    radius = GR.downstream(graph_edges(spark, sf), fails).select(
+        F.col("table_name").alias("failing_table"), F.col("downstream_table").alias("affected_table"))
+    return failure_digest(results, radius, D.AS_OF)
+
+
+# =========================================================================================
+# Faults, as-of lookups, catalog
+# =========================================================================================
+
+@register("fault_drop_column", "SELECT * EXCLUDE (c_mktsegment) FROM customer")
+def q_fault_drop_column(spark, sf):
+    return drop_column(T(spark, sf, "customer"), "c_mktsegment")
+
+
+BREAK_FK_SQL = """dedup AS (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY
+  l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_quantity NULLS FIRST, l_extendedprice NULLS FIRST, l_discount NULLS FIRST,
+  l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) = 1),
+sample AS (SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS rn FROM dedup
+           ORDER BY l_orderkey, l_linenumber LIMIT 50),
+broken AS (SELECT d.* REPLACE (CASE WHEN s.rn IS NULL THEN CAST(d.l_partkey AS VARCHAR) ELSE 'INVALID_' || CAST(s.rn AS VARCHAR) END
+           AS l_partkey) FROM dedup d LEFT JOIN sample s ON s.l_orderkey = d.l_orderkey AND s.l_linenumber = d.l_linenumber)"""
+
+
+def broken_lineitem(spark, sf) -> DataFrame:
+    keys = ["l_orderkey", "l_linenumber"]
+    return break_foreign_key(dedupe_latest(T(spark, sf, "lineitem"), keys), keys, "l_partkey", 50, "INVALID_")
+
+
+@register("fault_break_fk", f"WITH {BREAK_FK_SQL}\nSELECT * FROM broken")
+def q_fault_break_fk(spark, sf):
+    return broken_lineitem(spark, sf)
+
+
+@register("fault_break_fk_check", f"WITH {BREAK_FK_SQL}\n" + sql_ri("lineitem", "broken", "l_partkey", "part", "p_partkey", cast_text=True))
+def q_fault_break_fk_check(spark, sf):
+    b = broken_lineitem(spark, sf)
+    return CK.check_referential_integrity(b, "l_partkey", T(spark, sf, "part"), "p_partkey").select(
+        F.lit("lineitem").alias("table_name"), "*")
+
+
+STALE_AS_OF = stale_as_of(__import__("datetime").datetime.fromisoformat(D.AS_OF), 30).isoformat(sep=" ")
+
+
+@register("fault_stale", f"WITH {FX_RUNS_SQL}, {FX_JOBS_SQL}, tbls AS (SELECT 'tbl_' || CAST(c_custkey AS VARCHAR) AS table_name FROM customer)\n"
+          + sql_freshness("tbls", "fx_jobs", "fx_runs", STALE_AS_OF))
+def q_fault_stale(spark, sf):
+    customer, events = T(spark, sf, "customer"), T(spark, sf, "events")
+    return FR.check_freshness(D.fx_checked_tables(customer), D.fx_job_edges(customer), D.fx_runs(events), STALE_H, STALE_AS_OF)
+
+
+@register("asof_last_write", f"""WITH {FX_RUNS_SQL}
+SELECT e.event_id, 'job_' || CAST(e.user_id AS VARCHAR) AS job_name, e.ts,
+       (SELECT max(r.finished_at) FROM fx_runs r WHERE r.job_name = 'job_' || CAST(e.user_id AS VARCHAR)
+          AND r.status = 'success' AND r.finished_at <= e.ts) AS last_written_at
+FROM events e""")
+def q_asof_last_write(spark, sf):
+    """Every event's latest successful write of its job at or before the event (inclusive)."""
+    events = T(spark, sf, "events")
+    left = events.select("event_id", F.concat(F.lit("job_"), F.col("user_id").cast("string")).alias("job_name"), "ts")
+    runs = D.fx_runs(events).where(F.col("status") == "success").select("job_name", "finished_at")
+    return asof_backward(left, runs, ["job_name"], "ts", "finished_at", out="last_written_at", bucket="day")
