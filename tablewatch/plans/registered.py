@@ -1003,3 +1003,37 @@ def q_asof_last_write(spark, sf):
     left = events.select("event_id", F.concat(F.lit("job_"), F.col("user_id").cast("string")).alias("job_name"), "ts")
     runs = D.fx_runs(events).where(F.col("status") == "success").select("job_name", "finished_at")
     return asof_backward(left, runs, ["job_name"], "ts", "finished_at", out="last_written_at", bucket="day")
+
+
+from tablewatch.session import scratch_path  # noqa: E402
+from tablewatch.sources.catalog import replace_table, table_inventory, write_table  # noqa: E402
+from tablewatch.sources.files import read_csv  # noqa: E402
+
+
+@register("table_inventory", "\nUNION ALL ".join(
+    f"SELECT {_q(t)} AS table_name, true AS table_exists, count(*) AS row_count FROM {t}" for t in D.TABLES)
+    + "\nUNION ALL SELECT 'no_such_table', false, CAST(NULL AS BIGINT)")
+def q_table_inventory(spark, sf):
+    tables: dict[str, DataFrame | None] = {t: T(spark, sf, t) for t in D.TABLES}
+    tables["no_such_table"] = None
+    return table_inventory(spark, tables)
+
+
+@register("table_swap", "SELECT * EXCLUDE (c_mktsegment) FROM customer")
+def q_table_swap(spark, sf):
+    """Self-overwrite of a catalog table: the new contents are derived from the table itself."""
+    import uuid
+
+    name = f"tw_customer_{uuid.uuid4().hex[:10]}"
+    write_table(T(spark, sf, "customer"), name, path=scratch_path(spark, name))
+    replace_table(spark, drop_column(spark.read.table(name), "c_mktsegment"), name, path=scratch_path(spark, name))
+    return spark.read.table(name)
+
+
+@register("csv_roundtrip", "SELECT * FROM lineitem")
+def q_csv_roundtrip(spark, sf):
+    """Typed CSV source: the table written as headered CSV, read back with an explicit schema."""
+    li = T(spark, sf, "lineitem")
+    path = scratch_path(spark, "lineitem_csv")
+    li.write.option("header", "true").csv(path)
+    return read_csv(spark, path, li.schema)

@@ -23,16 +23,23 @@ INVENTORY_SCHEMA = StructType(
 )
 
 
-def write_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
+def write_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by: list[str] | None = None,
+                path: str | None = None) -> None:
     w = df.write.mode(mode)
+    if path:
+        w = w.option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)
 
 
-def replace_table(spark: SparkSession, df: DataFrame, name: str) -> None:
+def replace_table(spark: SparkSession, df: DataFrame, name: str, path: str | None = None) -> None:
+    """Swap ``df`` in as table ``name``; ``path`` places the new data (external table)."""
     side = f"{name}_swap_{uuid.uuid4().hex[:8]}"
-    df.write.mode("overwrite").saveAsTable(side)
+    w = df.write.mode("overwrite")
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(side)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"ALTER TABLE {side} RENAME TO {name}")
 
