@@ -2,8 +2,8 @@
 
 Plan shape per table: ONE aggregate computes the row count, a ``count_if(isnull)`` per
 checked column and the distinct-key count; the check rows are generated from that single
-row. Referential integrity is one branch per foreign key: distinct child keys left-anti
-distinct parent keys, then a count. Both distincts are partial (map-side) aggregates that
+row. Referential integrity is one branch per foreign key: distinct child keys without a
+match among the distinct parent keys, then a count. Both distincts are partial (map-side) aggregates that
 leave the data hash-partitioned on the key, so the anti-join adds no exchange, and a hot
 key is reduced to one row per map task before anything is shuffled. A small parent is
 broadcast by AQE from its measured runtime size.
@@ -117,15 +117,21 @@ def check_duplicates(df: DataFrame, key_columns: Sequence[str], max_duplicate_ra
 
 
 def orphan_keys(child: DataFrame, fk_column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Distinct non-NULL child keys with no parent row (column ``orphan_key``)."""
+    """Distinct non-NULL child keys with no parent row (column ``orphan_key``).
+
+    Written as a left outer join of the two distinct key sets plus an ``IS NULL`` filter
+    rather than a left-anti join: Catalyst pushes an anti join below the child's
+    aggregate, which would shuffle every child row; this way each side is reduced to
+    distinct keys map-side first and both arrive hash-partitioned on the key.
+    """
     ct = child.schema[fk_column].dataType
     pt = parent.schema[parent_column].dataType
     ck, pk = F.col(fk_column), F.col(parent_column)
     if ct != pt:  # compare as text rather than let ANSI casts raise
         ck, pk = ck.cast("string"), pk.cast("string")
     c = child.select(ck.alias("orphan_key")).where(F.col("orphan_key").isNotNull()).distinct()
-    p = parent.select(pk.alias("orphan_key")).distinct()
-    return c.join(p, "orphan_key", "left_anti")
+    p = parent.select(pk.alias("orphan_key")).distinct().withColumn("_matched", F.lit(True))
+    return c.join(p, "orphan_key", "left").where(F.col("_matched").isNull()).select("orphan_key")
 
 
 def check_referential_integrity(
