@@ -1037,3 +1037,27 @@ def q_csv_roundtrip(spark, sf):
     path = scratch_path(spark, "lineitem_csv")
     li.write.option("header", "true").csv(path)
     return read_csv(spark, path, li.schema)
+
+
+@register("suite_report_lines", _suite_sql() + """SELECT run_id, table_name, check_type, column_name, status,
+  rpad(CASE status WHEN 'pass' THEN 'pass' WHEN 'warn' THEN 'WARN' WHEN 'fail' THEN 'FAIL' END, 4, ' ') || ' '
+  || rpad(check_type, 22, ' ') || ' ' || CASE WHEN column_name IS NOT NULL AND column_name <> '' THEN '[' || column_name || '] ' ELSE '' END
+  || left(coalesce(detail, ''), 80) AS line FROM res""")
+def q_suite_report_lines(spark, sf):
+    return RP.report_lines(q_dq_suite(spark, sf))
+
+
+@register("result_tables", f"WITH {FX_RESULTS_SQL}, {LATEST_SQL}\nSELECT DISTINCT table_name FROM latest ORDER BY table_name")
+def q_result_tables(spark, sf):
+    return RP.distinct_values(RP.latest_results(fx_results_df(spark, sf)), "table_name")
+
+
+@register("results_history_pruned", f"WITH {FX_RESULTS_SQL}, {HISTORY_SQL}\nSELECT * FROM history")
+def q_results_history_pruned(spark, sf):
+    """Check history appended to a day-partitioned results table, then the 7-day trend read
+    back from it: the day filter prunes partitions at the scan."""
+    path = scratch_path(spark, "dq_check_results")
+    from tablewatch.sources.catalog import append_results, read_results
+    append_results(fx_results_df(spark, sf), path)
+    stored = read_results(spark, path).drop("check_date")
+    return RP.dq_history(stored, 7, D.AS_OF).orderBy("check_date", "status")

@@ -104,10 +104,20 @@ def node_status(edges: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def table_drilldown(edges: DataFrame, results: DataFrame, tables: DataFrame | None = None) -> DataFrame:
-    """Per table: number of upstream and downstream tables, latest status, alert flag."""
-    starts = nodes_of(edges) if tables is None else tables.select("table_name")
-    up = upstream(edges, starts).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_upstream"))
-    down = downstream(edges, starts).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_downstream"))
+    """Per table: number of upstream and downstream tables, latest status, alert flag.
+
+    For the whole graph one downstream closure serves both directions (the upstream count
+    of a node is the number of closure pairs that end in it).
+    """
+    if tables is None:
+        starts = nodes_of(edges)
+        pairs = downstream(edges, starts)
+        up = pairs.groupBy(F.col("downstream_table").alias("table_name")).agg(F.count(F.lit(1)).alias("n_upstream"))
+        down = pairs.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_downstream"))
+    else:
+        starts = tables.select("table_name")
+        up = upstream(edges, starts).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_upstream"))
+        down = downstream(edges, starts).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_downstream"))
     st = status_per_table(results)
     j = starts.distinct().join(up, "table_name", "left").join(down, "table_name", "left").join(st, "table_name", "left")
     return j.select(
@@ -119,6 +129,17 @@ def table_drilldown(edges: DataFrame, results: DataFrame, tables: DataFrame | No
     )
 
 
+def report_lines(results: DataFrame) -> DataFrame:
+    """One console line per result: marker, check type, ``[column]`` label and the first
+    80 characters of the detail, e.g. ``FAIL null_check             [c] null_rate=...``."""
+    marker = F.create_map(*[x for k, v in STATUS_MARKER.items() for x in (F.lit(k), F.lit(v))])[F.col("status")]
+    label = F.when(F.col("column_name").isNotNull() & (F.col("column_name") != ""),
+                   F.concat(F.lit("["), F.col("column_name"), F.lit("] "))).otherwise(F.lit(""))
+    line = F.concat(F.rpad(marker, 4, " "), F.lit(" "), F.rpad(F.col("check_type"), 22, " "), F.lit(" "), label,
+                    F.left(F.coalesce(F.col("detail"), F.lit("")), F.lit(80)))
+    return results.select("run_id", "table_name", "check_type", "column_name", "status", line.alias("line"))
+
+
 def failing_latest(results: DataFrame) -> DataFrame:
     return latest_results(results).where(F.col("status") == "fail")
 

@@ -1,5 +1,12 @@
 """Sources and sinks: typed CSV/Parquet/table reads, script corpus, catalog writes, rules."""
 
-from tablewatch.sources.catalog import preview, replace_table, table_inventory, write_table  # noqa: F401
+from tablewatch.sources.catalog import (  # noqa: F401
+    append_results,
+    preview,
+    read_results,
+    replace_table,
+    table_inventory,
+    write_table,
+)
 from tablewatch.sources.files import read_csv, read_scripts, read_table  # noqa: F401
 from tablewatch.sources.rules import ForeignKey, Rules, TableRule, load_rules, rules_from_dict  # noqa: F401

@@ -72,3 +72,13 @@ def table_inventory(spark: SparkSession, tables: dict[str, DataFrame | None] | l
 
 def preview(df: DataFrame, n: int = 3) -> DataFrame:
     return df.limit(n)
+
+
+def append_results(results: DataFrame, path: str, partition_col: str = "check_date") -> None:
+    """Append check results (one write per suite run) partitioned by check day, so history
+    reports read only the days they need (partition pruning)."""
+    results.withColumn(partition_col, F.to_date("checked_at")).write.mode("append").partitionBy(partition_col).parquet(path)
+
+
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
