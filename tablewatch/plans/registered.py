@@ -1059,5 +1059,4 @@ def q_results_history_pruned(spark, sf):
     path = scratch_path(spark, "dq_check_results")
     from tablewatch.sources.catalog import append_results, read_results
     append_results(fx_results_df(spark, sf), path)
-    stored = read_results(spark, path).drop("check_date")
-    return RP.dq_history(stored, 7, D.AS_OF).orderBy("check_date", "status")
+    return RP.dq_history(read_results(spark, path), 7, D.AS_OF)

@@ -45,12 +45,18 @@ def dq_summary(results: DataFrame) -> DataFrame:
     return g.select(F.inline(F.array(*[F.struct(F.lit(s).alias("status"), F.col(s).alias("check_count")) for s in STATUSES])))
 
 
-def dq_history(results: DataFrame, days: int = 7, as_of: datetime | str | Column | None = None) -> DataFrame:
+def dq_history(results: DataFrame, days: int = 7, as_of: datetime | str | Column | None = None,
+               partition_col: str = "check_date") -> DataFrame:
+    """Daily counts per status over the last ``days`` days. On a results table partitioned
+    by check day the window is also stated on the partition column, so whole days outside
+    it are pruned at the scan."""
     now = F.current_timestamp().cast("timestamp_ntz") if as_of is None else ts_lit(as_of)
     since = now - F.make_dt_interval(F.lit(days))
+    recent = results.where(F.col("checked_at") >= since)
+    if partition_col in results.columns:
+        recent = recent.where(F.col(partition_col) >= F.to_date(since))
     return (
-        results.where(F.col("checked_at") >= since)
-        .groupBy(F.to_date("checked_at").alias("check_date"), "status")
+        recent.groupBy(F.to_date("checked_at").alias("check_date"), "status")
         .agg(F.count(F.lit(1)).alias("check_count"))
         .orderBy("check_date", "status")
     )

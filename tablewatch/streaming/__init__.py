@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The system this library re-expresses is batch only: its checks run over whole tables
+after the pipeline writes them, and it has no streams, watermarks or stateful operators.
+No streaming operator is built here (see README, "Not built"). The batch operators are
+plain DataFrame functions, so a user who wants continuous checks can call them from a
+``foreachBatch`` sink of their own.
+"""
