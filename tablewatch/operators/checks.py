@@ -35,14 +35,21 @@ CHECK_COLUMNS = [f.name for f in CHECK_SCHEMA.fields]
 
 
 def check_row(check_type, column_name, status, measured, threshold, detail) -> Column:
-    lit = lambda v: v if isinstance(v, Column) else F.lit(v)
+    """A check-result struct; Python literals are typed directly, columns are cast."""
+    def typed(v, t: str, name: str) -> Column:
+        if isinstance(v, Column):
+            return v.cast(t).alias(name)
+        if v is None:
+            return F.lit(None).cast(t).alias(name)
+        return F.lit(float(v) if t == "double" else v).alias(name)
+
     return F.struct(
-        lit(check_type).cast("string").alias("check_type"),
-        lit(column_name).cast("string").alias("column_name"),
-        lit(status).cast("string").alias("status"),
-        lit(measured).cast("double").alias("measured"),
-        lit(threshold).cast("double").alias("threshold"),
-        lit(detail).cast("string").alias("detail"),
+        typed(check_type, "string", "check_type"),
+        typed(column_name, "string", "column_name"),
+        typed(status, "string", "status"),
+        typed(measured, "double", "measured"),
+        typed(threshold, "double", "threshold"),
+        typed(detail, "string", "detail"),
     )
 
 

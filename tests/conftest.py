@@ -19,6 +19,8 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # per-call Python stack capture for error messages; off for batch jobs
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tw-warehouse-"))
         .getOrCreate()
     )
