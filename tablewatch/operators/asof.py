@@ -1,7 +1,17 @@
 """Backward, inclusive as-of join: for each left row, the right row of the same key with
-the greatest time that is <= the left row's time.
+the greatest time that is <= the left row's time. No inequality join is used.
 
-Plan (no inequality join, no per-key global sort):
+Two exact plans:
+
+``method="range"`` (default, skew-proof). Left and right rows are range-partitioned
+together on (key, time), so a key holding a third of all rows is spread over many
+partitions. A running max inside each (partition, key) finishes the rows; the best right
+value of the *earlier* partitions of the same key is carried in from a small table with one
+row per (partition, key). The partitioned rows are checkpointed once (eager), because the
+range bounds are sampled and both passes must agree on them. Costs a sampling pass, two
+shuffles and one write.
+
+``method="bucket"`` (one shuffle) for keys known to be sparse in time:
 
 1. Right rows are aggregated per ``(key, time bucket)`` to their best (time, value): a
    partial aggregate, so a hot key costs one row per map task.
@@ -23,6 +33,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewatch.session import cut_lineage
+
 
 def asof_backward(
     left: DataFrame,
@@ -33,9 +45,70 @@ def asof_backward(
     value: str | None = None,
     out: str = "asof_value",
     out_time: str | None = None,
+    method: str = "range",
     bucket: str = "day",
+    partitions: int | None = None,
 ) -> DataFrame:
-    by = list(by)
+    """``left`` with ``out`` (and ``out_time``) = value (time) of the latest right row of
+    the same ``by`` key at or before ``left_on``; NULL when there is none."""
+    if method == "bucket":
+        return _asof_bucketed(left, right, list(by), left_on, right_on, value, out, out_time, bucket)
+    if method != "range":
+        raise ValueError("method must be 'range' or 'bucket'")
+    return _asof_ranged(left, right, list(by), left_on, right_on, value, out, out_time, partitions)
+
+
+def _split_valid(left: DataFrame, by: list[str], left_on: str):
+    valid = F.col(left_on).isNotNull()
+    for k in by:
+        valid = valid & F.col(k).isNotNull()
+    return left.where(valid), left.where(~valid)
+
+
+def _fill(lnull: DataFrame, lcols, right: DataFrame, value: str, right_on: str, out: str, out_time: str | None):
+    fill = [F.lit(None).cast(right.schema[value].dataType).alias(out)]
+    if out_time:
+        fill.append(F.lit(None).cast(right.schema[right_on].dataType).alias(out_time))
+    return lnull.select(*lcols, *fill)
+
+
+def _asof_ranged(left, right, by, left_on, right_on, value, out, out_time, partitions):
+    spark = left.sparkSession
+    value = value or right_on
+    lcols = left.columns
+    t_type = right.schema[right_on].dataType
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    r = right.where(F.col(right_on).isNotNull())
+    for k in by:
+        r = r.where(F.col(k).isNotNull())
+    best = F.struct(F.col(right_on).alias("_t"), F.col(value).alias("_v"))
+    lv, lnull = _split_valid(left, by, left_on)
+    rrows = r.select(*by, F.col(right_on).alias("_t"), F.lit(0).alias("_side"), best.alias("_rv"))
+    best_type = rrows.schema["_rv"].dataType
+    lrows = lv.select(*by, F.col(left_on).cast(t_type).alias("_t"), F.lit(1).alias("_side"),
+                      F.struct(*[F.col(c) for c in lcols]).alias("_l"))
+    l_type = lrows.schema["_l"].dataType
+    rows = rrows.withColumn("_l", F.lit(None).cast(l_type)).unionByName(
+        lrows.withColumn("_rv", F.lit(None).cast(best_type)))
+    # Right sorts before left on equal times (inclusive); equal sort keys never straddle
+    # a range boundary. The range bounds come from sampling, so the partitioned rows are
+    # materialised once (shared checkpoint folder): the per-partition maxima and the scan
+    # must see the same partition ids.
+    ranged = cut_lineage(rows.repartitionByRange(n, *by, "_t", "_side").withColumn("_pid", F.spark_partition_id()))
+    per_part = ranged.groupBy("_pid", *by).agg(F.max("_rv").alias("_pbest"))
+    w_carry = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_part.select("_pid", *by, F.max("_pbest").over(w_carry).alias("_carry"))
+    w = Window.partitionBy("_pid", *by).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scanned = ranged.withColumn("_m", F.max("_rv").over(w)).where(F.col("_side") == 1)
+    j = scanned.join(carry, ["_pid", *by], "left")
+    m = F.greatest(F.col("_m"), F.col("_carry"))
+    outs = [m["_v"].alias(out)] + ([m["_t"].alias(out_time)] if out_time else [])
+    result = j.select(*[F.col(f"_l.{c}").alias(c) for c in lcols], *outs)
+    return result.unionByName(_fill(lnull, lcols, right, value, right_on, out, out_time))
+
+
+def _asof_bucketed(left, right, by, left_on, right_on, value, out, out_time, bucket):
     value = value or right_on
     lcols = left.columns
     t_type = right.schema[right_on].dataType
@@ -47,12 +120,7 @@ def asof_backward(
         "_b", F.date_trunc(bucket, F.col("_t")))
     best = F.struct(F.col("_t"), F.col("_v"))
 
-    valid = F.col(left_on).isNotNull()
-    for k in by:
-        valid = valid & F.col(k).isNotNull()
-    lv = left.where(valid)
-    lnull = left.where(~valid)
-
+    lv, lnull = _split_valid(left, by, left_on)
     l = lv.select(*by, F.col(left_on).cast(t_type).alias("_t"), F.struct(*[F.col(c) for c in lcols]).alias("_l")).withColumn(
         "_b", F.date_trunc(bucket, F.col("_t")))
 
@@ -80,8 +148,4 @@ def asof_backward(
         outs.append(F.col("_m._t").alias(out_time))
     result = matched.select(*[F.col(f"_l.{c}").alias(c) for c in lcols], *outs)
 
-    v_dtype = right.schema[value].dataType
-    fill = [F.lit(None).cast(v_dtype).alias(out)]
-    if out_time:
-        fill.append(F.lit(None).cast(t_type).alias(out_time))
-    return result.unionByName(lnull.select(*lcols, *fill))
+    return result.unionByName(_fill(lnull, lcols, right, value, right_on, out, out_time))

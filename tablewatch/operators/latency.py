@@ -14,13 +14,14 @@ from tablewatch.operators.freshness import producing_job
 UNKNOWN_LATENCY = "unknown -- no prior successful write found for this table"
 
 
-def detection_latency(checks: DataFrame, edges: DataFrame, runs: DataFrame, bucket: str = "day") -> DataFrame:
+def detection_latency(checks: DataFrame, edges: DataFrame, runs: DataFrame, method: str = "range",
+                      bucket: str = "day") -> DataFrame:
     """For every row of ``checks`` (needs ``table_name``, ``checked_at``): producing job,
     ``last_written_at`` = newest successful ``finished_at <= checked_at`` of that job,
     ``latency_seconds`` and ``latency_human``."""
     with_job = checks.join(producing_job(edges), "table_name", "left")
     writes = runs.where((F.col("status") == "success") & F.col("finished_at").isNotNull()).select("job_name", "finished_at")
-    a = asof_backward(with_job, writes, ["job_name"], "checked_at", "finished_at", out="last_written_at", bucket=bucket)
+    a = asof_backward(with_job, writes, ["job_name"], "checked_at", "finished_at", out="last_written_at", method=method, bucket=bucket)
     secs = seconds_between(F.col("last_written_at"), F.col("checked_at"))
     return a.select(
         *checks.columns,

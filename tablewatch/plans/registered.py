@@ -1002,7 +1002,7 @@ def q_asof_last_write(spark, sf):
     events = T(spark, sf, "events")
     left = events.select("event_id", F.concat(F.lit("job_"), F.col("user_id").cast("string")).alias("job_name"), "ts")
     runs = D.fx_runs(events).where(F.col("status") == "success").select("job_name", "finished_at")
-    return asof_backward(left, runs, ["job_name"], "ts", "finished_at", out="last_written_at", bucket="day")
+    return asof_backward(left, runs, ["job_name"], "ts", "finished_at", out="last_written_at")
 
 
 from tablewatch.session import scratch_path  # noqa: E402
