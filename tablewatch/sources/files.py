@@ -33,10 +33,9 @@ def read_scripts(spark: SparkSession, path: str, pattern: str = "*.py") -> DataF
     "skip missing scripts" behaviour of a job list, without a driver-side loop.
     """
     df = (
-        spark.read.option("wholetext", "true")
-        .option("pathGlobFilter", pattern)
+        spark.read.option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
-        .text(path)
+        .text(path, wholetext=True)
         .select(F.col("value").alias("script_text"), F.col("_metadata.file_path").alias("script_path"))
     )
     stem = F.regexp_extract(F.col("script_path"), r"([^/]+)\.[^./]+$", 1)
