@@ -119,8 +119,9 @@ def snapshot_text(detail: Column) -> Column:
 def last_snapshot(results: DataFrame) -> DataFrame:
     """Previous schema per table from the newest ``schema_drift`` result row of each table,
     decoded to long form ``(table_name, column_name, data_type)``."""
-    drift = results.where(F.col("check_type") == "schema_drift").select("table_name", "detail", "checked_at", "check_result_id")
-    latest = latest_per_key(drift, ["table_name"], [F.desc("checked_at"), F.desc("check_result_id")])
+    order = [F.desc("checked_at")] + ([F.desc("check_result_id")] if "check_result_id" in results.columns else [])
+    drift = results.where(F.col("check_type") == "schema_drift")
+    latest = latest_per_key(drift, ["table_name"], order)
     parsed = latest.select(
         "table_name",
         F.from_json(snapshot_text(F.col("detail")), "map<string,string>").alias("m"),

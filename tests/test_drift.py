@@ -50,3 +50,18 @@ def test_snapshot_round_trip_through_results(spark):
     prev = last_snapshot(results)
     again = check_schema_drift(cur, prev).collect()[0]
     assert again["status"] == "pass" and again["detail"].startswith("no schema changes detected")
+
+
+def test_suite_output_feeds_the_next_drift_run(spark):
+    from datetime import datetime
+
+    from tablewatch.plans.suite import run_suite
+    from tablewatch.sources.rules import Rules, TableRule
+
+    rules = Rules(tables=(TableRule("t"),))
+    v1 = spark.createDataFrame([(1, "a")], "id bigint, name string")
+    first = run_suite(spark, {"t": v1}, rules, 1, datetime(2024, 1, 1))
+    v2 = v1.withColumn("extra", v1.id * 2)
+    second = run_suite(spark, {"t": v2}, rules, 2, datetime(2024, 1, 2), last_snapshot(first))
+    r = second.where("check_type = 'schema_drift'").first()
+    assert r["status"] == "warn" and r["detail"].startswith("added columns: ['extra']")
