@@ -7,7 +7,8 @@ round have the same length, so this is the least among the shortest paths), and
 checkpoints the round to the shared checkpoint folder. The loop ends when a round adds
 nothing, so cycles terminate; a start node is never reported as its own descendant.
 
-Per round the driver runs one tiny action (is the new frontier empty?). Everything else
+Per round the driver reads one observed number (rows in the new frontier), collected
+while the round's checkpoint job runs. Everything else
 is distributed: the small edge table may be broadcast by the planner, the growing
 reached set is shuffled and hash-joined (measured 2x faster than re-broadcasting it every
 round, and its size never passes through the driver); skewed hubs in the frontier join
@@ -16,7 +17,9 @@ are split by AQE's skew-join handling.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tablewatch.session import cut_lineage
@@ -66,16 +69,19 @@ def reachable(
         depth += 1
         step = frontier.join(e, frontier["node"] == e["_from"]).select(
             "root", F.col("_to").alias("node"), *(["path"] if with_paths else []))
-        # The reached set only grows: never broadcast it (it would travel through the
-        # driver every round); hash-join it per shuffled partition instead.
-        step = step.join(seen.hint("shuffle_hash"), ["root", "node"], "left_anti")
+        # Reduce the candidates map-side first (many paths reach the same pair) ...
         if with_paths:
-            step = step.groupBy("root", "node").agg(
-                F.min(F.concat(F.col("path"), F.array(F.col("node")))).alias("path"))
+            step = step.groupBy("root", "node").agg(F.min(F.concat(F.col("path"), F.array(F.col("node")))).alias("path"))
         else:
             step = step.distinct()
-        step = cut_lineage(step.withColumn("distance", F.lit(depth)))
-        if step.isEmpty():
+        # ... then drop pairs reached earlier. The reached set only grows: never broadcast
+        # it (it would travel through the driver every round); hash-join it per shuffled
+        # partition instead.
+        step = step.join(seen.hint("shuffle_hash"), ["root", "node"], "left_anti")
+        # The round's row count is observed while the checkpoint job runs: no extra job.
+        obs = Observation(f"tw_round_{uuid.uuid4().hex}")
+        step = cut_lineage(step.withColumn("distance", F.lit(depth)).observe(obs, F.count(F.lit(1)).alias("n")))
+        if obs.get["n"] == 0:
             break
         parts.append(step)
         seen = seen.unionByName(step.select("root", "node"))
