@@ -44,7 +44,7 @@ def cmd_suite(spark: SparkSession, a: argparse.Namespace) -> None:
     tables = {n: _table(spark, n) for n in names}
     tables = {n: df for n, df in tables.items() if df is not None}
     history = _table(spark, a.results)
-    previous = last_snapshot(history) if history is not None else None
+    previous = last_snapshot(history, a.baseline) if history is not None else None
     events = _table(spark, a.runs)
     runs = current_runs(events) if events is not None else None
     run_id = a.run_id if a.run_id is not None else int(time.time() * 1000)
@@ -71,7 +71,10 @@ def cmd_lineage(spark: SparkSession, a: argparse.Namespace) -> None:
         new.write.saveAsTable(a.edges)
     else:
         replace_table(spark, upsert_edges(old, new), a.edges)
-    _print(unresolved_cases(ex))
+    unresolved = unresolved_cases(ex)
+    if a.unresolved:
+        unresolved.write.mode("overwrite").saveAsTable(a.unresolved)
+    _print(unresolved)
 
 
 def cmd_inventory(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -97,10 +100,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     s.add_argument("--edges")
     s.add_argument("--as-of")
     s.add_argument("--run-id", type=int)
+    s.add_argument("--baseline", choices=["latest", "last_pass"], default="latest")
     s.set_defaults(fn=cmd_suite)
     li = sub.add_parser("lineage")
     li.add_argument("--scripts", required=True)
     li.add_argument("--edges", required=True)
+    li.add_argument("--unresolved", help="table to overwrite with the unresolved cases")
     li.set_defaults(fn=cmd_lineage)
     inv = sub.add_parser("inventory")
     inv.add_argument("tables", nargs="+")

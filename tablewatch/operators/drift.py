@@ -116,11 +116,19 @@ def snapshot_text(detail: Column) -> Column:
     )
 
 
-def last_snapshot(results: DataFrame) -> DataFrame:
+def last_snapshot(results: DataFrame, baseline: str = "latest") -> DataFrame:
     """Previous schema per table from the newest ``schema_drift`` result row of each table,
-    decoded to long form ``(table_name, column_name, data_type)``."""
+    decoded to long form ``(table_name, column_name, data_type)``.
+
+    ``baseline="latest"`` takes the newest drift result even if it failed, so a drift is
+    reported once and then becomes the new normal; ``baseline="last_pass"`` only accepts
+    results that did not fail, so a breaking change keeps failing until it is reverted."""
+    if baseline not in ("latest", "last_pass"):
+        raise ValueError("baseline must be 'latest' or 'last_pass'")
     order = [F.desc("checked_at")] + ([F.desc("check_result_id")] if "check_result_id" in results.columns else [])
     drift = results.where(F.col("check_type") == "schema_drift")
+    if baseline == "last_pass":
+        drift = drift.where(F.col("status") != "fail")
     latest = latest_per_key(drift, ["table_name"], order)
     parsed = latest.select(
         "table_name",

@@ -65,3 +65,20 @@ def test_suite_output_feeds_the_next_drift_run(spark):
     second = run_suite(spark, {"t": v2}, rules, 2, datetime(2024, 1, 2), last_snapshot(first))
     r = second.where("check_type = 'schema_drift'").first()
     assert r["status"] == "warn" and r["detail"].startswith("added columns: ['extra']")
+
+
+def test_last_pass_baseline_keeps_failing_until_reverted(spark):
+    from datetime import datetime
+
+    from tablewatch.plans.suite import run_suite
+    from tablewatch.sources.rules import Rules, TableRule
+
+    rules = Rules(tables=(TableRule("t"),))
+    v1 = spark.createDataFrame([(1, "a")], "id bigint, name string")
+    v2 = v1.drop("name")
+    h1 = run_suite(spark, {"t": v1}, rules, 1, datetime(2024, 1, 1))
+    h2 = h1.unionByName(run_suite(spark, {"t": v2}, rules, 2, datetime(2024, 1, 2), last_snapshot(h1)))
+    latest = run_suite(spark, {"t": v2}, rules, 3, datetime(2024, 1, 3), last_snapshot(h2)).where("check_type = 'schema_drift'")
+    strict = run_suite(spark, {"t": v2}, rules, 3, datetime(2024, 1, 3), last_snapshot(h2, "last_pass")).where(
+        "check_type = 'schema_drift'")
+    assert latest.first()["status"] == "pass" and strict.first()["status"] == "fail"
