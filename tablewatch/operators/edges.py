@@ -20,8 +20,9 @@ def upsert_edges(existing: DataFrame, batch: DataFrame) -> DataFrame:
     is refreshed (the newest time wins, the first recorded ``source_type`` stays)."""
     cols = ["job_name", "source_table", "target_table", "source_type", "detected_at"]
     u = existing.select(*cols).unionByName(batch.select(*cols))
+    first = F.min(F.struct(F.col("detected_at"), F.col("source_type")))  # ties broken by type: deterministic
     return u.groupBy("job_name", "source_table", "target_table").agg(
-        F.min_by("source_type", "detected_at").alias("source_type"),
+        first["source_type"].alias("source_type"),
         F.max("detected_at").alias("detected_at"),
     ).select(*cols)
 

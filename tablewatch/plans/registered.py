@@ -729,7 +729,7 @@ def graph_edges(spark, sf) -> DataFrame:
 
 @register("edges_upsert", f"""WITH {_fx_edges_sql('b1', 'p_partkey % 2 = 0', D.UPSERT_FIRST_AT)},
 {_fx_edges_sql('b2', 'true', D.UPSERT_SECOND_AT, "CASE WHEN p_partkey % 3 = 0 THEN 'manual_override' ELSE 'auto_parsed' END")}
-SELECT job_name, source_table, target_table, arg_min(source_type, detected_at) AS source_type, max(detected_at) AS detected_at
+SELECT job_name, source_table, target_table, min({'t': detected_at, 's': source_type}).s AS source_type, max(detected_at) AS detected_at
 FROM (SELECT * FROM b1 UNION ALL SELECT * FROM b2) GROUP BY job_name, source_table, target_table""")
 def q_edges_upsert(spark, sf):
     first, second = D.fx_upsert_batches(T(spark, sf, "part"))
@@ -1060,3 +1060,66 @@ def q_results_history_pruned(spark, sf):
     from tablewatch.sources.catalog import append_results, read_results
     append_results(fx_results_df(spark, sf), path)
     return RP.dq_history(read_results(spark, path), 7, D.AS_OF)
+
+
+# =========================================================================================
+# The default configuration over the staged tables and the star schema (41 checks)
+# =========================================================================================
+
+from tablewatch.plans.default_rules import DEFAULT_RULES  # noqa: E402
+
+WH_JOBS = {"stg_customers": "job_1", "stg_orders": "job_2", "stg_order_items": "job_3", "stg_products": "job_4",
+           "stg_sellers": "job_5", "Fact_Order_Items": "job_6"}
+WH_SCHEMAS = {
+    "stg_customers": [("customer_id", "bigint"), ("customer_unique_id", "string"), ("customer_zip_code_prefix", "string"),
+                      ("customer_city", "string"), ("customer_state", "string")],
+    "stg_orders": [("order_id", "bigint"), ("customer_id", "bigint"), ("order_status", "string"),
+                   ("order_purchase_timestamp", "timestamp_ntz"), ("order_approved_at", "timestamp_ntz"),
+                   ("order_delivered_customer_date", "timestamp_ntz"), ("order_estimated_delivery_date", "timestamp_ntz")],
+    "stg_order_items": [("order_id", "bigint"), ("order_item_id", "int"), ("product_id", "bigint"), ("seller_id", "bigint"),
+                        ("shipping_limit_date", "timestamp_ntz"), ("price", "decimal(10,2)"), ("freight_value", "decimal(10,2)")],
+    "stg_products": [("product_id", "bigint"), ("product_category_name", "string"), ("product_weight_g", "int"),
+                     ("product_length_cm", "int"), ("product_height_cm", "int"), ("product_width_cm", "int")],
+    "stg_sellers": [("seller_id", "bigint"), ("seller_zip_code_prefix", "string"), ("seller_city", "string"),
+                    ("seller_state", "string")],
+    "Fact_Order_Items": [("order_id", "bigint"), ("order_item_id", "int"), ("product_id", "bigint"), ("seller_id", "bigint"),
+                         ("customer_id", "bigint"), ("date_key", "int"), ("price", "decimal(10,2)"),
+                         ("freight_value", "decimal(10,2)"), ("order_status", "string")],
+}
+WH_REL = {"stg_customers": "stg_customers", "stg_orders": "stg_orders", "stg_order_items": "stg_order_items",
+          "stg_products": "stg_products", "stg_sellers": "stg_sellers", "Fact_Order_Items": "fact_order_items",
+          "Dim_Customer": "dim_customer", "Dim_Product": "dim_product", "Dim_Seller": "dim_seller", "Dim_Date": "dim_date"}
+
+
+def _warehouse_suite_sql() -> str:
+    import json
+    parts = []
+    for r in DEFAULT_RULES.tables:
+        cols = [c for c, _ in WH_SCHEMAS[r.name]]
+        parts.append(sql_table_checks(r.name, WH_REL[r.name], cols, list(r.null_check_columns), list(r.key_columns)))
+        for fk in r.referential_integrity:
+            parts.append(sql_ri(r.name, WH_REL[r.name], fk.column, WH_REL[fk.parent_table], fk.parent_column))
+    for r in DEFAULT_RULES.tables:
+        js = json.dumps(dict(WH_SCHEMAS[r.name]), sort_keys=True)
+        parts.append(f"SELECT {_q(r.name)}, 'schema_drift', CAST(NULL AS VARCHAR), 'pass', CAST(0.0 AS DOUBLE), "
+                     f"CAST(NULL AS DOUBLE), {_q('no prior snapshot -- recording baseline: ' + js)}")
+    fresh_tables = " UNION ALL ".join(f"SELECT {_q(r.name)} AS table_name" for r in DEFAULT_RULES.tables if r.freshness_check)
+    jobs = " UNION ALL ".join(f"SELECT {_q(j)} AS job_name, {_q(t)} AS target_table, TIMESTAMP '{D.JOBS_AT}' AS detected_at"
+                              for t, j in WH_JOBS.items())
+    fresh = sql_freshness("wh_fresh", "wh_jobs", "fx_runs", D.AS_OF)
+    parts.append(f"SELECT table_name, check_type, column_name, status, measured, threshold, detail FROM ({fresh})")
+    union = "\nUNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
+    return (f"WITH {WH_SQL}, {FX_RUNS_SQL}, wh_fresh AS ({fresh_tables}), wh_jobs AS ({jobs})\n"
+            f"SELECT CAST(7 AS BIGINT) AS run_id, u.*, TIMESTAMP '{D.AS_OF}' AS checked_at FROM (\n{union}) "
+            f"AS u(table_name, check_type, column_name, status, measured, threshold, detail)")
+
+
+@register("warehouse_suite", _warehouse_suite_sql())
+def q_warehouse_suite(spark, sf):
+    """The default 41-check configuration on a first run (no earlier snapshots): 6 table
+    aggregates, 4 foreign-key branches, drift and freshness, one result frame."""
+    stg = staged(spark, sf)
+    tables = {**stg, **WH.warehouse_tables(stg)}
+    edges = spark.createDataFrame([(j, t) for t, j in WH_JOBS.items()], "job_name string, target_table string").withColumn(
+        "detected_at", F.lit(D.JOBS_AT).cast("timestamp_ntz"))
+    return SU.run_suite(spark, tables, DEFAULT_RULES, 7, D.AS_OF, None, edges, D.fx_runs(T(spark, sf, "events")))
