@@ -729,7 +729,7 @@ def graph_edges(spark, sf) -> DataFrame:
 
 @register("edges_upsert", f"""WITH {_fx_edges_sql('b1', 'p_partkey % 2 = 0', D.UPSERT_FIRST_AT)},
 {_fx_edges_sql('b2', 'true', D.UPSERT_SECOND_AT, "CASE WHEN p_partkey % 3 = 0 THEN 'manual_override' ELSE 'auto_parsed' END")}
-SELECT job_name, source_table, target_table, min({'t': detected_at, 's': source_type}).s AS source_type, max(detected_at) AS detected_at
+SELECT job_name, source_table, target_table, min({{'t': detected_at, 's': source_type}}).s AS source_type, max(detected_at) AS detected_at
 FROM (SELECT * FROM b1 UNION ALL SELECT * FROM b2) GROUP BY job_name, source_table, target_table""")
 def q_edges_upsert(spark, sf):
     first, second = D.fx_upsert_batches(T(spark, sf, "part"))
