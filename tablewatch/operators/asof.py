@@ -73,11 +73,9 @@ def _fill(lnull: DataFrame, lcols, right: DataFrame, value: str, right_on: str,
 
 
 def _asof_ranged(left, right, by, left_on, right_on, value, out, out_time, partitions):
-    spark = left.sparkSession
     value = value or right_on
     lcols = left.columns
     t_type = right.schema[right_on].dataType
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     r = right.where(F.col(right_on).isNotNull())
     for k in by:
@@ -95,7 +93,10 @@ def _asof_ranged(left, right, by, left_on, right_on, value, out, out_time, parti
     # a range boundary. The range bounds come from sampling, so the partitioned rows are
     # materialised once (shared checkpoint folder): the per-partition maxima and the scan
     # must see the same partition ids.
-    ranged = cut_lineage(rows.repartitionByRange(n, *by, "_t", "_side").withColumn("_pid", F.spark_partition_id()))
+    # Without an explicit count AQE may merge adjacent range partitions (order is kept).
+    keys = [*by, "_t", "_side"]
+    parted = rows.repartitionByRange(partitions, *keys) if partitions else rows.repartitionByRange(*keys)
+    ranged = cut_lineage(parted.withColumn("_pid", F.spark_partition_id()))
     per_part = ranged.groupBy("_pid", *by).agg(F.max("_rv").alias("_pbest"))
     w_carry = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     carry = per_part.select("_pid", *by, F.max("_pbest").over(w_carry).alias("_carry"))
