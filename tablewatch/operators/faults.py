@@ -30,11 +30,11 @@ def break_foreign_key(
     expected to be unique on ``key_columns`` (dedupe first otherwise).
     """
     keys = list(key_columns)
-    sample = F.broadcast(df.select(*keys).orderBy(*keys).limit(n))
-    rest = df.join(sample, keys, "left_anti")
-    hit = df.join(sample, keys, "inner")
-    fake = F.concat(F.lit(prefix), F.row_number().over(Window.orderBy(*keys)).cast("string"))
-    hit = hit.withColumn(fk_column, fake)
+    # top-n by key (partial top-n per task, then merge), numbered while it is n rows
+    sample = df.select(*keys).orderBy(*keys).limit(n)
+    sample = F.broadcast(sample.withColumn("_tw_n", F.row_number().over(Window.orderBy(*keys))))
+    rest = df.join(sample.drop("_tw_n"), keys, "left_anti")
+    hit = df.join(sample, keys, "inner").withColumn(fk_column, F.concat(F.lit(prefix), F.col("_tw_n").cast("string")))
     return rest.withColumn(fk_column, F.col(fk_column).cast("string")).unionByName(hit.select(*df.columns))
 
 
