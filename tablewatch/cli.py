@@ -2,7 +2,8 @@
 
     python -m tablewatch suite --rules rules.yaml --results dq_check_results \\
         [--runs pipeline_run_events] [--edges lineage_edges] [--as-of "2024-01-31 00:00:00"]
-    python -m tablewatch lineage --scripts jobs/ --edges lineage_edges
+    python -m tablewatch lineage --scripts jobs/ --edges lineage_edges   (or --config config.yaml)
+    python -m tablewatch init [--prefix meta.]
     python -m tablewatch inventory stg_orders Fact_Order_Items
     python -m tablewatch blast-radius --edges lineage_edges stg_orders
 
@@ -64,7 +65,16 @@ def cmd_lineage(spark: SparkSession, a: argparse.Namespace) -> None:
     from tablewatch.sources.catalog import replace_table
     from tablewatch.sources.files import read_scripts
 
-    ex = extract_lineage(read_scripts(spark, a.scripts)).checkpoint()
+    if a.config:
+        from tablewatch.sources.files import read_job_scripts
+        import yaml
+
+        with open(a.config, encoding="utf-8") as fh:
+            jobs = {j["name"]: j["script_path"] for j in yaml.safe_load(fh).get("pipeline_jobs", [])}
+        corpus = read_job_scripts(spark, jobs)
+    else:
+        corpus = read_scripts(spark, a.scripts)
+    ex = extract_lineage(corpus).checkpoint()
     new = lineage_edges(ex)
     old = _table(spark, a.edges)
     if old is None:
@@ -80,7 +90,8 @@ def cmd_lineage(spark: SparkSession, a: argparse.Namespace) -> None:
 def cmd_inventory(spark: SparkSession, a: argparse.Namespace) -> None:
     from tablewatch.sources.catalog import table_inventory
 
-    _print(table_inventory(spark, a.tables))
+    names = a.tables or [t.name for t in spark.catalog.listTables() if not t.isTemporary]
+    _print(table_inventory(spark, names))
 
 
 def cmd_blast(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -90,6 +101,13 @@ def cmd_blast(spark: SparkSession, a: argparse.Namespace) -> None:
     _print(blast_radius(spark.read.table(a.edges), failing).drop("path").orderBy("failing_table", "affected_table"))
 
 
+def cmd_init(spark: SparkSession, a: argparse.Namespace) -> None:
+    from tablewatch.sources.metadata import create_metadata_tables
+
+    for name in create_metadata_tables(spark, a.prefix):
+        print(json.dumps({"created": name}))
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     p = argparse.ArgumentParser(prog="tablewatch")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -103,13 +121,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     s.add_argument("--baseline", choices=["latest", "last_pass"], default="latest")
     s.set_defaults(fn=cmd_suite)
     li = sub.add_parser("lineage")
-    li.add_argument("--scripts", required=True)
+    src = li.add_mutually_exclusive_group(required=True)
+    src.add_argument("--scripts", help="directory of job scripts (job name = file name)")
+    src.add_argument("--config", help="YAML with pipeline_jobs: [{name, script_path}]")
     li.add_argument("--edges", required=True)
     li.add_argument("--unresolved", help="table to overwrite with the unresolved cases")
     li.set_defaults(fn=cmd_lineage)
     inv = sub.add_parser("inventory")
-    inv.add_argument("tables", nargs="+")
+    inv.add_argument("tables", nargs="*", help="default: every table of the current database")
     inv.set_defaults(fn=cmd_inventory)
+    ini = sub.add_parser("init")
+    ini.add_argument("--prefix", default="")
+    ini.set_defaults(fn=cmd_init)
     b = sub.add_parser("blast-radius")
     b.add_argument("--edges", required=True)
     b.add_argument("tables", nargs="+")

@@ -8,5 +8,6 @@ from tablewatch.sources.catalog import (  # noqa: F401
     table_inventory,
     write_table,
 )
-from tablewatch.sources.files import read_csv, read_scripts, read_table  # noqa: F401
+from tablewatch.sources.files import read_csv, read_job_scripts, read_scripts, read_table  # noqa: F401
+from tablewatch.sources.metadata import create_metadata_tables  # noqa: F401
 from tablewatch.sources.rules import ForeignKey, Rules, TableRule, load_rules, rules_from_dict  # noqa: F401

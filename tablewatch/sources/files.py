@@ -40,3 +40,20 @@ def read_scripts(spark: SparkSession, path: str, pattern: str = "*.py") -> DataF
     )
     stem = F.regexp_extract(F.col("script_path"), r"([^/]+)\.[^./]+$", 1)
     return df.select(stem.alias("job_name"), "script_path", "script_text")
+
+
+def read_job_scripts(spark: SparkSession, jobs: dict[str, str]) -> DataFrame:
+    """``(job_name, script_path, script_text)`` for a job list ``{job_name: script_path}``;
+    scripts that do not exist are skipped (checked on the file system of each path)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    existing = {}
+    for job, path in jobs.items():
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        if p.getFileSystem(conf).exists(p):
+            existing[job] = p.getFileSystem(conf).makeQualified(p).toString()
+    if not existing:
+        return spark.createDataFrame([], "job_name string, script_path string, script_text string")
+    texts = spark.read.text(list(existing.values()), wholetext=True).select(
+        F.col("value").alias("script_text"), F.col("_metadata.file_path").alias("script_path"))
+    names = spark.createDataFrame([(j, p) for j, p in existing.items()], "job_name string, script_path string")
+    return names.join(texts, "script_path").select("job_name", "script_path", "script_text")

@@ -34,3 +34,23 @@ def test_lineage_then_blast_radius_then_suite(spark, capsys):
               "--as-of", "2024-01-31 00:00:00"], spark)
     tot = json.loads(capsys.readouterr().out.splitlines()[-1])
     assert tot["checks_run"] == 4 and tot["checks_failed"] == 3
+
+
+def test_job_list_config_skips_missing_and_init_creates_tables(spark, capsys):
+    d = tempfile.mkdtemp(prefix="tw-jobs-")
+    with open(os.path.join(d, "one.py"), "w") as fh:
+        fh.write('x = spark.table("src_one")\nx.write.saveAsTable("dst_one")\n')
+    cfg = os.path.join(d, "config.yaml")
+    with open(cfg, "w") as fh:
+        fh.write(f"pipeline_jobs:\n  - name: job_one\n    script_path: {d}/one.py\n"
+                 f"  - name: job_gone\n    script_path: {d}/gone.py\n")
+    cli.main(["lineage", "--config", cfg, "--edges", "cfg_edges", "--unresolved", "cfg_unresolved"], spark)
+    rows = spark.read.table("cfg_edges").collect()
+    assert [(r["job_name"], r["source_table"], r["target_table"]) for r in rows] == [("job_one", "src_one", "dst_one")]
+    assert spark.read.table("cfg_unresolved").count() == 0
+    cli.main(["init", "--prefix", "m_"], spark)
+    made = [json.loads(x)["created"] for x in capsys.readouterr().out.splitlines() if "created" in x]
+    assert set(made) == {"m_pipeline_run_events", "m_lineage_edges", "m_lineage_overrides", "m_dq_check_results"}
+    cli.main(["inventory"], spark)
+    inv = {json.loads(x)["table_name"] for x in capsys.readouterr().out.splitlines()}
+    assert {"cfg_edges", "m_dq_check_results"} <= inv
