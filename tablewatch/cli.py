@@ -35,7 +35,8 @@ def _print(df: DataFrame) -> None:
 
 
 def cmd_suite(spark: SparkSession, a: argparse.Namespace) -> None:
-    from tablewatch.operators.drift import last_snapshot
+    from tablewatch.operators.drift import last_snapshot, latest_snapshot, schema_snapshot, stamp_snapshot
+    from tablewatch.operators.freshness import ts_lit
     from tablewatch.operators.runlog import current_runs
     from tablewatch.plans.suite import run_suite, suite_totals
     from tablewatch.sources.rules import load_rules
@@ -45,7 +46,11 @@ def cmd_suite(spark: SparkSession, a: argparse.Namespace) -> None:
     tables = {n: _table(spark, n) for n in names}
     tables = {n: df for n, df in tables.items() if df is not None}
     history = _table(spark, a.results)
-    previous = last_snapshot(history, a.baseline) if history is not None else None
+    snapshots = _table(spark, a.snapshots)
+    if snapshots is not None:
+        previous = latest_snapshot(snapshots)
+    else:
+        previous = last_snapshot(history, a.baseline) if history is not None else None
     events = _table(spark, a.runs)
     runs = current_runs(events) if events is not None else None
     run_id = a.run_id if a.run_id is not None else int(time.time() * 1000)
@@ -55,6 +60,10 @@ def cmd_suite(spark: SparkSession, a: argparse.Namespace) -> None:
     res = res.withColumn("check_result_id", rid).withColumn(
         "check_date", F.to_date("checked_at"))
     res.write.mode("append").partitionBy("check_date").saveAsTable(a.results)
+    if a.snapshots:
+        present = {r.name: tables[r.name] for r in rules.tables if r.name in tables}
+        now = ts_lit(a.as_of) if a.as_of else F.current_timestamp().cast("timestamp_ntz")
+        stamp_snapshot(schema_snapshot(spark, present), run_id, now).write.mode("append").saveAsTable(a.snapshots)
     stored = spark.read.table(a.results).where(F.col("run_id") == run_id)
     _print(suite_totals(stored))
 
@@ -119,6 +128,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     s.add_argument("--as-of")
     s.add_argument("--run-id", type=int)
     s.add_argument("--baseline", choices=["latest", "last_pass"], default="latest")
+    s.add_argument("--snapshots", help="typed schema snapshot table: read as baseline, appended per run")
     s.set_defaults(fn=cmd_suite)
     li = sub.add_parser("lineage")
     src = li.add_mutually_exclusive_group(required=True)

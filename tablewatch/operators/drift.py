@@ -135,3 +135,16 @@ def last_snapshot(results: DataFrame, baseline: str = "latest") -> DataFrame:
         F.from_json(snapshot_text(F.col("detail")), "map<string,string>").alias("m"),
     )
     return parsed.select("table_name", F.explode("m").alias("column_name", "data_type"))
+
+
+def stamp_snapshot(snapshot: DataFrame, run_id: int, checked_at) -> DataFrame:
+    """Snapshot rows ready to append to a typed snapshot table (one set per run)."""
+    return snapshot.select(F.lit(run_id).cast("long").alias("run_id"), "table_name", "position", "column_name",
+                           "data_type", checked_at.alias("checked_at"))
+
+
+def latest_snapshot(snapshots: DataFrame) -> DataFrame:
+    """Previous schema per table from a typed snapshot table: every column row of the
+    newest recorded run of each table (ties kept, so all its columns survive)."""
+    latest = latest_per_key(snapshots, ["table_name"], [F.desc("checked_at"), F.desc("run_id")], ties=True)
+    return latest.select("table_name", "column_name", "data_type")

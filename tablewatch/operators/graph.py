@@ -46,7 +46,6 @@ def reachable(
     with_paths: bool = False,
     src: str = "source_table",
     dst: str = "target_table",
-    max_rounds: int | None = None,
 ) -> DataFrame:
     """Pairs ``(root, node, distance[, path])`` for every node reachable from each root.
 
@@ -65,7 +64,7 @@ def reachable(
     seen = frontier.select("root", "node")
     parts: list[DataFrame] = []
     depth = 0
-    while max_rounds is None or depth < max_rounds:
+    while True:  # ends when a round reaches nothing new (also on cycles)
         depth += 1
         step = frontier.join(e, frontier["node"] == e["_from"]).select(
             "root", F.col("_to").alias("node"), *(["path"] if with_paths else []))

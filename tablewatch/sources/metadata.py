@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.types import (
     DateType,
     DoubleType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -51,11 +52,21 @@ RESULT_SCHEMA = StructType([
     StructField("check_date", DateType(), False),
 ])
 
+SNAPSHOT_TABLE_SCHEMA = StructType([
+    StructField("run_id", LongType(), False),
+    StructField("table_name", StringType(), False),
+    StructField("position", IntegerType(), False),
+    StructField("column_name", StringType(), False),
+    StructField("data_type", StringType(), False),
+    StructField("checked_at", TimestampNTZType(), False),
+])
+
 TABLES = {
     "pipeline_run_events": (EVENT_SCHEMA, None),
     "lineage_edges": (EDGE_SCHEMA, None),
     "lineage_overrides": (OVERRIDE_SCHEMA, None),
     "dq_check_results": (RESULT_SCHEMA, "check_date"),
+    "schema_snapshots": (SNAPSHOT_TABLE_SCHEMA, None),
 }
 
 

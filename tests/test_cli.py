@@ -50,7 +50,25 @@ def test_job_list_config_skips_missing_and_init_creates_tables(spark, capsys):
     assert spark.read.table("cfg_unresolved").count() == 0
     cli.main(["init", "--prefix", "m_"], spark)
     made = [json.loads(x)["created"] for x in capsys.readouterr().out.splitlines() if "created" in x]
-    assert set(made) == {"m_pipeline_run_events", "m_lineage_edges", "m_lineage_overrides", "m_dq_check_results"}
+    assert set(made) == {"m_pipeline_run_events", "m_lineage_edges", "m_lineage_overrides", "m_dq_check_results",
+                         "m_schema_snapshots"}
     cli.main(["inventory"], spark)
     inv = {json.loads(x)["table_name"] for x in capsys.readouterr().out.splitlines()}
     assert {"cfg_edges", "m_dq_check_results"} <= inv
+
+
+def test_suite_with_typed_snapshots_detects_drift(spark, capsys):
+    d = tempfile.mkdtemp(prefix="tw-snap-")
+    rules = os.path.join(d, "rules.yaml")
+    with open(rules, "w") as fh:
+        fh.write("data_quality:\n  tables:\n    - name: snap_t\n      key_columns: [id]\n")
+    spark.createDataFrame([(1, "x")], "id int, v string").write.saveAsTable("snap_t")
+    args = ["suite", "--rules", rules, "--results", "snap_results", "--snapshots", "snap_snapshots"]
+    cli.main(args + ["--run-id", "1", "--as-of", "2024-01-01 00:00:00"], spark)
+    spark.sql("DROP TABLE snap_t")
+    spark.createDataFrame([(1, 2)], "id int, v int").write.saveAsTable("snap_t")
+    cli.main(args + ["--run-id", "2", "--as-of", "2024-01-02 00:00:00"], spark)
+    capsys.readouterr()
+    r = spark.read.table("snap_results").where("run_id = 2 AND check_type = 'schema_drift'").first()
+    assert r["status"] == "fail" and r["detail"].startswith("type changes: {'v': ('string', 'int')}")
+    assert spark.read.table("snap_snapshots").count() == 4
