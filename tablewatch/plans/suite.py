@@ -9,6 +9,7 @@ and the suite goes on.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 
@@ -78,6 +79,15 @@ def run_suite(
     return out.select(F.lit(run_id).cast("long").alias("run_id"), "table_name", *CHECK_COLUMNS, checked.alias("checked_at"))
 
 
+def iter_suite(spark: SparkSession, tables: dict[str, DataFrame], rules: Rules, run_id: int, tables_per_plan: int = 50,
+               **kw):
+    """``run_suite`` in batches of ``tables_per_plan`` rules: for configurations with very
+    many tables, each batch is one plan (bounded analysis time) appended on its own."""
+    items = list(rules.tables)
+    for i in range(0, len(items), tables_per_plan):
+        yield run_suite(spark, tables, replace(rules, tables=tuple(items[i:i + tables_per_plan])), run_id, **kw)
+
+
 def suite_totals(results: DataFrame) -> DataFrame:
     """Per run: checks run / failed / warned; the suite's own run-log counts (rows read =
     rows written = checks run)."""

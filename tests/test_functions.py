@@ -3,7 +3,6 @@ from datetime import datetime
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tablewatch.functions.scalar import fixed, humanize_seconds, iso_text, json_object_text, percent, py_list_text
 

@@ -37,3 +37,21 @@ def test_schema_drift_injection_is_detected_end_to_end(spark):
     assert got[("fact", "schema_drift", None)]["status"] == "pass"
     t = suite_totals(res).collect()[0]
     assert t["run_id"] == 42 and t["checks_run"] == len(got) and t["rows_read"] == t["checks_run"]
+
+
+def test_batched_suite_equals_single_plan(spark):
+    from functools import reduce
+
+    from pyspark.sql import DataFrame
+
+    from tablewatch.plans.suite import iter_suite
+
+    rules = rules_from_dict(CONFIG)
+    customers = spark.createDataFrame([("c1", "x", "SP")], "customer_id string, customer_city string, customer_state string")
+    fact = spark.createDataFrame([("o1", "c1")], "order_id string, customer_id string")
+    tables = {"stg_customers": customers, "fact": fact}
+    whole = run_suite(spark, tables, rules, 1, datetime(2024, 1, 31))
+    parts = list(iter_suite(spark, tables, rules, 1, tables_per_plan=1, as_of=datetime(2024, 1, 31)))
+    assert len(parts) == 3
+    key = lambda r: (r["table_name"], r["check_type"], r["column_name"] or "")
+    assert sorted(reduce(DataFrame.unionByName, parts).collect(), key=key) == sorted(whole.collect(), key=key)
