@@ -15,6 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from tablewatch.functions.messages import LATENCY_HOURS, LATENCY_MINUTES, LATENCY_SECONDS, render
+
 # Check statuses, their severity order and their console markers.
 SEVERITY = {"pass": 0, "warn": 1, "fail": 2}
 STATUS_MARKER = {"pass": "pass", "warn": "WARN", "fail": "FAIL"}
@@ -69,9 +71,9 @@ def humanize_seconds(seconds: Column | str) -> Column:
     s = _c(seconds)
     return (
         F.when(s.isNull(), F.lit(None))
-        .when(s < 60, F.concat(fixed(s, 0), F.lit(" seconds")))
-        .when(s < 3600, F.concat(fixed(s / 60, 1), F.lit(" minutes")))
-        .otherwise(F.concat(fixed(s / 3600, 2), F.lit(" hours")))
+        .when(s < 60, render(LATENCY_SECONDS, n=fixed(s, 0)))
+        .when(s < 3600, render(LATENCY_MINUTES, n=fixed(s / 60, 1)))
+        .otherwise(render(LATENCY_HOURS, n=fixed(s / 3600, 2)))
     )
 
 

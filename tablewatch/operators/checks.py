@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from tablewatch.functions.messages import DUPLICATE_DETAIL, MISSING_COLUMN_DETAIL, NULL_DETAIL, ORPHAN_DETAIL, render
 from tablewatch.functions.scalar import fixed, percent, py_num, status_over
 
 CHECK_SCHEMA = StructType(
@@ -54,7 +55,7 @@ def check_row(check_type, column_name, status, measured, threshold, detail) -> C
 
 
 def _missing_column_row(check_type: str, column: str) -> Column:
-    return check_row(check_type, column, "fail", None, None, f"column '{column}' not found in table (schema drift?)")
+    return check_row(check_type, column, "fail", None, None, MISSING_COLUMN_DETAIL.format(column=column))
 
 
 def table_checks(
@@ -89,10 +90,7 @@ def table_checks(
             continue
         n = F.col(f"_null{present.index(c)}")
         rate = percent(n, total)
-        detail = F.concat(
-            F.lit("null_rate="), fixed(rate, 2), F.lit(f"%, threshold={thr}%, null_count="),
-            n.cast("string"), F.lit(", total_rows="), total.cast("string"),
-        )
+        detail = render(NULL_DETAIL, rate=fixed(rate, 2), threshold=thr, count=n.cast("string"), total=total.cast("string"))
         rows.append(check_row("null_check", c, status_over(rate, max_null_rate_pct), rate, float(max_null_rate_pct), detail))
     if keys:
         key_text = ",".join(keys)
@@ -100,10 +98,8 @@ def table_checks(
             dup = total - F.col("_distinct")
             rate = percent(dup, total)
             dthr = py_num(max_duplicate_rate_pct)
-            detail = F.concat(
-                F.lit("duplicate_rate="), fixed(rate, 2), F.lit(f"%, threshold={dthr}%, duplicate_count="),
-                dup.cast("string"), F.lit(", total_rows="), total.cast("string"),
-            )
+            detail = render(DUPLICATE_DETAIL, rate=fixed(rate, 2), threshold=dthr, count=dup.cast("string"),
+                            total=total.cast("string"))
             rows.append(check_row("duplicate_check", key_text, status_over(rate, max_duplicate_rate_pct), rate,
                                   float(max_duplicate_rate_pct), detail))
         else:
@@ -154,9 +150,6 @@ def check_referential_integrity(
         return spark.range(1).select(F.inline(F.array(row)))
     n = F.count(F.lit(1))
     bad = "fail" if fail_on_any_orphan else "warn"
-    detail = F.concat(
-        F.lit("orphan_key_count="), n.cast("string"),
-        F.lit(f" (distinct '{fk_column}' values with no matching '{parent_column}' in parent table)"),
-    )
+    detail = render(ORPHAN_DETAIL, count=n.cast("string"), column=fk_column, parent_column=parent_column)
     row = check_row("referential_integrity", fk_column, F.when(n > 0, F.lit(bad)).otherwise(F.lit("pass")), n, 0.0, detail)
     return orphan_keys(child, fk_column, parent, parent_column).agg(row.alias("r")).select("r.*")

@@ -9,13 +9,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewatch.functions.messages import (
+    DIGEST_BLAST,
+    DIGEST_CHECK,
+    DIGEST_COLUMN,
+    DIGEST_DETAIL,
+    DIGEST_GENERATED,
+    DIGEST_HEADER,
+    DIGEST_HEAVY_RULE,
+    DIGEST_LIGHT_RULE,
+    DIGEST_NO_BLAST,
+    DIGEST_SUBJECT,
+    DIGEST_TABLE,
+    render,
+)
 from tablewatch.functions.scalar import iso_text
 from tablewatch.operators.freshness import ts_lit
 
-# Digest layout.
-RULE_HEAVY = "=" * 60
-RULE_LIGHT = "-" * 60
-NO_BLAST = "Blast radius: none (failure contained to this table)"
 FOOTER = "See the failure drill-down report for full detail."
 
 
@@ -32,17 +42,16 @@ def failure_digest(results: DataFrame, radius: DataFrame | None = None, generate
         fails = fails.join(per_table, "table_name", "left")
     else:
         fails = fails.withColumn("n_affected", F.lit(None).cast("long")).withColumn("affected", F.lit(None).cast("string"))
-    blast = F.when(F.col("n_affected") > 0, F.concat(
-        F.lit("Blast radius: "), F.col("n_affected").cast("string"), F.lit(" table(s) potentially affected -- "),
-        F.col("affected"))).otherwise(F.lit(NO_BLAST))
+    blast = F.when(F.col("n_affected") > 0, render(
+        DIGEST_BLAST, n=F.col("n_affected").cast("string"), tables=F.col("affected"))).otherwise(F.lit(DIGEST_NO_BLAST))
     block = F.concat_ws(
         "\n",
-        F.concat(F.lit("Table:      "), F.col("table_name")),
-        F.concat(F.lit("Check type: "), F.col("check_type")),
-        F.when(F.col("column_name").isNotNull() & (F.col("column_name") != ""), F.concat(F.lit("Column:     "), F.col("column_name"))),
-        F.concat(F.lit("Detail:     "), F.coalesce(F.col("detail"), F.lit("None"))),
+        render(DIGEST_TABLE, v=F.col("table_name")),
+        render(DIGEST_CHECK, v=F.col("check_type")),
+        F.when(F.col("column_name").isNotNull() & (F.col("column_name") != ""), render(DIGEST_COLUMN, v=F.col("column_name"))),
+        render(DIGEST_DETAIL, v=F.coalesce(F.col("detail"), F.lit("None"))),
         blast,
-        F.lit(RULE_LIGHT),
+        F.lit(DIGEST_LIGHT_RULE),
     )
     key = F.struct(F.col("table_name"), F.col("check_type"), F.coalesce(F.col("column_name"), F.lit("")).alias("c"),
                    F.coalesce(F.col("detail"), F.lit("")).alias("d"), block.alias("block"))
@@ -52,13 +61,13 @@ def failure_digest(results: DataFrame, radius: DataFrame | None = None, generate
     n = F.col("failing_count").cast("string")
     body = F.concat_ws(
         "\n",
-        F.concat(F.lit("Data Quality Alert -- "), n, F.lit(" check(s) failing")),
-        F.concat(F.lit("Generated: "), gen),
-        F.lit(RULE_HEAVY),
+        render(DIGEST_HEADER, n=n),
+        render(DIGEST_GENERATED, at=gen),
+        F.lit(DIGEST_HEAVY_RULE),
         F.lit(""),
         F.array_join(F.transform("blocks", lambda b: b["block"]), "\n"),
         F.lit(""),
         F.lit(FOOTER),
     )
     return g.select("run_id", "failing_count",
-                    F.concat(F.lit("[DQ Alert] "), n, F.lit(" check(s) failing")).alias("subject"), body.alias("body"))
+                    render(DIGEST_SUBJECT, n=n).alias("subject"), body.alias("body"))

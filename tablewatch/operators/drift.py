@@ -18,6 +18,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from tablewatch.functions.messages import (
+    DRIFT_ADDED,
+    DRIFT_BASELINE,
+    DRIFT_CURRENT,
+    DRIFT_NO_CHANGES,
+    DRIFT_REMOVED,
+    DRIFT_TYPE_CHANGES,
+    render,
+)
 from tablewatch.functions.scalar import json_object_text, py_list_text, type_string
 from tablewatch.operators.latest import latest_per_key
 
@@ -30,9 +39,9 @@ SNAPSHOT_SCHEMA = StructType(
     ]
 )
 
-# Markers that precede the embedded schema JSON in a drift detail.
-CURRENT_MARKER = "current_schema: "
-BASELINE_MARKER = "recording baseline: "
+# Markers that precede the embedded schema JSON in a drift detail (from the templates).
+CURRENT_MARKER = DRIFT_CURRENT.split("{issues} | ")[1].split("{schema}")[0]
+BASELINE_MARKER = DRIFT_BASELINE.split("-- ")[1].split("{schema}")[0]
 
 
 def schema_snapshot(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
@@ -86,11 +95,11 @@ def check_schema_drift(
         F.lit("}"),
     )
     issues = F.array_compact(F.array(
-        F.when(n_removed > 0, F.concat(F.lit("removed columns: "), py_list_text(removed))),
-        F.when(n_changed > 0, F.concat(F.lit("type changes: "), changed_text)),
-        F.when(n_added > 0, F.concat(F.lit("added columns: "), py_list_text(added))),
+        F.when(n_removed > 0, render(DRIFT_REMOVED, columns=py_list_text(removed))),
+        F.when(n_changed > 0, render(DRIFT_TYPE_CHANGES, changes=changed_text)),
+        F.when(n_added > 0, render(DRIFT_ADDED, columns=py_list_text(added))),
     ))
-    body = F.when(F.size(issues) > 0, F.array_join(issues, "; ")).otherwise(F.lit("no schema changes detected"))
+    body = F.when(F.size(issues) > 0, F.array_join(issues, "; ")).otherwise(F.lit(DRIFT_NO_CHANGES))
     first = ~F.col("has_prev")
     return agg.select(
         "table_name",
@@ -99,8 +108,8 @@ def check_schema_drift(
         F.when(first, F.lit("pass")).otherwise(status).alias("status"),
         F.when(first, F.lit(0.0)).otherwise((n_removed + n_added + n_changed).cast("double")).alias("measured"),
         F.lit(None).cast("double").alias("threshold"),
-        F.when(first, F.concat(F.lit("no prior snapshot -- " + BASELINE_MARKER), schema_json))
-        .otherwise(F.concat(body, F.lit(" | " + CURRENT_MARKER), schema_json)).alias("detail"),
+        F.when(first, render(DRIFT_BASELINE, schema=schema_json))
+        .otherwise(render(DRIFT_CURRENT, issues=body, schema=schema_json)).alias("detail"),
         schema_json.alias("current_schema"),
     )
 

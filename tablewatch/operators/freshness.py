@@ -7,12 +7,10 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewatch.functions.messages import FRESHNESS_DETAIL, NO_WRITE_DETAIL, render
 from tablewatch.functions.scalar import fixed, iso_text, py_num, seconds_between
 from tablewatch.operators.latest import latest_per_key
 
-# Fixed value: detail of a table whose producing job never finished successfully.
-NO_WRITE_DETAIL = "no successful pipeline run found for this table's source job"
-
 
 def ts_lit(value: datetime | str | Column) -> Column:
     """A timestamp_ntz literal (the driver data and metadata are NTZ)."""
@@ -62,9 +60,7 @@ def check_freshness(
     hours = seconds_between(last, now) / F.lit(3600.0)
     status = F.when(last.isNull(), F.lit("fail")).when(hours > F.lit(float(max_staleness_hours)), F.lit("fail")).otherwise(F.lit("pass"))
     detail = F.when(last.isNull(), F.lit(NO_WRITE_DETAIL)).otherwise(
-        F.concat(F.lit("last_written="), iso_text(last), F.lit(", staleness="), fixed(hours, 2),
-                 F.lit(f"h, threshold={py_num(max_staleness_hours)}h"))
-    )
+        render(FRESHNESS_DETAIL, last=iso_text(last), hours=fixed(hours, 2), threshold=py_num(max_staleness_hours)))
     return j.select(
         "table_name",
         "job_name",

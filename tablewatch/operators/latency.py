@@ -6,13 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewatch.functions.messages import UNKNOWN_LATENCY
 from tablewatch.functions.scalar import humanize_seconds, seconds_between
 from tablewatch.operators.asof import asof_backward
 from tablewatch.operators.freshness import producing_job
 
-# Fixed value: rendering when no successful write precedes the check.
-UNKNOWN_LATENCY = "unknown -- no prior successful write found for this table"
-
 
 def detection_latency(checks: DataFrame, edges: DataFrame, runs: DataFrame, method: str = "range",
                       bucket: str = "day") -> DataFrame:
