@@ -52,7 +52,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and return it with a short plan."""
-    checkpoint_dir(df.sparkSession)
+    try:
+        checkpoint_dir(df.sparkSession)
+    except AttributeError:  # Spark Connect: the server-side session owns the folder
+        pass
     return df.checkpoint(eager=True)
 
 
