@@ -29,6 +29,18 @@ def _table(spark: SparkSession, name: str | None) -> DataFrame | None:
     return None
 
 
+def _edges(spark: SparkSession, edges: str | None, overrides: str | None) -> DataFrame | None:
+    """Auto-parsed edges combined with manual overrides (override wins per table pair)."""
+    from tablewatch.operators.edges import combine_edges
+
+    auto, manual = _table(spark, edges), _table(spark, overrides)
+    if auto is None and manual is None:
+        return None
+    if auto is None:
+        auto, manual = manual, None
+    return combine_edges(auto, manual)
+
+
 def _print(df: DataFrame) -> None:
     for row in df.toLocalIterator():  # report-sized outputs only
         print(json.dumps(row.asDict(recursive=True), default=str))
@@ -54,7 +66,7 @@ def cmd_suite(spark: SparkSession, a: argparse.Namespace) -> None:
     events = _table(spark, a.runs)
     runs = current_runs(events) if events is not None else None
     run_id = a.run_id if a.run_id is not None else int(time.time() * 1000)
-    res = run_suite(spark, tables, rules, run_id, a.as_of, previous, _table(spark, a.edges), runs)
+    res = run_suite(spark, tables, rules, run_id, a.as_of, previous, _edges(spark, a.edges, a.overrides), runs)
     # deterministic id (stable under task retries): one check per table, type and column per run
     rid = F.xxhash64("run_id", "table_name", "check_type", F.coalesce("column_name", F.lit("")))
     res = res.withColumn("check_result_id", rid).withColumn(
@@ -107,7 +119,8 @@ def cmd_blast(spark: SparkSession, a: argparse.Namespace) -> None:
     from tablewatch.operators.graph import blast_radius
 
     failing = spark.createDataFrame([(t,) for t in a.tables], "table_name string")
-    _print(blast_radius(spark.read.table(a.edges), failing).drop("path").orderBy("failing_table", "affected_table"))
+    edges = _edges(spark, a.edges, a.overrides)
+    _print(blast_radius(edges, failing).drop("path").orderBy("failing_table", "affected_table"))
 
 
 def cmd_init(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -125,6 +138,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     s.add_argument("--results", required=True)
     s.add_argument("--runs")
     s.add_argument("--edges")
+    s.add_argument("--overrides", help="manual edge table, combined with --edges (override wins)")
     s.add_argument("--as-of")
     s.add_argument("--run-id", type=int)
     s.add_argument("--baseline", choices=["latest", "last_pass"], default="latest")
@@ -145,6 +159,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ini.set_defaults(fn=cmd_init)
     b = sub.add_parser("blast-radius")
     b.add_argument("--edges", required=True)
+    b.add_argument("--overrides")
     b.add_argument("tables", nargs="+")
     b.set_defaults(fn=cmd_blast)
     a = p.parse_args(argv)

@@ -20,6 +20,14 @@ def test_lineage_then_blast_radius_then_suite(spark, capsys):
     cli.main(["blast-radius", "--edges", "cli_edges", "data/a.csv"], spark)
     out = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
     assert [(r["affected_table"], r["distance"]) for r in out] == [("dim_a", 2), ("stg_a", 1)]
+    from datetime import datetime
+    spark.createDataFrame([("manual", "dim_a", "report_a", datetime(2024, 1, 1))],
+                          "job_name string, source_table string, target_table string, detected_at timestamp_ntz"
+                          ).write.saveAsTable("cli_overrides")
+    cli.main(["blast-radius", "--edges", "cli_edges", "--overrides", "cli_overrides", "stg_a"], spark)
+    out = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert [(r["affected_table"], r["path_text"]) for r in out] == [("dim_a", "stg_a -> dim_a"),
+                                                                    ("report_a", "stg_a -> dim_a -> report_a")]
 
     spark.createDataFrame([(1, "x"), (1, None)], "id int, v string").write.saveAsTable("cli_t")
     rules = os.path.join(d, "rules.yaml")
