@@ -616,8 +616,9 @@ def q_dq_suite(spark, sf):
     return SU.run_suite(spark, tables, SUITE_RULES, SUITE_RUN_ID, D.AS_OF, previous, edges, runs)
 
 
-@register("dq_suite_totals", _suite_sql() + """SELECT run_id, count(*) AS checks_run, count_if(status = 'fail') AS checks_failed,
-  count_if(status = 'warn') AS checks_warned, count(*) AS rows_read, count(*) AS rows_written FROM res GROUP BY run_id""")
+@register("dq_suite_totals", _suite_sql() + """SELECT run_id, count(*) AS checks_run,
+  CAST(count_if(status = 'fail') AS BIGINT) AS checks_failed, CAST(count_if(status = 'warn') AS BIGINT) AS checks_warned,
+  count(*) AS rows_read, count(*) AS rows_written FROM res GROUP BY run_id""")
 def q_dq_suite_totals(spark, sf):
     return SU.suite_totals(q_dq_suite(spark, sf))
 
@@ -899,8 +900,8 @@ def q_results_filtered(spark, sf):
 @register("overview_metrics", f"""WITH RECURSIVE {FX_RESULTS_SQL}, {GRAPH_SQL}, {LATEST_SQL}
 SELECT 'tables_tracked' AS metric, count(DISTINCT t) AS value FROM (SELECT source_table AS t FROM g UNION ALL SELECT target_table FROM g)
 UNION ALL SELECT 'lineage_edges', count(*) FROM (SELECT DISTINCT source_table, target_table FROM g)
-UNION ALL SELECT 'checks_passing', count_if(status = 'pass') FROM latest
-UNION ALL SELECT 'checks_failing', count_if(status = 'fail') FROM latest""")
+UNION ALL SELECT 'checks_passing', CAST(count_if(status = 'pass') AS BIGINT) FROM latest
+UNION ALL SELECT 'checks_failing', CAST(count_if(status = 'fail') AS BIGINT) FROM latest""")
 def q_overview_metrics(spark, sf):
     return RP.overview_metrics(graph_edges(spark, sf), fx_results_df(spark, sf))
 
