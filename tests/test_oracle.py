@@ -38,12 +38,20 @@ def duck():
     return con
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     cur = duck.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
     assert sorted(sdf.columns) == sorted(dcols)
+    dtypes = {d[0]: str(d[1]) for d in cur.description}
+    for f in sdf.schema.fields:
+        t = f.dataType.simpleString()
+        assert SPARK_TO_DUCK.get(t, t.upper()) == dtypes[f.name], (f.name, t, dtypes[f.name])
     assert _rows(sdf.columns, [tuple(r) for r in sdf.collect()]) == _rows(dcols, cur.fetchall())
 
 
