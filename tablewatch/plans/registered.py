@@ -8,6 +8,7 @@ the n-key fault sample).
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -983,7 +984,7 @@ def q_fault_break_fk_check(spark, sf):
         F.lit("lineitem").alias("table_name"), "*")
 
 
-STALE_AS_OF = stale_as_of(__import__("datetime").datetime.fromisoformat(D.AS_OF), 30).isoformat(sep=" ")
+STALE_AS_OF = stale_as_of(datetime.fromisoformat(D.AS_OF), 30).isoformat(sep=" ")
 
 
 @register("fault_stale", f"WITH {FX_RUNS_SQL}, {FX_JOBS_SQL}, tbls AS (SELECT 'tbl_' || CAST(c_custkey AS VARCHAR) AS table_name FROM customer)\n"
