@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import pytest
 
 from tablewatch.operators.drift import check_schema_drift, last_snapshot, schema_snapshot
@@ -45,7 +47,7 @@ def test_snapshot_round_trip_through_results(spark):
     cur = schema_snapshot(spark, {"t": df}).select("table_name", "column_name", "data_type")
     first = check_schema_drift(cur, None).collect()[0]
     results = spark.createDataFrame(
-        [(1, "t", "schema_drift", first["detail"], __import__("datetime").datetime(2024, 1, 1))],
+        [(1, "t", "schema_drift", first["detail"], datetime(2024, 1, 1))],
         "check_result_id long, table_name string, check_type string, detail string, checked_at timestamp_ntz")
     prev = last_snapshot(results)
     again = check_schema_drift(cur, prev).collect()[0]
