@@ -83,7 +83,9 @@ def run_metrics(inputs: dict[str, DataFrame], outputs: dict[str, DataFrame]) ->
 def build_warehouse(stg: dict[str, DataFrame], write, run_log=None) -> dict[str, DataFrame]:
     """Write the five warehouse tables with ``write(name, df)``; when ``run_log``
     (``operators.runlog.RunLog``) is given the inputs and outputs are counted by
-    observation during the writes."""
+    observation during the writes (rows read = rows of the five staged inputs)."""
+    if run_log is not None:
+        stg = {name: run_log.observe_read(df) for name, df in stg.items()}
     tables = warehouse_tables(stg)
     for name, df in tables.items():
         out = run_log.observe_write(df) if run_log is not None else df

@@ -59,6 +59,7 @@ def test_csv_to_star_schema_with_run_log(spark):
     inv = {r["table_name"]: r["row_count"] for r in table_inventory(spark, list(tables)).collect()}
     assert inv == {"Dim_Customer": 2, "Dim_Product": 2, "Dim_Seller": 2, "Dim_Date": 1, "Fact_Order_Items": 3}
     assert cur["status"] == "success" and cur["rows_written"] == sum(inv.values())
+    assert cur["rows_read"] == sum(df.count() for df in stg.values())
     fact = {(r["order_id"], r["order_item_id"]): r for r in spark.read.table("Fact_Order_Items").collect()}
     assert fact[("o1", 1)]["date_key"] == 20240105 and fact[("o2", 1)]["date_key"] is None
     m = {(r["direction"], r["table_name"]): r["row_count"] for r in run_metrics(stg, warehouse_tables(stg)).collect()}
