@@ -4,6 +4,8 @@
         [--runs pipeline_run_events] [--edges lineage_edges] [--as-of "2024-01-31 00:00:00"]
     python -m tablewatch lineage --scripts jobs/ --edges lineage_edges   (or --config config.yaml)
     python -m tablewatch init [--prefix meta.]
+    python -m tablewatch load customers --source data/customers.csv --target stg_customers --runs pipeline_run_events
+    python -m tablewatch build-warehouse --runs pipeline_run_events
     python -m tablewatch inventory stg_orders Fact_Order_Items
     python -m tablewatch blast-radius --edges lineage_edges stg_orders
 
@@ -123,6 +125,37 @@ def cmd_blast(spark: SparkSession, a: argparse.Namespace) -> None:
     _print(blast_radius(edges, failing).drop("path").orderBy("failing_table", "affected_table"))
 
 
+def _logged(spark: SparkSession, runs: str | None, job: str):
+    from contextlib import nullcontext
+
+    from tablewatch.operators.runlog import RunLog
+
+    return RunLog(spark, runs, job).run() if runs else nullcontext(None)
+
+
+def cmd_load(spark: SparkSession, a: argparse.Namespace) -> None:
+    from tablewatch.plans.staging import RAW_SCHEMAS, STAGERS
+    from tablewatch.sources.files import read_csv
+
+    with _logged(spark, a.runs, f"load_{a.entity}") as run:
+        raw = read_csv(spark, a.source, RAW_SCHEMAS[a.entity])
+        raw = run.observe_read(raw) if run else raw
+        out = STAGERS[a.entity](raw)
+        out = run.observe_write(out) if run else out
+        out.write.mode("overwrite").saveAsTable(a.target)
+    print(json.dumps({"loaded": a.target}))
+
+
+def cmd_build_warehouse(spark: SparkSession, a: argparse.Namespace) -> None:
+    from tablewatch.plans.warehouse import build_warehouse
+
+    names = ["stg_customers", "stg_orders", "stg_order_items", "stg_products", "stg_sellers"]
+    with _logged(spark, a.runs, "build_warehouse") as run:
+        stg = {n: spark.read.table(n) for n in names}
+        tables = build_warehouse(stg, lambda name, df: df.write.mode("overwrite").saveAsTable(name), run)
+    print(json.dumps({"built": sorted(tables)}))
+
+
 def cmd_init(spark: SparkSession, a: argparse.Namespace) -> None:
     from tablewatch.sources.metadata import create_metadata_tables
 
@@ -154,6 +187,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     inv = sub.add_parser("inventory")
     inv.add_argument("tables", nargs="*", help="default: every table of the current database")
     inv.set_defaults(fn=cmd_inventory)
+    ld = sub.add_parser("load")
+    ld.add_argument("entity", choices=["customers", "orders", "order_items", "products", "sellers"])
+    ld.add_argument("--source", required=True, help="headered CSV file or folder")
+    ld.add_argument("--target", required=True)
+    ld.add_argument("--runs", help="run event table (or Parquet folder) to log to")
+    ld.set_defaults(fn=cmd_load)
+    bw = sub.add_parser("build-warehouse")
+    bw.add_argument("--runs")
+    bw.set_defaults(fn=cmd_build_warehouse)
     ini = sub.add_parser("init")
     ini.add_argument("--prefix", default="")
     ini.set_defaults(fn=cmd_init)

@@ -76,8 +76,13 @@ class RunLog:
         self._writes: list[Observation] = []
 
     def _append(self, status: str, when: datetime, rows_read=None, rows_written=None, error=None) -> None:
+        """``path`` with a ``/`` is a Parquet folder, otherwise a catalog table."""
         row = (self.run_id, self.job_name, when, status, rows_read, rows_written, error)
-        self.spark.createDataFrame([row], EVENT_SCHEMA).write.mode("append").parquet(self.path)
+        w = self.spark.createDataFrame([row], EVENT_SCHEMA).write.mode("append")
+        if "/" in self.path:
+            w.parquet(self.path)
+        else:
+            w.saveAsTable(self.path)
 
     def start(self, run_id: int | None = None) -> int:
         self.run_id = run_id if run_id is not None else uuid.uuid4().int >> 65

@@ -61,3 +61,25 @@ def stage_products(raw: DataFrame, key: str = "product_id") -> DataFrame:
 def stage_sellers(raw: DataFrame, key: str = "seller_id", city: str = "seller_city",
                   state: str = "seller_state") -> DataFrame:
     return dedupe_latest(clean_text(raw, lower_trim=[city], trim=[state]), [key])
+
+
+# Raw source layouts: every field as delivered (text unless the file's own type is fixed),
+# parsed by the staging step, so a malformed value becomes NULL instead of failing the read.
+RAW_SCHEMAS = {
+    "customers": "customer_id string, customer_unique_id string, customer_zip_code_prefix string, "
+                 "customer_city string, customer_state string",
+    "orders": "order_id string, customer_id string, order_status string, order_purchase_timestamp string, "
+              "order_approved_at string, order_delivered_customer_date string, order_estimated_delivery_date string",
+    "order_items": "order_id string, order_item_id int, product_id string, seller_id string, "
+                   "shipping_limit_date string, price string, freight_value string",
+    "products": "product_id string, product_category_name string, product_weight_g int, product_length_cm int, "
+                "product_height_cm int, product_width_cm int",
+    "sellers": "seller_id string, seller_zip_code_prefix string, seller_city string, seller_state string",
+}
+STAGERS = {
+    "customers": stage_customers,
+    "orders": stage_orders,
+    "order_items": stage_order_items,
+    "products": stage_products,
+    "sellers": stage_sellers,
+}

@@ -80,3 +80,22 @@ def test_suite_with_typed_snapshots_detects_drift(spark, capsys):
     r = spark.read.table("snap_results").where("run_id = 2 AND check_type = 'schema_drift'").first()
     assert r["status"] == "fail" and r["detail"].startswith("type changes: {'v': ('string', 'int')}")
     assert spark.read.table("snap_snapshots").count() == 4
+
+
+def test_load_jobs_and_warehouse_build_with_run_log(spark, capsys):
+    from tests.test_warehouse import CUSTOMERS, ITEMS, ORDERS, PRODUCTS, SELLERS
+    from tablewatch.operators.runlog import current_runs
+
+    d = tempfile.mkdtemp(prefix="tw-load-")
+    for entity, text in (("customers", CUSTOMERS), ("orders", ORDERS), ("order_items", ITEMS),
+                         ("products", PRODUCTS), ("sellers", SELLERS)):
+        path = os.path.join(d, f"{entity}.csv")
+        with open(path, "w") as fh:
+            fh.write(text)
+        cli.main(["load", entity, "--source", path, "--target", f"stg_{entity}", "--runs", "cli_runs"], spark)
+    cli.main(["build-warehouse", "--runs", "cli_runs"], spark)
+    capsys.readouterr()
+    runs = {r["job_name"]: r for r in current_runs(spark.read.table("cli_runs")).collect()}
+    assert runs["load_customers"]["rows_read"] == 3 and runs["load_customers"]["rows_written"] == 2
+    assert runs["build_warehouse"]["status"] == "success" and runs["build_warehouse"]["rows_written"] == 10
+    assert spark.read.table("Fact_Order_Items").count() == 3
