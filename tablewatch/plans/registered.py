@@ -7,15 +7,36 @@ the n-key fault sample).
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewatch.operators import checks as CK
+from tablewatch.operators import drift as DR
+from tablewatch.operators import freshness as FR
+from tablewatch.operators import edges as ED
+from tablewatch.operators import graph as GR
+from tablewatch.operators.asof import asof_backward
+from tablewatch.operators.digest import failure_digest
+from tablewatch.operators.extract import extract_lineage, lineage_edges, unresolved_cases
+from tablewatch.operators.faults import break_foreign_key, drop_column, stale_as_of
+from tablewatch.operators.latency import detection_latency
+from tablewatch.operators.latest import dedupe_latest
+from tablewatch.operators.runlog import current_runs
 from tablewatch.plans import derived as D
 from tablewatch.plans import staging as S
 from tablewatch.plans import warehouse as WH
+from tablewatch.plans import suite as SU
+from tablewatch.plans import reports as RP
+from tablewatch.plans.default_rules import DEFAULT_RULES
+from tablewatch.session import scratch_path
+from tablewatch.sources.catalog import append_results, read_results, replace_table, table_inventory, write_table
+from tablewatch.sources.files import read_csv
+from tablewatch.sources.rules import ForeignKey, Rules, TableRule
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -249,7 +270,6 @@ QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_part
   l_quantity NULLS FIRST, l_extendedprice NULLS FIRST, l_discount NULLS FIRST, l_tax NULLS FIRST,
   l_returnflag NULLS FIRST, l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) = 1""")
 def q_dedupe_latest(spark, sf):
-    from tablewatch.operators.latest import dedupe_latest
     return dedupe_latest(T(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
@@ -276,13 +296,6 @@ def q_run_metrics(spark, sf):
 # Checks: nulls, duplicates, referential integrity, schema drift, freshness, suite
 # =========================================================================================
 
-from tablewatch.operators import checks as CK  # noqa: E402
-from tablewatch.operators import drift as DR  # noqa: E402
-from tablewatch.operators import freshness as FR  # noqa: E402
-from tablewatch.operators.latency import detection_latency  # noqa: E402
-from tablewatch.operators.runlog import current_runs  # noqa: E402
-from tablewatch.plans import suite as SU  # noqa: E402
-from tablewatch.sources.rules import ForeignKey, Rules, TableRule  # noqa: E402
 
 NULL_THR, DUP_THR, STALE_H = 1.0, 0.5, 24
 
@@ -442,7 +455,6 @@ def _drift_snapshots(part: DataFrame, which: str) -> DataFrame:
 
 
 def _drift_expected_sql() -> str:
-    import json
     rows = []
     for k, cur in _DRIFT_CUR.items():
         js = json.dumps(dict(cur), sort_keys=True)
@@ -578,7 +590,6 @@ def suite_inputs(spark, sf):
 
 
 def _suite_sql() -> str:
-    import json
     rels = {"lineitem": "fx_lineitem", "customer": "customer_nomkt", "active_customer": "active_customer",
             "all_customer": "customer"}
     current = {t: list(cols) for t, cols in TABLE_SCHEMAS.items()}
@@ -685,14 +696,6 @@ def q_last_snapshot(spark, sf):
 # Lineage: edges, graph closure, blast radius, extraction
 # =========================================================================================
 
-from tablewatch.operators import edges as ED  # noqa: E402
-from tablewatch.operators import graph as GR  # noqa: E402
-from tablewatch.operators.asof import asof_backward  # noqa: E402
-from tablewatch.operators.digest import failure_digest  # noqa: E402
-from tablewatch.operators.extract import extract_lineage, lineage_edges, unresolved_cases  # noqa: E402
-from tablewatch.operators.faults import break_foreign_key, drop_column, stale_as_of  # noqa: E402
-from tablewatch.operators.latest import dedupe_latest  # noqa: E402
-from tablewatch.plans import reports as RP  # noqa: E402
 
 
 def _fx_edges_sql(name: str, where: str, at: str, type_expr: str = "'auto_parsed'") -> str:
@@ -1007,9 +1010,6 @@ def q_asof_last_write(spark, sf):
     return asof_backward(left, runs, ["job_name"], "ts", "finished_at", out="last_written_at")
 
 
-from tablewatch.session import scratch_path  # noqa: E402
-from tablewatch.sources.catalog import replace_table, table_inventory, write_table  # noqa: E402
-from tablewatch.sources.files import read_csv  # noqa: E402
 
 
 @register("table_inventory", "\nUNION ALL ".join(
@@ -1024,8 +1024,6 @@ def q_table_inventory(spark, sf):
 @register("table_swap", "SELECT * EXCLUDE (c_mktsegment) FROM customer")
 def q_table_swap(spark, sf):
     """Self-overwrite of a catalog table: the new contents are derived from the table itself."""
-    import uuid
-
     name = f"tw_customer_{uuid.uuid4().hex[:10]}"
     write_table(T(spark, sf, "customer"), name, path=scratch_path(spark, name))
     replace_table(spark, drop_column(spark.read.table(name), "c_mktsegment"), name, path=scratch_path(spark, name))
@@ -1059,7 +1057,6 @@ def q_results_history_pruned(spark, sf):
     """Check history appended to a day-partitioned results table, then the 7-day trend read
     back from it: the day filter prunes partitions at the scan."""
     path = scratch_path(spark, "dq_check_results")
-    from tablewatch.sources.catalog import append_results, read_results
     append_results(fx_results_df(spark, sf), path)
     return RP.dq_history(read_results(spark, path), 7, D.AS_OF)
 
@@ -1068,7 +1065,6 @@ def q_results_history_pruned(spark, sf):
 # The default configuration over the staged tables and the star schema (41 checks)
 # =========================================================================================
 
-from tablewatch.plans.default_rules import DEFAULT_RULES  # noqa: E402
 
 WH_JOBS = {"stg_customers": "job_1", "stg_orders": "job_2", "stg_order_items": "job_3", "stg_products": "job_4",
            "stg_sellers": "job_5", "Fact_Order_Items": "job_6"}
@@ -1094,7 +1090,6 @@ WH_REL = {"stg_customers": "stg_customers", "stg_orders": "stg_orders", "stg_ord
 
 
 def _warehouse_suite_sql() -> str:
-    import json
     parts = []
     for r in DEFAULT_RULES.tables:
         cols = [c for c, _ in WH_SCHEMAS[r.name]]
