@@ -153,8 +153,10 @@ def failing_latest(results: DataFrame) -> DataFrame:
 def failing_with_blast_radius(edges: DataFrame, results: DataFrame) -> DataFrame:
     """Currently failing checks with the number of downstream tables at risk."""
     fails = failing_latest(results).select(*RESULT_VIEW)
-    radius = blast_radius(edges, fails.select("table_name").distinct())
-    summary = blast_radius_summary(fails.select("table_name"), radius)
+    # counts only: plain reachability, no path bookkeeping
+    reach = downstream(edges, fails.select("table_name").distinct()).select(
+        F.col("table_name").alias("failing_table"), F.col("downstream_table").alias("affected_table"))
+    summary = blast_radius_summary(fails.select("table_name"), reach)
     return fails.join(summary.withColumnRenamed("failing_table", "table_name"), "table_name", "left").select(
         *RESULT_VIEW, F.coalesce("affected_count", F.lit(0)).cast("long").alias("affected_count"))
 
