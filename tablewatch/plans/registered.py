@@ -34,7 +34,14 @@ from tablewatch.plans import suite as SU
 from tablewatch.plans import reports as RP
 from tablewatch.plans.default_rules import DEFAULT_RULES
 from tablewatch.session import scratch_path
-from tablewatch.sources.catalog import append_results, read_results, replace_table, table_inventory, write_table
+from tablewatch.sources.catalog import (
+    append_results,
+    preview,
+    read_results,
+    replace_table,
+    table_inventory,
+    write_table,
+)
 from tablewatch.sources.files import read_csv
 from tablewatch.sources.rules import ForeignKey, Rules, TableRule
 
@@ -1120,3 +1127,9 @@ def q_warehouse_suite(spark, sf):
     edges = spark.createDataFrame([(j, t) for t, j in WH_JOBS.items()], "job_name string, target_table string").withColumn(
         "detected_at", F.lit(D.JOBS_AT).cast("timestamp_ntz"))
     return SU.run_suite(spark, tables, DEFAULT_RULES, 7, D.AS_OF, None, edges, D.fx_runs(T(spark, sf, "events")))
+
+
+@register("table_preview", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 3")
+def q_table_preview(spark, sf):
+    """First rows of a table in key order (the limit is the feature: a preview)."""
+    return preview(T(spark, sf, "orders").orderBy("o_orderkey"), 3)
