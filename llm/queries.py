@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import tokenize
+from llm import quality, simhash, tokenize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,3 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize.op8(table(spark, sf_dir, "documents"), BPE_RANKS)
+
+
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op4(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.op5(table(spark, sf_dir, "documents"))
