@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import quality, simhash, tokenize
+from llm import nearjoin, quality, simhash, tokenize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,3 +37,25 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op5(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearjoin.op2(table(spark, sf_dir, "documents"))
+
+
+#: Words are split at white space; the lower-casing is of A-Z alone; a link joins sets with
+#: 100 * intersection >= 75 * union. Pairs come from an inverted list of all shingles.
+ORACLE["op2_minhash_near_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+reach AS (SELECT a AS node, a AS seen FROM links UNION SELECT node, b FROM reach JOIN links ON a = seen),
+comp AS (SELECT node, least(node, min(seen)) AS c FROM reach GROUP BY node)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(c, d.doc_id) AS component_id, coalesce(c, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN comp ON node = d.doc_id
+"""
