@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import nearjoin, quality, simhash, tokenize
+from llm import decontaminate, nearjoin, quality, simhash, tokenize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -59,3 +59,38 @@ comp AS (SELECT node, least(node, min(seen)) AS c FROM reach GROUP BY node)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(c, d.doc_id) AS component_id, coalesce(c, d.doc_id) = d.doc_id AS kept
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN comp ON node = d.doc_id
 """
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_SPLIT = r"list_filter(string_split_regex(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+ORACLE["op10_decontamination"] = rf"""
+WITH d AS (SELECT doc_id, {_SPLIT.format("text")} AS ws FROM documents),
+parts AS (
+  SELECT item_id, unnest([
+    {{'part': 'whole', 't': text}},
+    {{'part': 'question', 't': regexp_extract(text, '^([\s\S]*)\n[^\n]*$', 1)}},
+    {{'part': 'answer', 't': CASE WHEN regexp_extract(text, '^([\s\S]*)\n[^\n]*$', 1) <> '' THEN regexp_extract(text, '\n([^\n]*)$', 1) ELSE '' END}}
+  ], recursive := true) FROM benchmark
+), i AS (SELECT item_id, part, {_SPLIT.format("t")} AS ws FROM parts),
+t AS (
+  SELECT DISTINCT item_id, part, least(5, len(ws)) AS n, unnest(list_transform(range(1, greatest(len(ws) - 3, 2)), lambda j: array_to_string(ws[j:j + 4], ' '))) AS g FROM i WHERE len(ws) > 0
+), g AS (
+  SELECT DISTINCT doc_id, n, unnest(list_transform(range(1, greatest(len(ws) - n + 2, 1)), lambda j: array_to_string(ws[j:j + n - 1], ' '))) AS g
+  FROM d, (SELECT DISTINCT n FROM t)
+), both_ AS (
+  SELECT doc_id, item_id, part, count(*) AS m FROM t JOIN g USING (n, g) GROUP BY ALL
+), size AS (SELECT item_id, part, count(*) AS n FROM t GROUP BY ALL)
+SELECT w.doc_id, w.item_id, s.n AS n_terms, w.m AS n_matched, w.m / s.n AS overlap,
+  CASE WHEN q.n IS NOT NULL THEN coalesce(qm.m, 0) / q.n END AS question_overlap,
+  CASE WHEN a.n IS NOT NULL THEN coalesce(am.m, 0) / a.n END AS answer_overlap
+FROM both_ w JOIN size s ON s.item_id = w.item_id AND s.part = 'whole'
+LEFT JOIN size q ON q.item_id = w.item_id AND q.part = 'question'
+LEFT JOIN size a ON a.item_id = w.item_id AND a.part = 'answer'
+LEFT JOIN both_ qm ON qm.doc_id = w.doc_id AND qm.item_id = w.item_id AND qm.part = 'question'
+LEFT JOIN both_ am ON am.doc_id = w.doc_id AND am.item_id = w.item_id AND am.part = 'answer'
+WHERE w.part = 'whole' AND 100 * w.m >= 75 * s.n
+"""
