@@ -1,12 +1,61 @@
-"""Training-corpus pipeline over documents (stages follow)."""
+"""Training-corpus pipeline over ``documents``: five stages, each one operator of ``llm``.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; all but the last
+return the columns of documents, the last one the digests of the token ids.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from llm import decontaminate, nearjoin, pii, quality, tokenize
+from llm.queries import BPE_RANKS, table
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression classifier does not reject."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near copies."""
+    return nearjoin.keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data masked; n_chars follows the text."""
+    return pii.redact(docs, pii.fit(docs))
+
+
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Digests of each text's token ids and of the bytes decoded from them."""
+    return tokenize.op8(docs, BPE_RANKS)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality_stage),
+    ("near_dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("pii", pii_stage),
+    ("byte_bpe", bpe_stage),
+]
+
+#: A trained classifier decides in the first stage, so SQL cannot give the rows; see tests/llm.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents; what a stage kept is written once before the next one reads it."""
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = docs.checkpoint()
+    return docs

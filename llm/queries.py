@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, nearjoin, quality, simhash, tokenize
+from llm import decontaminate, nearjoin, pii, quality, simhash, tokenize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -94,3 +94,8 @@ LEFT JOIN both_ qm ON qm.doc_id = w.doc_id AND qm.item_id = w.item_id AND qm.par
 LEFT JOIN both_ am ON am.doc_id = w.doc_id AND am.item_id = w.item_id AND am.part = 'answer'
 WHERE w.part = 'whole' AND 100 * w.m >= 75 * s.n
 """
+
+
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.op7(table(spark, sf_dir, "documents"))
