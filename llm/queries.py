@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, nearjoin, pii, quality, simhash, tokenize
+from llm import decontaminate, nearjoin, pii, quality, rlz, simhash, tokenize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -99,3 +99,22 @@ WHERE w.part = 'whole' AND 100 * w.m >= 75 * s.n
 @query
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.op7(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_rlz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlz.op1(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op1_rlz_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), g AS (
+  SELECT doc_id, unnest(range(1, greatest(len(ws) - 11, 1))) AS i, unnest(list_transform(range(1, greatest(len(ws) - 11, 1)), lambda i: md5(array_to_string(ws[i:i + 12], ' ')))) AS h FROM d
+), f AS (SELECT h, min(doc_id) AS first_id FROM g GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, i + j AS k FROM g JOIN f USING (h), range(0, 13) r(j) WHERE first_id < doc_id),
+lost AS (SELECT doc_id, list(k) AS ks FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(ks), 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(list_filter(ws, lambda x, k: ks IS NULL OR NOT list_contains(ks, k)), ' ')) AS kept_sha256
+FROM d LEFT JOIN lost USING (doc_id)
+"""
