@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, nearjoin, pii, quality, rlz, simhash, tokenize
+from llm import decontaminate, nearjoin, pii, quality, rlz, simhash, suffix, tokenize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -118,3 +118,8 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(ks), 0) A
   sha256(array_to_string(list_filter(ws, lambda x, k: ks IS NULL OR NOT list_contains(ks, k)), ' ')) AS kept_sha256
 FROM d LEFT JOIN lost USING (doc_id)
 """
+
+
+@query
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.op6(table(spark, sf_dir, "documents"))
