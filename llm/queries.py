@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, nearjoin, pii, quality, rlz, simhash, suffix, tokenize
+from llm import decontaminate, nearjoin, pii, quality, rlz, simhash, suffix, tokenize, wrappers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -123,3 +123,8 @@ FROM d LEFT JOIN lost USING (doc_id)
 @query
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.op6(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.op9(table(spark, sf_dir, "pages"))
