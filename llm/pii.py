@@ -251,7 +251,8 @@ def find(docs: DataFrame, tagger: Tagger) -> DataFrame:
 def op7(docs: DataFrame) -> DataFrame:
     found = find(docs, fit(docs))
     text = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
-    counts = [F.size(F.filter("base_spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    of = lambda k: F.filter("base_spans", lambda s: s["kind"] == k)
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(text("base_spans"), 256).alias("base_sha256"), text("spans").alias("spans"))
 
 
