@@ -10,8 +10,8 @@ large ones branch again, and ``TREES`` independent trees bring the recall up.
 What keeps groups of copies cheap: equal sets are one record; every node first links its records
 to the node's pivot, and records already in one component need no further comparison, so only
 records of different components are compared in small nodes, and nodes with one component left
-are closed. Candidates pass a two-bit sketch of the tokens (a pair at the threshold fails it
-with probability below 1e-4) and are then confirmed on the full sets.
+are closed. Candidates pass a two-bit sketch of the tokens (a pair at
+the threshold fails it with a probability below 1e-3, a closer one far more rarely) and are then confirmed on the full sets.
 
 Null texts and texts without words have an empty set: linked with nothing, their own component.
 Repeated rows of one id count as one document with the union of their sets' rows kept apart by
@@ -20,6 +20,7 @@ set: they share the id and so the component. Rows without an id are left out of
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -36,9 +37,12 @@ SHINGLE = 5
 SIMILAR = (75, 100)
 POSITIONS = 64
 TREES = 12
-SMALL = 32
+#: A node is compared exhaustively where it has so many pairs of different components at most.
+SMALL = 1 << 18
 #: positions of 64 whose two-bit sketches may differ
-SKETCH_DIFFERS = 24
+SKETCH_DIFFERS = 22
+#: Buckets of document ids that the confirming join tells apart before it moves texts: what is broadcast holds so many rows at most.
+BUCKETS = 1 << 20
 
 _rng = np.random.default_rng(2024)
 _FACTORS = _rng.integers(0, 1 << 63, POSITIONS, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -83,14 +87,18 @@ def minwise(h: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-def children(path: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and keys of the children of records (paths, tokens)."""
+def children(path: np.ndarray, used: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, keys and used positions of the children of records; a path takes no position twice.
+
+    Without that, a token that very many unlike records share would keep them together at every depth.
+    """
     choice = mix(path[:, None] ^ mix(np.arange(1, POSITIONS + 1, dtype=np.uint64))[None, :])
-    row, at = np.nonzero(choice < _CHOSEN)
-    return row, mix(choice[row, at] + tokens[row, at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    bit = np.uint64(1) << np.arange(POSITIONS, dtype=np.uint64)
+    row, at = np.nonzero((choice < _CHOSEN) & (used[:, None] & bit == 0))
+    return row, mix(choice[row, at] + tokens[row, at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), used[row] | bit[at]
 
 
-_SKETCH = "doc_id long, n long, set1 long, set2 long, bit0 long, bit1 long, tokens binary, nodes array<long>"
+_SKETCH = "doc_id long, n long, set1 long, set2 long, bit0 long, bit1 long, tokens binary, nodes array<struct<node: long, used: long>>"
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,17 +109,17 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens = minwise(h, off)
             set1, set2 = _sum(mix(h), off), _sum(mix(h ^ np.uint64(0x5851F42D4C957F2D)), off)
             bits = [np.packbits((tokens >> k & 1).astype(np.uint8), axis=1).view("<i8").ravel() for k in (0, 1)]
-            kids = [children(np.full(len(full), root), tokens) for root in _ROOTS]
-            row = np.concatenate([r for r, _ in kids])
-            key = np.concatenate([k for _, k in kids])
+            kids = [children(np.full(len(full), root), np.zeros(len(full), np.uint64), tokens) for root in _ROOTS]
+            row, key, used = (np.concatenate(x) for x in zip(*kids, strict=True))
             order = np.argsort(row, kind="stable")
-            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row[order], np.arange(len(full) + 1)).astype(np.int32)), pa.array(key[order].view(np.int64)))
+            node = pa.StructArray.from_arrays([pa.array(key[order].view(np.int64)), pa.array(used[order].view(np.int64))], names=["node", "used"])
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row[order], np.arange(len(full) + 1)).astype(np.int32)), node)
             ids = b.column(0).slice(i, len(n))
             spread = np.full(len(n), -1)
             spread[full] = np.arange(len(full))
             take = pa.array(spread, mask=spread < 0)
             cols = [pa.array(bits[0]), pa.array(bits[1]), pa.array([t.tobytes() for t in tokens], pa.binary()), lists]
-            yield pa.record_batch([ids, pa.array(n.astype(np.int64)), pa.array(set1.view(np.int64)), pa.array(set2.view(np.int64)), *(c.take(take) for c in cols)], names=[x.split()[0] for x in _SKETCH.split(", ")])
+            yield pa.record_batch([ids, pa.array(n.astype(np.int64)), pa.array(set1.view(np.int64)), pa.array(set2.view(np.int64)), *(c.take(take) for c in cols)], names=[x.split()[0] for x in re.split(", (?!used)", _SKETCH)])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,17 +145,23 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Those of the candidate pairs (a, b) whose documents' full sets are similar."""
-    text = docs.select(F.col("doc_id").alias("id"), "text")
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS)).alias("bucket")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(bucket("id")).distinct()
+    text = docs.select(F.col("doc_id").alias("id"), "text", bucket("doc_id")).join(F.broadcast(needed), "bucket", "left_semi").drop("bucket")
     first = pairs.join(text, pairs.a == text.id).select("a", "b", F.col("text").alias("text_a"))
     both = first.join(text, first.b == text.id).select("a", "b", "text_a", F.col("text").alias("text_b"))
     return both.mapInArrow(_confirm, "a long, b long").distinct()
 
 
-def _alike(x: str, y: str):
-    """Sizes and sketches of two records that allow the similarity."""
-    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    differ = F.bit_count(F.col(f"{x}.bit0").bitwiseXOR(F.col(f"{y}.bit0")).bitwiseOR(F.col(f"{x}.bit1").bitwiseXOR(F.col(f"{y}.bit1"))))
-    return (SIMILAR[1] * F.least(n, m) >= SIMILAR[0] * F.greatest(n, m)) & (differ <= SKETCH_DIFFERS)
+def _differ():
+    """Positions at which the sketches of x and y differ."""
+    return F.bit_count(F.col("x.bit0").bitwiseXOR(F.col("y.bit0")).bitwiseOR(F.col("x.bit1").bitwiseXOR(F.col("y.bit1"))))
+
+
+def _alike():
+    """Sizes and sketches of the records x and y that allow the similarity."""
+    n, m = F.col("x.n"), F.col("y.n")
+    return (SIMILAR[1] * F.least(n, m) >= SIMILAR[0] * F.greatest(n, m)) & (_differ() <= SKETCH_DIFFERS)
 
 
 def _pair():
@@ -161,26 +175,44 @@ def _shared(rows: DataFrame) -> DataFrame:
 
 
 def _stars(nodes: DataFrame) -> DataFrame:
-    """Every record of a node with its pivot: the record of least hash, the same in most nodes of a group."""
-    rank = F.xxhash64("rec")
+    """Every record of a node with its pivot, a record drawn by hash: a group of copies meets many pivots in its nodes."""
+    rank = F.xxhash64("rec", "node")
     pivots = nodes.groupBy("node").agg(*(F.min_by(c, rank).alias(c) for c in ("rec", "n", "bit0", "bit1")))
-    return nodes.alias("x").join(pivots.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.rec") != F.col("y.rec")) & _alike("x", "y")).select(*_pair())
+    return nodes.alias("x").join(pivots.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.rec") != F.col("y.rec")) & _alike()).select(*_pair())
 
 
-def _within(small: DataFrame) -> DataFrame:
-    """All pairs of different components in small nodes."""
-    return small.alias("x").join(small.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.comp") < F.col("y.comp")) & _alike("x", "y")).select(*_pair())
+def _sizes(named: DataFrame) -> DataFrame:
+    """(node, cross, major) of nodes with several components: their pairs of different components, and the largest one."""
+    parts = named.groupBy("node", "comp").agg(F.count("*").alias("c"))
+    whole = parts.groupBy("node").agg(F.sum("c").alias("size"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.max_by("comp", "c").alias("major"))
+    return whole.where("size * size > squares").select("node", ((F.col("size") * F.col("size") - F.col("squares")) / 2).cast("long").alias("cross"), "major")
+
+
+def _within(small: DataFrame, best: bool) -> DataFrame:
+    """All pairs of different components in small nodes, or for each record outside a node's largest
+    component only its best pair by the sketches. The largest component is met by the others only."""
+    others = small.where("comp <> major").alias("x")
+    differ = (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.major")) | (F.col("x.comp") < F.col("y.comp")))
+    met = others.join(small.alias("y"), (F.col("x.node") == F.col("y.node")) & differ & _alike())
+    if best:
+        rank = F.struct(_differ(), "y.rec")
+        met = met.groupBy(F.col("x.rec").alias("one")).agg(F.min(rank).alias("two")).select(F.struct(F.col("one").alias("rec")).alias("x"), F.struct(F.col("two.rec")).alias("y"))
+    return met.select(*_pair())
 
 
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if not b.num_rows:
             continue
-        path = b.column(0).to_numpy().view(np.uint64)
+        path, used = (b.column(k).to_numpy().view(np.uint64) for k in (0, 1))
         tokens = np.frombuffer(b"".join(b.column(b.num_columns - 1).to_pylist()), np.uint32).reshape(-1, POSITIONS)
-        row, key = children(path, tokens)
-        kept = b.select(range(1, b.num_columns - 1)).take(pa.array(row))
-        yield pa.record_batch([pa.array(key.view(np.int64)), *kept.columns], names=b.schema.names[:-1])
+        row, key, used = children(path, used, tokens)
+        kept = b.select(range(2, b.num_columns - 1)).take(pa.array(row))
+        yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(used.view(np.int64)), *kept.columns], names=b.schema.names[:-1])
+
+
+_KINDS = "node long, used long, rec long, n long, bit0 long, bit1 long"
+_RECORD = [x.split()[0] for x in _KINDS.split(", ")]
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -190,10 +222,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = sketch.select("doc_id", "n", "set1", "set2").join(sets, ["set1", "set2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rec", "doc_id").alias("rec")).checkpoint()
     record = sketch.where("n > 0").join(sets.select(F.col("rec").alias("doc_id"), "set1", "set2", "n"), ["doc_id", "set1", "set2", "n"], "left_semi").withColumnRenamed("doc_id", "rec")
     tokens = record.select("rec", "tokens")
-    open_ = _shared(record.select(F.explode("nodes").alias("node"), "rec", "n", "bit0", "bit1"))
+    open_ = _shared(record.select(F.inline("nodes"), "rec", "n", "bit0", "bit1"))
     links: list[DataFrame] = []
     tested: list[DataFrame] = []
+    comp = None
+    waiting = None  # small nodes whose best pairs are tested
     pairs = _stars(open_)
+
+    def named(rows: DataFrame) -> DataFrame:
+        rows = rows.select(*_RECORD)
+        if comp is None:
+            return rows.withColumn("comp", F.col("rec"))
+        return rows.join(comp.withColumnRenamed("node", "rec"), "rec", "left").withColumn("comp", F.coalesce("component", "rec")).drop("component")
+
     while True:
         pairs = pairs.distinct()
         if tested:
@@ -201,27 +242,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         pairs = pairs.checkpoint()
         if not pairs.isEmpty():
             tested.append(pairs)
-            links.append(confirm(pairs, docs).checkpoint())
+            new = confirm(pairs, docs).checkpoint()
+            if not new.isEmpty():
+                links.append(new)
+                comp = components(reduce(DataFrame.unionByName, links)).checkpoint()
         # Records of one component need no comparison; nodes with one component are closed.
-        named = open_.drop("comp", "size")
-        if links:
-            comp = components(reduce(DataFrame.unionByName, links)).checkpoint()
-            named = named.join(comp.withColumnRenamed("node", "rec"), "rec", "left").withColumn("comp", F.coalesce("component", "rec")).drop("component")
-        else:
-            comp = None
-            named = named.withColumn("comp", F.col("rec"))
-        left = named.groupBy("node").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("node", "size")
-        still = named.join(left, "node").checkpoint()
-        if still.isEmpty():
+        now = named(open_)
+        still = now.join(_sizes(now), "node").checkpoint()
+        small, large = still.where(F.col("cross") <= SMALL), still.where(F.col("cross") > SMALL)
+        pairs = _within(small, True)
+        if waiting is not None:
+            again = named(waiting)
+            pairs = pairs.unionByName(_within(again.join(_sizes(again), "node"), False))
+        elif still.isEmpty():
             break
-        pairs = _within(still.where(F.col("size") <= SMALL))
-        large = still.where(F.col("size") > SMALL).select("node", "rec", "n", "bit0", "bit1")
-        kinds = "node long, rec long, n long, bit0 long, bit1 long"
-        open_ = _shared(large.join(tokens, "rec").select("node", "rec", "n", "bit0", "bit1", "tokens").mapInArrow(_branch, kinds).distinct())
-        pairs = pairs.unionByName(_stars(open_))
+        waiting = None if small.isEmpty() else small
+        if large.isEmpty():
+            open_ = open_.limit(0)
+        else:
+            open_ = _shared(large.join(tokens, "rec").select(*_RECORD, "tokens").mapInArrow(_branch, _KINDS).distinct())
+            pairs = pairs.unionByName(_stars(open_))
     # A document id with several rows belongs to each of its records.
     same = members.where("rec <> doc_id").select(F.col("doc_id").alias("a"), F.col("rec").alias("b"))
-    every = components(reduce(DataFrame.unionByName, links, same))
+    every = components(same if comp is None else comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(same))
     return members.join(every.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 

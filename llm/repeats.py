@@ -120,6 +120,7 @@ def send_windows(docs: DataFrame, which: DataFrame, units: Units, width: int, ru
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            b = b.filter(b.column(2).is_valid())
             ids = b.column(0).to_numpy()
             for i, data, off in chunks(b.column(1)):
                 values, first = units(data, off)
@@ -136,10 +137,13 @@ def send_windows(docs: DataFrame, which: DataFrame, units: Units, width: int, ru
     return with_stretches(docs, which).mapInArrow(run, ROW)
 
 
-def with_stretches(docs: DataFrame, which: DataFrame, how: str = "inner") -> DataFrame:
-    """(doc_id, text, spans) with each document's stretches in one list, as long as the document at most."""
+def with_stretches(docs: DataFrame, which: DataFrame) -> DataFrame:
+    """(doc_id, text, spans) of every document, its stretches in one list, as long as the document at most.
+
+    All documents are kept, so that every join of the texts is the same and they are shuffled once.
+    """
     spans = which.groupBy("doc_id").agg(F.collect_list(F.struct("place", "n", "many", "anchor")).alias("spans"))
-    return docs.select("doc_id", "text").join(spans, "doc_id", how).select("doc_id", "text", "spans")
+    return docs.select("doc_id", "text").join(spans, "doc_id", "left").select("doc_id", "text", "spans")
 
 
 def stretches(spans: pa.Array, i: int, first: np.ndarray, width: int) -> tuple[np.ndarray, ...]:

@@ -62,7 +62,7 @@ def parse(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
                 spans = pa.ListArray.from_arrays(pa.array(at), pa.StructArray.from_arrays([pa.array(place), pa.array(place + n)], names=["start", "stop"])).cast(span)
                 yield pa.record_batch([b.column(0).slice(i, size), pa.array(np.diff(first)), pa.array(np.diff(removed)), spans, pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", *(x.split()[0] for x in ("n_words", "n_removed", "spans", "kept"))])
 
-    rows = with_stretches(docs, factors(docs, width, gram), "left")
+    rows = with_stretches(docs, factors(docs, width, gram))
     return rows.mapInArrow(run, f"doc_id {rows.schema[0].dataType.simpleString()}, {_OUT}")
 
 

@@ -105,6 +105,7 @@ def _contents(docs: DataFrame, which: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            b = b.filter(b.column(2).is_valid())
             ids = b.column(0).to_numpy()
             for i, data, off in chunks(b.column(1)):
                 row, place, n, many = stretches(b.column(2), i, off, width)
@@ -193,7 +194,7 @@ def dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
                 found = pa.ListArray.from_arrays(pa.array(at), pa.StructArray.from_arrays([pa.array(place), pa.array(place + n)], names=["start", "stop"])).cast(span)
                 yield pa.record_batch([b.column(0).slice(i, size), pa.array(np.diff(off)), pa.array(removed), pa.array(np.diff(at).astype(np.int64)), found, pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
 
-    rows = with_stretches(docs, spans(docs, width, gram), "left")
+    rows = with_stretches(docs, spans(docs, width, gram))
     return rows.mapInArrow(run, f"doc_id {rows.schema[0].dataType.simpleString()}, {_OUT}")
 
 
