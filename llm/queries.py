@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, nearjoin, pii, quality, rlz, simhash, suffix, tokenize, wrappers
+from llm import decontaminate, nearjoin, pii, quality, rlz, secrets, simhash, suffix, tokenize, wrappers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -128,3 +128,8 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.op9(table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
