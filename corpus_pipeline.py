@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from llm import decontaminate, nearjoin, pii, quality, tokenize
 from llm.queries import BPE_RANKS, table
+from tablewatch.session import cut_lineage
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,5 +58,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
-            docs = docs.checkpoint()
+            docs = cut_lineage(docs)
     return docs

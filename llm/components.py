@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewatch.session import cut_lineage
+
 
 def _star(edges: DataFrame) -> DataFrame:
     """edges (u, v): every v with the least of u and its neighbours."""
@@ -26,10 +28,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where(F.col("u") != F.col("v")).distinct().checkpoint()
+        large = cut_lineage(large.where(F.col("u") != F.col("v")).distinct())
         small = _star(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
-        edges = small.where(F.col("u") != F.col("v")).distinct().checkpoint()
+        edges = cut_lineage(small.where(F.col("u") != F.col("v")).distinct())
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == state:
             break

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from llm.components import components
 from llm.textnum import WORDS, chunks, inside, lower_ascii, mix, word_hashes, words
+from tablewatch.session import cut_lineage
 
 SHINGLE = 5
 #: similarity as a ratio of integers
@@ -171,7 +172,7 @@ def _pair():
 def _shared(rows: DataFrame) -> DataFrame:
     """The rows of nodes with two records at least, written once."""
     many = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-    return rows.join(many, "node").checkpoint()
+    return cut_lineage(rows.join(many, "node"))
 
 
 def _stars(nodes: DataFrame) -> DataFrame:
@@ -217,9 +218,9 @@ _RECORD = [x.split()[0] for x in _KINDS.split(", ")]
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document; component_id is the smallest id reachable."""
-    sketch = docs.select("doc_id", "text").mapInArrow(_sketch, _SKETCH).checkpoint()
+    sketch = cut_lineage(docs.select("doc_id", "text").mapInArrow(_sketch, _SKETCH))
     sets = sketch.where("n > 0 and doc_id is not null").groupBy("set1", "set2", "n").agg(F.min("doc_id").alias("rec"))
-    members = sketch.select("doc_id", "n", "set1", "set2").join(sets, ["set1", "set2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rec", "doc_id").alias("rec")).checkpoint()
+    members = cut_lineage(sketch.select("doc_id", "n", "set1", "set2").join(sets, ["set1", "set2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rec", "doc_id").alias("rec")))
     record = sketch.where("n > 0").join(sets.select(F.col("rec").alias("doc_id"), "set1", "set2", "n"), ["doc_id", "set1", "set2", "n"], "left_semi").withColumnRenamed("doc_id", "rec")
     tokens = record.select("rec", "tokens")
     open_ = _shared(record.select(F.inline("nodes"), "rec", "n", "bit0", "bit1"))
@@ -239,16 +240,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         pairs = pairs.distinct()
         if tested:
             pairs = pairs.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti")
-        pairs = pairs.checkpoint()
+        pairs = cut_lineage(pairs)
         if not pairs.isEmpty():
             tested.append(pairs)
-            new = confirm(pairs, docs).checkpoint()
+            new = cut_lineage(confirm(pairs, docs))
             if not new.isEmpty():
                 links.append(new)
-                comp = components(reduce(DataFrame.unionByName, links)).checkpoint()
+                comp = cut_lineage(components(reduce(DataFrame.unionByName, links)))
         # Records of one component need no comparison; nodes with one component are closed.
         now = named(open_)
-        still = now.join(_sizes(now), "node").checkpoint()
+        still = cut_lineage(now.join(_sizes(now), "node"))
         small, large = still.where(F.col("cross") <= SMALL), still.where(F.col("cross") > SMALL)
         pairs = _within(small, True)
         if waiting is not None:

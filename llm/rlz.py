@@ -24,13 +24,14 @@ from pyspark.sql import functions as F
 
 from llm.repeats import merged, send_phrases, send_windows, settle, stretches, with_stretches, word_units
 from llm.textnum import chunks, words
+from tablewatch.session import cut_lineage
 
 WIDTH, GRAM = 13, 5
 
 
 def factors(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """(doc_id, place, n, many, anchor): stretches of n windows from word ``place`` on that the reference holds."""
-    found = settle(send_phrases(docs, word_units, width, gram, "earlier"), "earlier").checkpoint()
+    found = cut_lineage(settle(send_phrases(docs, word_units, width, gram, "earlier"), "earlier"))
     edges = settle(send_windows(docs, found.where("state = 2"), word_units, width, "earlier"), "earlier")
     return found.where("state = 1").unionByName(edges.where("state = 1")).select("doc_id", "place", "n", "many", "anchor")
 

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.textnum import WORDS, chunks, inside, lower_ascii, word_hashes, words
+from tablewatch.session import cut_lineage
 
 BITS = 64
 #: (words in a term, weight of each occurrence)
@@ -162,7 +163,7 @@ def op5(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    done = rows.mapInArrow(_sorted_run, _RESULT).checkpoint()
+    done = cut_lineage(rows.mapInArrow(_sorted_run, _RESULT))
     edges = done.where(F.col("head").isNotNull() | F.col("tail").isNotNull())
     order = [F.col("doc_id").asc_nulls_first(), F.col("tail").isNotNull(), F.coalesce("head", "tail")]
     by_id = Window.orderBy(*order)

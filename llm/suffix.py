@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from llm.repeats import ROW, _settled, byte_units, merged, send_phrases, send_windows, settle, stretches, with_stretches
 from llm.textnum import chunks, ranges
+from tablewatch.session import cut_lineage
 
 WIDTH, GRAM = 400, 250
 HOT = 128
@@ -159,7 +160,7 @@ def _blocks(width: int):
 
 def spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """(doc_id, place, n, many, anchor): stretches of n windows from byte ``place`` on that occur elsewhere."""
-    found = settle(send_phrases(docs, byte_units, width, gram, "anywhere"), "anywhere").checkpoint()
+    found = cut_lineage(settle(send_phrases(docs, byte_units, width, gram, "anywhere"), "anywhere"))
     open_ = found.where("state = 2")
     crowd = open_.groupBy("anchor").agg(F.count("*").alias("kinds"))
     open_ = open_.join(crowd, "anchor").select("doc_id", "place", "n", "many", "anchor", (F.col("kinds") > HOT).alias("hot"))

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewatch.session import cut_lineage
+
 #: Wrapper decisions are broadcast up to this many bytes, and joined by shuffling beyond it.
 BROADCAST_BYTES = 8 << 20
 #: Longest group that folding looks for, and longest streams that are aligned item by item.
@@ -347,7 +349,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) of every page."""
     rows = pages.select("page_id", "url", "html")
-    main = wrappers(rows).mapInArrow(_main_slots, "host string, main string").checkpoint()
+    main = cut_lineage(wrappers(rows).mapInArrow(_main_slots, "host string, main string"))
     size = main.agg(F.sum(F.length("main") + F.length("host"))).first()[0] or 0
     kind = rows.schema[0].dataType.simpleString()
     with_host = rows.mapInArrow(_host, f"page_id {kind}, url string, html string, host string")
