@@ -50,6 +50,7 @@ def _print(df: DataFrame) -> None:
 
 def cmd_suite(spark: SparkSession, a: argparse.Namespace) -> None:
     from tablewatch.operators.drift import last_snapshot, latest_snapshot, schema_snapshot, stamp_snapshot
+    from tablewatch.functions.scalar import utc_now
     from tablewatch.operators.freshness import ts_lit
     from tablewatch.operators.runlog import current_runs
     from tablewatch.plans.suite import run_suite, suite_totals
@@ -69,16 +70,17 @@ def cmd_suite(spark: SparkSession, a: argparse.Namespace) -> None:
     runs = current_runs(events) if events is not None else None
     run_id = a.run_id if a.run_id is not None else int(time.time() * 1000)
     res = run_suite(spark, tables, rules, run_id, a.as_of, previous, _edges(spark, a.edges, a.overrides), runs)
-    # deterministic id (stable under task retries): one check per table, type and column per run
-    rid = F.xxhash64("run_id", "table_name", "check_type", F.coalesce("column_name", F.lit("")))
+    # deterministic id (stable under task retries); the detail names the parent, which tells two foreign keys of one column apart
+    rid = F.xxhash64("run_id", "table_name", "check_type", F.coalesce("column_name", F.lit("")), F.coalesce("detail", F.lit("")))
     res = res.withColumn("check_result_id", rid).withColumn(
         "check_date", F.to_date("checked_at"))
     res.write.mode("append").partitionBy("check_date").saveAsTable(a.results)
     if a.snapshots:
         present = {r.name: tables[r.name] for r in rules.tables if r.name in tables}
-        now = ts_lit(a.as_of) if a.as_of else F.current_timestamp().cast("timestamp_ntz")
+        now = ts_lit(a.as_of) if a.as_of else utc_now()
         stamp_snapshot(schema_snapshot(spark, present), run_id, now).write.mode("append").saveAsTable(a.snapshots)
-    stored = spark.read.table(a.results).where(F.col("run_id") == run_id)
+    days = [r[0] for r in res.select("check_date").distinct().collect()]  # one, or two around midnight
+    stored = spark.read.table(a.results).where(F.col("check_date").isin(days) & (F.col("run_id") == run_id))
     _print(suite_totals(stored))
 
 
@@ -86,6 +88,7 @@ def cmd_lineage(spark: SparkSession, a: argparse.Namespace) -> None:
     from tablewatch.operators.edges import upsert_edges
     from tablewatch.operators.extract import extract_lineage, lineage_edges, unresolved_cases
     from tablewatch.sources.catalog import replace_table
+    from tablewatch.session import cut_lineage
     from tablewatch.sources.files import read_scripts
 
     if a.config:
@@ -97,7 +100,7 @@ def cmd_lineage(spark: SparkSession, a: argparse.Namespace) -> None:
         corpus = read_job_scripts(spark, jobs)
     else:
         corpus = read_scripts(spark, a.scripts)
-    ex = extract_lineage(corpus).checkpoint()
+    ex = cut_lineage(extract_lineage(corpus))
     new = lineage_edges(ex)
     old = _table(spark, a.edges)
     if old is None:

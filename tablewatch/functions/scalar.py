@@ -103,3 +103,8 @@ def py_list_text(values: Column | str) -> Column:
     """``str(sorted(list_of_str))``: ``['a', 'b']``."""
     arr = F.array_sort(_c(values))
     return F.concat(F.lit("["), F.array_join(F.transform(arr, lambda v: F.concat(F.lit("'"), v, F.lit("'"))), ", "), F.lit("]"))
+
+
+def utc_now():
+    """The current time as timestamp_ntz in UTC, whatever the session time zone: the clock of all metadata."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))

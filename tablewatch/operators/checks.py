@@ -17,7 +17,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import (BooleanType, DataType, DateType, DecimalType, DoubleType, FloatType, NumericType, StringType,
+                               StructField, StructType, TimestampNTZType, TimestampType)
 
 from tablewatch.functions.messages import DUPLICATE_DETAIL, MISSING_COLUMN_DETAIL, NULL_DETAIL, ORPHAN_DETAIL, render
 from tablewatch.functions.scalar import fixed, percent, py_num, status_over
@@ -130,10 +131,44 @@ def orphan_keys(child: DataFrame, fk_column: str, parent: DataFrame, parent_colu
     ct = child.schema[fk_column].dataType
     pt = parent.schema[parent_column].dataType
     ck, pk = F.col(fk_column), F.col(parent_column)
-    if ct != pt:  # compare as text rather than let ANSI casts raise
-        ck, pk = ck.cast("string"), pk.cast("string")
-    c = child.select(ck.alias("orphan_key")).where(F.col("orphan_key").isNotNull()).distinct()
-    p = parent.select(pk.alias("orphan_key")).distinct().withColumn("_matched", F.lit(True))
+    common = common_key_type(ct, pt)
+    if common:  # a text value that is no number, or out of range, is no key of the other side
+        text = ck.cast("string")
+        ck, pk = ck.try_cast(common), pk.try_cast(common)
+        if isinstance(ct, StringType):
+            strays = child.select(text.alias("orphan_key")).where(F.col("orphan_key").isNotNull() & ck.isNull()).distinct()
+            return _orphans(child.select(ck.alias("orphan_key")), parent.select(pk.alias("orphan_key"))).select(
+                F.col("orphan_key").cast("string").alias("orphan_key")).unionByName(strays)
+    return _orphans(child.select(ck.alias("orphan_key")), parent.select(pk.alias("orphan_key")))
+
+
+def common_key_type(a: DataType, b: DataType) -> str | None:
+    """The type in which keys of the two types compare, as Spark's own equality does: a wide
+    decimal (double if one side is floating) for numbers, timestamps for dates and times, and the other side's type
+    for text. None when no cast is needed or only text is common."""
+    if a == b:
+        return None
+    kinds = (a, b)
+    if any(isinstance(t, StringType) for t in kinds):
+        other = b if isinstance(a, StringType) else a
+        if isinstance(other, (FloatType, DoubleType)):
+            return "double"
+        if isinstance(other, NumericType):
+            return "decimal(38,10)"
+        return other.simpleString() if isinstance(other, (DateType, TimestampType, TimestampNTZType, BooleanType)) else "string"
+    if all(isinstance(t, NumericType) for t in kinds):
+        if any(isinstance(t, (FloatType, DoubleType)) for t in kinds):
+            return "double"
+        scale = max((t.scale for t in kinds if isinstance(t, DecimalType)), default=0)
+        return f"decimal(38,{scale})"
+    if all(isinstance(t, (DateType, TimestampType, TimestampNTZType)) for t in kinds):
+        return "timestamp" if any(isinstance(t, TimestampType) for t in kinds) else "timestamp_ntz"
+    return "string"
+
+
+def _orphans(child_keys: DataFrame, parent_keys: DataFrame) -> DataFrame:
+    c = child_keys.where(F.col("orphan_key").isNotNull()).distinct()
+    p = parent_keys.distinct().withColumn("_matched", F.lit(True))
     return c.join(p, "orphan_key", "left").where(F.col("_matched").isNull()).select("orphan_key")
 
 

@@ -25,17 +25,16 @@ def break_foreign_key(
     """Referential fault: the ``n`` rows with the smallest keys get unique fake FK values
     ``prefix || 1..n``; every other row is untouched and the row count is preserved.
 
-    The sample is a top-n by key (partial top-n per task, then merge) and at most ``n``
-    rows, so broadcasting it to split the table is bounded by construction. ``df`` is
-    expected to be unique on ``key_columns`` (dedupe first otherwise).
+    The sample is a top-n by key (partial top-n per task, then merge); one left join marks
+    its rows, and the planner decides how to join it. ``df`` is expected to be unique on ``key_columns`` (dedupe first otherwise).
     """
     keys = list(key_columns)
     # top-n by key (partial top-n per task, then merge), numbered while it is n rows
     sample = df.select(*keys).orderBy(*keys).limit(n)
-    sample = F.broadcast(sample.withColumn("_tw_n", F.row_number().over(Window.orderBy(*keys))))
-    rest = df.join(sample.drop("_tw_n"), keys, "left_anti")
-    hit = df.join(sample, keys, "inner").withColumn(fk_column, F.concat(F.lit(prefix), F.col("_tw_n").cast("string")))
-    return rest.withColumn(fk_column, F.col(fk_column).cast("string")).unionByName(hit.select(*df.columns))
+    sample = sample.withColumn("_tw_n", F.row_number().over(Window.orderBy(*keys)))
+    fake = F.concat(F.lit(prefix), F.col("_tw_n").cast("string"))
+    marked = df.join(sample, keys, "left")
+    return marked.withColumn(fk_column, F.coalesce(fake, F.col(fk_column).cast("string"))).select(*df.columns)
 
 
 def stale_as_of(as_of: datetime, hours: float = 30) -> datetime:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewatch.functions.messages import FRESHNESS_DETAIL, NO_WRITE_DETAIL, render
-from tablewatch.functions.scalar import fixed, iso_text, py_num, seconds_between
+from tablewatch.functions.scalar import fixed, iso_text, py_num, seconds_between, utc_now
 from tablewatch.operators.latest import latest_per_key
 
 
@@ -32,10 +32,12 @@ def producing_job(edges: DataFrame) -> DataFrame:
     return latest.select(F.col("target_table").alias("table_name"), "job_name")
 
 
-def last_successful_write(runs: DataFrame) -> DataFrame:
-    """``(job_name, last_written_at)``: newest ``finished_at`` of a successful run per job."""
+def last_successful_write(runs: DataFrame, as_of: datetime | str | Column | None = None) -> DataFrame:
+    """``(job_name, last_written_at)``: newest ``finished_at`` of a successful run per job,
+    among those finished by ``as_of`` (default: all)."""
+    known = F.col("finished_at").isNotNull() if as_of is None else F.col("finished_at") <= ts_lit(as_of)
     return (
-        runs.where((F.col("status") == "success") & F.col("finished_at").isNotNull())
+        runs.where((F.col("status") == "success") & known)
         .groupBy("job_name")
         .agg(F.max("finished_at").alias("last_written_at"))
     )
@@ -50,11 +52,11 @@ def check_freshness(
 ) -> DataFrame:
     """Hours since the last successful write of each table's producing job; fail iff above
     the threshold, or when no write is on record. All tables in one plan."""
-    now = F.current_timestamp().cast("timestamp_ntz") if as_of is None else ts_lit(as_of)
+    now = utc_now() if as_of is None else ts_lit(as_of)
     j = (
         tables.select("table_name")
         .join(producing_job(edges), "table_name", "left")
-        .join(last_successful_write(runs), "job_name", "left")
+        .join(last_successful_write(runs, as_of), "job_name", "left")
     )
     last = F.col("last_written_at")
     hours = seconds_between(last, now) / F.lit(3600.0)

@@ -74,9 +74,8 @@ def reachable(
         else:
             step = step.distinct()
         # ... then drop pairs reached earlier. The reached set only grows: never broadcast
-        # it (it would travel through the driver every round); hash-join it per shuffled
-        # partition instead.
-        step = step.join(seen.hint("shuffle_hash"), ["root", "node"], "left_anti")
+        # it; a sort-merge join can spill.
+        step = step.join(seen, ["root", "node"], "left_anti")
         # The round's row count is observed while the checkpoint job runs: no extra job.
         obs = Observation(f"tw_round_{uuid.uuid4().hex}")
         step = cut_lineage(step.withColumn("distance", F.lit(depth)).observe(obs, F.count(F.lit(1)).alias("n")))

@@ -9,10 +9,10 @@ Event columns: run_id, job_name, event_time, status, rows_read, rows_written, er
 
 from __future__ import annotations
 
-import time
+import threading
 import uuid
 from contextlib import contextmanager
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +32,8 @@ EVENT_SCHEMA = StructType(
 
 # Run states.
 RUNNING, SUCCESS, FAILED = "running", "success", "failed"
+#: Seconds that the count of a finished job may take to arrive.
+OBSERVED_WITHIN = 3.0
 
 
 def current_runs(events: DataFrame) -> DataFrame:
@@ -58,6 +60,11 @@ def current_runs(events: DataFrame) -> DataFrame:
     )
 
 
+def utc_clock() -> datetime:
+    """The driver's time in UTC without a zone, the clock of every metadata timestamp."""
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
 class RunLog:
     """Driver-side logger writing start/finish events to a Parquet table path.
 
@@ -71,7 +78,6 @@ class RunLog:
     def __init__(self, spark: SparkSession, path: str, job_name: str):
         self.spark, self.path, self.job_name = spark, path, job_name
         self.run_id: int | None = None
-        self._t0: float | None = None
         self._reads: list[Observation] = []
         self._writes: list[Observation] = []
 
@@ -86,8 +92,7 @@ class RunLog:
 
     def start(self, run_id: int | None = None) -> int:
         self.run_id = run_id if run_id is not None else uuid.uuid4().int >> 65
-        self._t0 = time.time()
-        self._append(RUNNING, datetime.now())
+        self._append(RUNNING, utc_clock())
         return self.run_id
 
     def finish(self, status: str, rows_read: int | None = None, rows_written: int | None = None,
@@ -96,7 +101,7 @@ class RunLog:
             raise RuntimeError("finish() called before start(): no run to finish")
         if status not in (SUCCESS, FAILED):
             raise ValueError(f"terminal status must be {SUCCESS!r} or {FAILED!r}")
-        self._append(status, datetime.now(), rows_read, rows_written, error_message)
+        self._append(status, utc_clock(), rows_read, rows_written, error_message)
 
     def observe_read(self, df: DataFrame) -> DataFrame:
         obs = Observation(f"read_{len(self._reads)}")
@@ -110,17 +115,28 @@ class RunLog:
 
     @staticmethod
     def _total(observations: list[Observation]) -> int | None:
+        """Rows of the observed frames; None when there are none, or one of them got no action."""
         if not observations:
             return None
-        return int(sum(o.get.get("rows", 0) for o in observations))
+        counts: list[int | None] = [None] * len(observations)
+
+        def wait(i: int) -> None:  # an observation without an action never answers
+            counts[i] = observations[i].get.get("rows", 0)
+
+        threads = [threading.Thread(target=wait, args=(i,), daemon=True) for i in range(len(observations))]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join(OBSERVED_WITHIN)
+        return None if None in counts else int(sum(counts))
 
     @contextmanager
     def run(self, run_id: int | None = None):
         self.start(run_id)
         try:
             yield self
-        except Exception as exc:
-            self.finish(FAILED, error_message=str(exc))
+        except BaseException as exc:  # interrupts end the run as well
+            self.finish(FAILED, error_message=str(exc) or type(exc).__name__)
             raise
         self.finish(SUCCESS, self._total(self._reads), self._total(self._writes))
 

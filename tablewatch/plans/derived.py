@@ -19,24 +19,16 @@ UPSERT_FIRST_AT = "2024-01-01 00:00:00"
 UPSERT_SECOND_AT = "2024-01-05 00:00:00"
 JOBS_AT = "2024-01-01 00:00:00"
 
+# Check types.
 CHECK_TYPES = ("null_check", "duplicate_check", "referential_integrity", "schema_drift", "freshness")
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-_LOADED: dict[tuple[int, str], DataFrame] = {}
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table ``name`` under ``sf_dir``; one DataFrame per session and path, so a
-    plan that reads a table in several branches lists and footer-reads it once."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _LOADED.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _LOADED[key] = spark.read.parquet(path)
-    return df
+    """Parquet table ``name`` under ``sf_dir``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _ntz(s: str):

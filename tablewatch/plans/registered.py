@@ -432,11 +432,30 @@ def q_referential_integrity(spark, sf):
     return out
 
 
-@register("schema_snapshot", "SELECT * FROM (VALUES " + ", ".join(
-    f"({_q(t)}, {i}, {_q(c)}, {_q(ty)})" for t in ("orders", "lineitem") for i, (c, ty) in enumerate(TABLE_SCHEMAS[t])
-) + ") AS s(table_name, position, column_name, data_type)")
-def q_schema_snapshot(spark, sf):
-    return DR.schema_snapshot(spark, {"orders": T(spark, sf, "orders"), "lineitem": T(spark, sf, "lineitem")})
+# Keys of different types: the parent key as double, decimal and text, the child key as text.
+RI_TYPES = [("double_parent", "bigint", "double"), ("decimal_parent", "bigint", "decimal(12,2)"), ("text_parent", "bigint", "string"),
+            ("text_child", "string", "bigint"), ("int_child", "int", "bigint")]
+
+
+@register("referential_integrity_types", f"WITH {FX_FAULT_SQL}\n" + "\nUNION ALL ".join(
+    sql_ri(label, "orders", "o_custkey", "active_customer", "c_custkey") for label, _, _ in RI_TYPES))
+def q_referential_integrity_types(spark, sf):
+    child, parent = T(spark, sf, "orders"), D.fx_active_customers(T(spark, sf, "customer"))
+    out = None
+    for label, ct, pt in RI_TYPES:
+        r = CK.check_referential_integrity(child.select(F.col("o_custkey").cast(ct)), "o_custkey",
+                                           parent.select(F.col("c_custkey").cast(pt)), "c_custkey").select(F.lit(label).alias("table_name"), "*")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("timestamps_zoned", """SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS plain, CAST(o_orderdate AS TIMESTAMP) - INTERVAL 5 HOUR AS east,
+       CAST(o_orderdate AS TIMESTAMP) + INTERVAL 90 MINUTE AS west, CAST(o_orderdate AS TIMESTAMP) AS zulu FROM orders""")
+def q_timestamps_zoned(spark, sf):
+    text = F.date_format(F.col("o_orderdate").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss")
+    raw = T(spark, sf, "orders").select("o_orderkey", text.alias("plain"), F.concat(text, F.lit("+05:00")).alias("east"),
+                                        F.concat(text, F.lit("-01:30")).alias("west"), F.concat(text, F.lit("Z")).alias("zulu"))
+    return S.parse_timestamps(raw, ["plain", "east", "west", "zulu"])
 
 
 # Schema-drift cases derived from part: table tbl_<p>, case p % 6 (0 first snapshot, 1 same,
@@ -730,7 +749,7 @@ g AS (SELECT source_table, target_table, job_name, source_type, detected_at FROM
         CASE WHEN source_type = 'manual_override' THEN 1 ELSE 0 END DESC, detected_at DESC NULLS LAST, job_name) = 1)"""
 CLOSURE_SQL = """down(root, node, depth) AS (
   SELECT source_table, target_table, 1 FROM g WHERE source_table <> target_table
-  UNION SELECT d.root, g.target_table, d.depth + 1 FROM down d JOIN g ON g.source_table = d.node WHERE d.depth < 1000),
+  UNION SELECT d.root, g.target_table, d.depth + 1 FROM down d JOIN g ON g.source_table = d.node),
 closure AS (SELECT root, node, min(depth) AS distance FROM down WHERE root <> node GROUP BY root, node)"""
 
 
@@ -767,20 +786,24 @@ def q_lineage_roots_leaves(spark, sf):
     return ED.node_degrees(graph_edges(spark, sf))
 
 
-@register("lineage_downstream", f"""WITH RECURSIVE {GRAPH_SQL}, {CLOSURE_SQL}
-SELECT root AS table_name, node AS downstream_table, CAST(distance AS INTEGER) AS distance FROM closure""")
+LATEST_FAIL_SQL = """latest AS (SELECT * FROM fx_results QUALIFY rank() OVER (PARTITION BY table_name, check_type ORDER BY checked_at DESC) = 1),
+fails AS (SELECT * FROM latest WHERE status = 'fail')"""
+
+
+@register("lineage_downstream", f"""WITH RECURSIVE {FX_RESULTS_SQL}, {GRAPH_SQL}, {LATEST_FAIL_SQL}, {CLOSURE_SQL}
+SELECT root AS table_name, node AS downstream_table, CAST(distance AS INTEGER) AS distance FROM closure
+WHERE root IN (SELECT table_name FROM fails)""")
 def q_lineage_downstream(spark, sf):
-    return GR.downstream(graph_edges(spark, sf))
+    return GR.downstream(graph_edges(spark, sf), failing_tables(spark, sf))
 
 
-@register("lineage_upstream", f"""WITH RECURSIVE {GRAPH_SQL}, {CLOSURE_SQL}
-SELECT node AS table_name, root AS upstream_table, CAST(distance AS INTEGER) AS distance FROM closure""")
+@register("lineage_upstream", f"""WITH RECURSIVE {FX_RESULTS_SQL}, {GRAPH_SQL}, {LATEST_FAIL_SQL}, {CLOSURE_SQL}
+SELECT node AS table_name, root AS upstream_table, CAST(distance AS INTEGER) AS distance FROM closure
+WHERE node IN (SELECT table_name FROM fails)""")
 def q_lineage_upstream(spark, sf):
-    return GR.upstream(graph_edges(spark, sf))
+    return GR.upstream(graph_edges(spark, sf), failing_tables(spark, sf))
 
 
-LATEST_FAIL_SQL = """latest AS (SELECT * FROM fx_results QUALIFY rank() OVER (PARTITION BY table_name, check_type ORDER BY checked_at DESC) = 1),
-fails AS (SELECT * FROM latest WHERE status = 'fail')"""
 WALK_SQL = """walk(root, node, depth, path) AS (
   SELECT table_name, table_name, 0, [table_name] FROM (SELECT DISTINCT table_name FROM fails)
   UNION ALL SELECT w.root, g.target_table, w.depth + 1, list_append(w.path, g.target_table)
@@ -926,14 +949,14 @@ def q_node_status(spark, sf):
 
 
 @register("table_drilldown", f"""WITH RECURSIVE {FX_RESULTS_SQL}, {GRAPH_SQL}, {LATEST_SQL}, {STATUS_SQL}, {CLOSURE_SQL},
-nodes AS (SELECT DISTINCT t AS table_name FROM (SELECT source_table AS t FROM g UNION ALL SELECT target_table FROM g))
+nodes AS (SELECT DISTINCT table_name FROM latest WHERE status = 'fail')
 SELECT n.table_name,
        CAST(coalesce((SELECT count(*) FROM closure c WHERE c.node = n.table_name), 0) AS BIGINT) AS n_upstream,
        CAST(coalesce((SELECT count(*) FROM closure c WHERE c.root = n.table_name), 0) AS BIGINT) AS n_downstream,
        coalesce(s.status, 'not checked') AS status, coalesce(s.status = 'fail', false) AS alert
 FROM nodes n LEFT JOIN status_per_table s ON s.table_name = n.table_name""")
 def q_table_drilldown(spark, sf):
-    return RP.table_drilldown(graph_edges(spark, sf), fx_results_df(spark, sf))
+    return RP.table_drilldown(graph_edges(spark, sf), fx_results_df(spark, sf), failing_tables(spark, sf))
 
 
 @register("failure_digest", f"""WITH RECURSIVE {FX_RESULTS_SQL}, {GRAPH_SQL}, {CLOSURE_SQL},

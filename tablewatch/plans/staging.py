@@ -23,6 +23,10 @@ ORDER_TIMESTAMPS = (
 )
 
 
+#: A time of day followed by an offset, Z, or a zone name.
+ZONED = r"[0-9]{1,2}:[0-9]{2}[0-9:.]*\s*([+-][0-9]{1,2}(:?[0-9]{2})?|Z|[A-Za-z]+(/[A-Za-z_]+)*([+-][0-9:]+)?)\s*$"
+
+
 def clean_text(df: DataFrame, lower_trim: Sequence[str] = (), trim: Sequence[str] = ()) -> DataFrame:
     m = {c: F.trim(F.lower(F.col(c))) for c in lower_trim}
     m.update({c: F.trim(F.col(c)) for c in trim})
@@ -30,7 +34,13 @@ def clean_text(df: DataFrame, lower_trim: Sequence[str] = (), trim: Sequence[str
 
 
 def parse_timestamps(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("string").try_cast("timestamp_ntz") for c in columns}) if columns else df
+    """Text without a zone is taken as it stands; text with an offset or zone is converted to UTC."""
+    return df.withColumns({c: _utc_timestamp(F.col(c).cast("string")) for c in columns}) if columns else df
+
+
+def _utc_timestamp(text):
+    moved = F.convert_timezone(F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz"))
+    return F.when(text.rlike(ZONED), moved).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def cast_decimals(df: DataFrame, columns: Sequence[str], precision: int = 10, scale: int = 2) -> DataFrame:

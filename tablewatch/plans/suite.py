@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tablewatch.operators.checks import CHECK_COLUMNS, check_referential_integrity, check_row, table_checks
 from tablewatch.operators.drift import check_schema_drift, schema_snapshot
+from tablewatch.functions.scalar import utc_now
 from tablewatch.operators.freshness import check_freshness, ts_lit
 from tablewatch.sources.rules import Rules
 
@@ -75,7 +76,7 @@ def run_suite(
             runs = spark.createDataFrame([], "job_name string, status string, finished_at timestamp_ntz")
         parts.append(_stamp(check_freshness(names, edges, runs, rules.max_staleness_hours, as_of)))
     out = reduce(DataFrame.unionByName, parts)
-    checked = F.current_timestamp().cast("timestamp_ntz") if as_of is None else ts_lit(as_of)
+    checked = utc_now() if as_of is None else ts_lit(as_of)
     return out.select(F.lit(run_id).cast("long").alias("run_id"), "table_name", *CHECK_COLUMNS, checked.alias("checked_at"))
 
 

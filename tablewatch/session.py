@@ -44,7 +44,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
+    if sc.master.split("[")[0] == "local":
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tablewatch-ckpt-"))
         return sc.getCheckpointDir()
     raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS) before running graph operators")

@@ -27,7 +27,8 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
 
 
 def read_scripts(spark: SparkSession, path: str, pattern: str = "*.py") -> DataFrame:
-    """Whole-file text of every script under ``path``; job name = file stem.
+    """Whole-file text of every script under ``path``; job name = path below the folder without its ending, so that files
+    of one name in different folders stay different jobs.
 
     Missing files simply do not appear (the corpus is whatever exists), which is the
     "skip missing scripts" behaviour of a job list, without a driver-side loop.
@@ -38,7 +39,12 @@ def read_scripts(spark: SparkSession, path: str, pattern: str = "*.py") -> DataF
         .text(path, wholetext=True)
         .select(F.col("value").alias("script_text"), F.col("_metadata.file_path").alias("script_path"))
     )
-    stem = F.regexp_extract(F.col("script_path"), r"([^/]+)\.[^./]+$", 1)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    root = folder.getFileSystem(conf).makeQualified(folder).toUri().getRawPath().rstrip("/") + "/"
+    below = F.expr("regexp_replace(script_path, '^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?', '')")
+    below = F.when(below.startswith(root), below.substr(F.lit(len(root) + 1), F.length(below))).otherwise(F.regexp_extract(below, r"([^/]+)$", 1))
+    stem = F.regexp_replace(F.url_decode(F.regexp_replace(below, r"\+", "%2B")), r"\.[^./]+$", "")
     return df.select(stem.alias("job_name"), "script_path", "script_text")
 
 
@@ -50,10 +56,14 @@ def read_job_scripts(spark: SparkSession, jobs: dict[str, str]) -> DataFrame:
     for job, path in jobs.items():
         p = jvm.org.apache.hadoop.fs.Path(path)
         if p.getFileSystem(conf).exists(p):
-            existing[job] = p.getFileSystem(conf).makeQualified(p).toString()
+            existing[job] = p.getFileSystem(conf).makeQualified(p).toUri().toString()
     if not existing:
         return spark.createDataFrame([], "job_name string, script_path string, script_text string")
-    texts = spark.read.text(list(existing.values()), wholetext=True).select(
-        F.col("value").alias("script_text"), F.col("_metadata.file_path").alias("script_path"))
+    # Paths are compared as URIs in one spelling: file:/x and file:///x are the same place.
+    plain = lambda c: F.regexp_replace(c, "^([a-zA-Z][a-zA-Z0-9+.-]*):/+", "$1:/")
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(u)).toString() for u in dict.fromkeys(existing.values())]
+    texts = spark.read.text(paths, wholetext=True).select(
+        F.col("value").alias("script_text"), plain(F.col("_metadata.file_path")).alias("script_path"))
     names = spark.createDataFrame([(j, p) for j, p in existing.items()], "job_name string, script_path string")
+    names = names.withColumn("script_path", plain(F.col("script_path")))
     return names.join(texts, "script_path").select("job_name", "script_path", "script_text")
