@@ -8,9 +8,9 @@ the threshold's similarity share one child on average. Small nodes are compared
 large ones branch again, and ``TREES`` independent trees bring the recall up.
 
 What keeps groups of copies cheap: equal sets are one record; every node first links its records
-to the node's pivot, and records already in one component need no further comparison, so only
-records of different components are compared in small nodes, and nodes with one component left
-are closed. Candidates pass a two-bit sketch of the tokens (a pair at
+to a pivot drawn for the node, small nodes link what is left to a second one, and records already in
+one component need no further comparison, so only records of different components are compared
+in small nodes, and nodes with one component left are closed. Candidates pass a two-bit sketch of the tokens (a pair at
 the threshold fails it with a probability below 1e-3, a closer one far more rarely) and are then confirmed on the full sets.
 
 Null texts and texts without words have an empty set: linked with nothing, their own component.
@@ -126,8 +126,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose full shingle sets have the similarity."""
     for b in batches:
-        for s in range(0, b.num_rows, 256):
-            part = b.slice(s, 256)
+        for s in range(0, b.num_rows, 64):
+            part = b.slice(s, 64)
             sides = []
             for c in (2, 3):
                 hs, ids = [], []
@@ -175,11 +175,17 @@ def _shared(rows: DataFrame) -> DataFrame:
     return cut_lineage(rows.join(many, "node"))
 
 
-def _stars(nodes: DataFrame) -> DataFrame:
-    """Every record of a node with its pivot, a record drawn by hash: a group of copies meets many pivots in its nodes."""
-    rank = F.xxhash64("rec", "node")
-    pivots = nodes.groupBy("node").agg(*(F.min_by(c, rank).alias(c) for c in ("rec", "n", "bit0", "bit1")))
-    return nodes.alias("x").join(pivots.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.rec") != F.col("y.rec")) & _alike()).select(*_pair())
+def _stars(nodes: DataFrame, turn: int = 0) -> DataFrame:
+    """Every record of a node with its pivot, a record drawn by hash: a group of copies meets many pivots in its nodes.
+
+    Where components are known, the pivot comes from the largest one and the others meet it.
+    """
+    known = "comp" in nodes.columns
+    rank = F.xxhash64("rec", "node", F.lit(turn))
+    inner = nodes.where("comp = major") if known else nodes
+    pivots = inner.groupBy("node").agg(*(F.min_by(c, rank).alias(c) for c in ("rec", "n", "bit0", "bit1")))
+    outer = nodes.where("comp <> major") if known else nodes
+    return outer.alias("x").join(pivots.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.rec") != F.col("y.rec")) & _alike()).select(*_pair())
 
 
 def _sizes(named: DataFrame) -> DataFrame:
@@ -189,16 +195,11 @@ def _sizes(named: DataFrame) -> DataFrame:
     return whole.where("size * size > squares").select("node", ((F.col("size") * F.col("size") - F.col("squares")) / 2).cast("long").alias("cross"), "major")
 
 
-def _within(small: DataFrame, best: bool) -> DataFrame:
-    """All pairs of different components in small nodes, or for each record outside a node's largest
-    component only its best pair by the sketches. The largest component is met by the others only."""
+def _within(small: DataFrame) -> DataFrame:
+    """All pairs of different components in small nodes; the largest component is met by the others only."""
     others = small.where("comp <> major").alias("x")
     differ = (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.major")) | (F.col("x.comp") < F.col("y.comp")))
-    met = others.join(small.alias("y"), (F.col("x.node") == F.col("y.node")) & differ & _alike())
-    if best:
-        rank = F.struct(_differ(), "y.rec")
-        met = met.groupBy(F.col("x.rec").alias("one")).agg(F.min(rank).alias("two")).select(F.struct(F.col("one").alias("rec")).alias("x"), F.struct(F.col("two.rec")).alias("y"))
-    return met.select(*_pair())
+    return others.join(small.alias("y"), (F.col("x.node") == F.col("y.node")) & differ & _alike()).select(*_pair())
 
 
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +228,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links: list[DataFrame] = []
     tested: list[DataFrame] = []
     comp = None
-    waiting = None  # small nodes whose best pairs are tested
+    waiting = None  # small nodes that had another star and are now compared exhaustively
     pairs = _stars(open_)
 
     def named(rows: DataFrame) -> DataFrame:
@@ -251,10 +252,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         now = named(open_)
         still = cut_lineage(now.join(_sizes(now), "node"))
         small, large = still.where(F.col("cross") <= SMALL), still.where(F.col("cross") > SMALL)
-        pairs = _within(small, True)
+        pairs = _stars(small, 1)
         if waiting is not None:
-            again = named(waiting)
-            pairs = pairs.unionByName(_within(again.join(_sizes(again), "node"), False))
+            rows = named(waiting)
+            pairs = pairs.unionByName(_within(rows.join(_sizes(rows), "node")))
         elif still.isEmpty():
             break
         waiting = None if small.isEmpty() else small
