@@ -135,7 +135,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = Sizes(model.good, model.bad)
-        for b in batches:
+        for b in (whole.slice(i, 256) for whole in batches for i in range(0, max(1, whole.num_rows), 256)):
             texts = [t or b"" for t in b.column(at).cast(pa.large_binary() if pa.types.is_large_string(b.column(at).type) else pa.binary()).to_pylist()]
             yield pa.record_batch([*b.columns, pa.array(model.scores(texts, tool), pa.float64())], names=[*b.schema.names, "quality_score"])
 

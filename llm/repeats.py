@@ -30,6 +30,8 @@ from llm.textnum import BYTES, U64, WORDS, chunks, inside, ranges, sliding_min,
 #: anchor, content: hashes; doc_id; place: first window; n: windows; many: the content occurs
 #: again; state: 0 open, 1 settled (repeats), 2 to be compared window by window.
 ROW = "anchor long, content long, doc_id long, place int, n int, many boolean, state int"
+#: Bytes of text whose repeats are settled together before the shuffle.
+TOGETHER = 2 << 20
 _NAMES = [x.split()[0] for x in ROW.split(", ")]
 
 Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -107,7 +109,7 @@ def send_phrases(docs: DataFrame, units: Units, width: int, gram: int, rule: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_numpy()
-            for i, data, off in chunks(b.column(1)):
+            for i, data, off in chunks(b.column(1), TOGETHER):
                 values, first = units(data, off)
                 text, place, n, anchor, content = phrases(WORDS.prefix(values), first, width, gram)
                 yield from _send(rule, anchor, content, ids[i + text], place, n)

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text bytes handled at once; a longer single text is a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 U64 = np.uint64
 
