@@ -127,7 +127,7 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wrappers.op9(table(spark, sf_dir, "pages"))
+    return wrappers.op9(table(spark, sf_dir, "pages"), between="\n\n")
 
 
 @query

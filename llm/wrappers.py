@@ -279,8 +279,8 @@ def place(address: str) -> str:
     return inside
 
 
-def text_of(page: str, main: frozenset[str]) -> str:
-    """Blocks of the page's main slots in page order."""
+def text_of(page: str, main: frozenset[str], between: str = "\n") -> str:
+    """Blocks of the page's main slots in page order, joined by ``between``."""
     blocks: list[list[str]] = []
     new = True
     for kind, key, text, block in slots(page):
@@ -294,7 +294,7 @@ def text_of(page: str, main: frozenset[str]) -> str:
         elif text != " ":
             new = True
     out = (" ".join(html.unescape("".join(b)).split()) for b in blocks)
-    return "\n".join(b for b in out if b)
+    return between.join(b for b in out if b)
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
@@ -340,22 +340,23 @@ def _set(main: str) -> frozenset[str]:
     return frozenset(json.loads(main))
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        page, main = b.column(2).to_pylist(), b.column(3).to_pylist()
-        yield pa.record_batch([b.column(0), b.column(1), pa.array([text_of(p or "", _set(m)) for p, m in zip(page, main, strict=True)], pa.string())], names=["page_id", "url", "text"])
+def extract(pages: DataFrame, between: str = "\n") -> DataFrame:
+    """(page_id, url, text) of every page, blocks joined by ``between``."""
 
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            page, main = b.column(2).to_pylist(), b.column(3).to_pylist()
+            text = [text_of(p or "", _set(m), between) for p, m in zip(page, main, strict=True)]
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(text, pa.string())], names=["page_id", "url", "text"])
 
-def extract(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text) of every page."""
     rows = pages.select("page_id", "url", "html")
     main = cut_lineage(wrappers(rows).mapInArrow(_main_slots, "host string, main string"))
     size = main.agg(F.sum(F.length("main") + F.length("host"))).first()[0] or 0
     kind = rows.schema[0].dataType.simpleString()
     with_host = rows.mapInArrow(_host, f"page_id {kind}, url string, html string, host string")
     joined = with_host.join(F.broadcast(main) if size <= BROADCAST_BYTES else main, "host")
-    return joined.select("page_id", "url", "html", "main").mapInArrow(_extract, f"page_id {kind}, url string, text string")
+    return joined.select("page_id", "url", "html", "main").mapInArrow(texts, f"page_id {kind}, url string, text string")
 
 
-def op9(pages: DataFrame) -> DataFrame:
-    return extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+def op9(pages: DataFrame, between: str = "\n") -> DataFrame:
+    return extract(pages, between).withColumn("n_chars", F.length("text").cast("long"))

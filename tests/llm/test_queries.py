@@ -34,3 +34,9 @@ def test_pipeline_equals_its_stages(spark, tmp_path):
             assert docs.columns == columns
     assert [s for s, _ in corpus_pipeline.STAGES] == ["quality", "near_dedup", "decontamination", "pii", "byte_bpe"]
     assert sorted(map(tuple, docs.collect())) == sorted(map(tuple, corpus_pipeline.run(spark, SF).collect()))
+
+
+def test_html_blocks_are_joined_by_two_newlines(spark, tmp_path):
+    page = "<article><h1>Head</h1><p>One<br>line<p>two</article>"
+    spark.createDataFrame([(1, "http://a.com/1", page)], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    assert [(r.text, r.n_chars) for r in QUERIES["op9_html_wrappers"](spark, str(tmp_path)).collect()] == [("Head\n\nOne line\n\ntwo", 19)]
