@@ -4,8 +4,9 @@ Pages of one host are token streams: opening tags (with their classes), closing
 slots, nested as the tags are. Repeated neighbours are folded into groups, their contents
 aligned; then streams are aligned one after another, element by element: what both have stays,
 what only one has becomes optional, unless it is one more turn of a repeated group. The result
-is the host's wrapper, a regular expression without unions. Each text slot of the wrapper has statistics over all pages of the host, and the wrapper decides
-slot by slot whether it holds main text; a page's text is what its main slots hold.
+is the host's wrapper, a regular expression without unions. Each text slot of the wrapper has
+statistics over all pages of the host, and the wrapper gives each slot its place or drops it as
+the same on different pages. Page by page, the best place that has text there gives the text.
 
 Wrappers are folded within each batch first, so that a host sends one partial wrapper per batch,
 however many pages it has, and folding reads them one by one.
@@ -17,6 +18,7 @@ off at the end of a page is dropped, as are unclosed comments and scripts.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -34,6 +36,8 @@ from tablewatch.session import cut_lineage
 BROADCAST_BYTES = 8 << 20
 #: Longest group that folding looks for, and longest streams that are aligned item by item.
 GROUP, ALIGN = 8, 400
+#: So many different pages must hold the same text before it counts as the host's and not the page's.
+APART = 2
 
 # HTML's element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -197,8 +201,13 @@ def align(a: tuple[Item, ...], b: tuple[Item, ...]) -> tuple[Item, ...]:
     return fold(tuple(out))
 
 
+def _digest(text: str) -> str:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+
+
 class Wrapper:
-    """The expression of a host's pages and, for each slot, [pages, characters, its only text so far or None]."""
+    """The expression of a host's pages and, for each slot, [least digests of different pages that have it, at most
+    ``APART``; digest of its only text so far or None]."""
 
     def __init__(self) -> None:
         self.items: tuple[Item, ...] | None = None
@@ -219,14 +228,16 @@ class Wrapper:
                     open_[-1][1].append(("#", (), False, False))
         other = Wrapper()
         other.items = fold(tuple(open_[0][1]))
-        other.stats = {a: [1, sum(map(len, t)), " ".join("".join(t).split())[:200]] for a, t in texts.items()}
+        own = {a: _digest(" ".join("".join(t).split())) for a, t in texts.items()}
+        whole = _digest(" ".join(f"{a} {own[a]}" for a in sorted(own) if place(a)))
+        other.stats = {a: [[whole], d] for a, d in own.items()}
         self.join(other)
 
     def join(self, other: Wrapper) -> None:
         self.items = other.items if self.items is None else align(self.items, other.items)
-        for a, (pages, size, text) in other.stats.items():
-            mine = self.stats.setdefault(a, [0, 0, text])
-            self.stats[a] = [mine[0] + pages, mine[1] + size, text if mine[2] == text else None]
+        for a, (pages, text) in other.stats.items():
+            mine = self.stats.setdefault(a, [[], text])
+            self.stats[a] = [sorted({*mine[0], *pages})[:APART], text if mine[1] == text else None]
 
     def addresses(self) -> list[str]:
         """The text slots of the expression, in order, each by the keys of the elements around it."""
@@ -242,12 +253,11 @@ class Wrapper:
         walk(self.items or (), ())
         return list(found)
 
-    def main(self) -> list[str]:
-        """Slots that hold main text: in the article if the wrapper has one, else in the body, without what is
-        never main text and without texts outside an article that are the same on all pages."""
-        named = [(a, place(a)) for a in self.addresses()]
-        article = any(p == "article" for _, p in named)
-        return [a for a, p in named if p == "article" or (not article and p == "body" and not (self.stats[a][0] > 2 and self.stats[a][2] is not None))]
+    def main(self) -> dict[str, str]:
+        """Slots that may hold main text and their places: without what is never main text and without body texts
+        that are the same on all of ``APART`` or more different pages (copies of a page count once)."""
+        named = ((a, place(a)) for a in self.addresses())
+        return {a: p for a, p in named if p and not (p == "body" and len(self.stats[a][0]) == APART and self.stats[a][1] is not None)}
 
     def dumps(self) -> str:
         return json.dumps([self.items, self.stats], ensure_ascii=False)
@@ -266,27 +276,39 @@ def _tuples(items: list) -> tuple[Item, ...]:
 
 @lru_cache(1 << 14)
 def place(address: str) -> str:
-    """Where a slot lies: "article", "body", or "" where no main text is."""
-    inside = "body"
+    """Where a slot lies: "article", "below" (an article inside elements whose words speak against main text),
+    "body", or "" where no main text is. Words of html and body say nothing about their contents."""
+    inside, denied = "body", False
     for key in address.split("/"):
         tag, *names = key.split(".")
-        if tag in NEVER or NEVER_WORDS.intersection(names):
-            return ""
-        if tag in MAIN or "main" in names and tag in ("div", "section"):
-            inside = "article"
-        elif inside == "body" and (tag in OUTSIDE or OUTSIDE_WORDS.intersection(names)):
+        never = tag not in ("html", "body") and bool(NEVER_WORDS.intersection(names))
+        if tag in NEVER or never and (inside != "body" or tag == "article"):
             return ""
-    return inside
-
-
-def text_of(page: str, main: frozenset[str], between: str = "\n") -> str:
-    """Blocks of the page's main slots in page order, joined by ``between``."""
+        denied |= never
+        if tag in MAIN or not never and "main" in names and tag in ("div", "section"):
+            inside = "below" if denied else "article"
+        elif inside == "body":
+            if tag in OUTSIDE:
+                return ""
+            denied |= tag not in ("html", "body") and bool(OUTSIDE_WORDS.intersection(names))
+    return "" if inside == "body" and denied else inside
+
+
+def text_of(page: str, main: dict[str, str], between: str = "\n") -> str:
+    """Blocks of the page's main slots in page order, joined by ``between``. The article if this page has one with
+    text; else what lies in the body or in articles below denied elements, whichever has more text here."""
+    seen = list(slots(page))
+    size = dict.fromkeys(("article", "below", "body"), 0)
+    for kind, key, text, _ in seen:
+        if kind == "#" and key in main:
+            size[main[key]] += len((html.unescape(text) if "&" in text else text).strip())
+    best = "article" if size["article"] else "body" if size["body"] > size["below"] else "below"
     blocks: list[list[str]] = []
     new = True
-    for kind, key, text, block in slots(page):
+    for kind, key, text, block in seen:
         if kind != "#":
             new |= key.split(".", 1)[0] not in INLINE
-        elif key in main:
+        elif main.get(key) == best:
             if new or block or not blocks:
                 blocks.append([])
             blocks[-1].append(text)
@@ -336,8 +358,8 @@ def _host(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 @lru_cache(1 << 12)
-def _set(main: str) -> frozenset[str]:
-    return frozenset(json.loads(main))
+def _places(main: str) -> dict[str, str]:
+    return json.loads(main)
 
 
 def extract(pages: DataFrame, between: str = "\n") -> DataFrame:
@@ -346,7 +368,7 @@ def extract(pages: DataFrame, between: str = "\n") -> DataFrame:
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             page, main = b.column(2).to_pylist(), b.column(3).to_pylist()
-            text = [text_of(p or "", _set(m), between) for p, m in zip(page, main, strict=True)]
+            text = [text_of(p or "", _places(m), between) for p, m in zip(page, main, strict=True)]
             yield pa.record_batch([b.column(0), b.column(1), pa.array(text, pa.string())], names=["page_id", "url", "text"])
 
     rows = pages.select("page_id", "url", "html")

@@ -262,6 +262,27 @@ def test_wrappers(spark):
     assert wrappers.op9(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+def test_wrappers_decide_page_by_page(spark):
+    long = "word " * 60
+    pages = [
+        ("http://a.com/1", "<article><p>in article</article>", "in article"),  # (a) hosts with and without articles
+        ("http://a.com/2", "<div><p>no article</div>", "no article"),
+        (None, "<main>some main</main>", "some main"),
+        ("::", "<div>odd url</div>", "odd url"),
+        *[(f"http://b.com/{i}", "<div><p>copied page</div>", "copied page") for i in range(3)],  # (b) copies, like beginnings
+        *[(f"http://c.com/{i}", f"<div><p>{long}{i}</div>", f"{long}{i}") for i in range(3)],
+        *[(f"http://d.com/{i}", f"<div><p>own {i}</div><div class=legal>all rights</div>", f"own {i}") for i in range(2)],
+        ("http://e.com/1", "<html class=nav-open><body class=has-sidebar><div class=with-sidebar><article>below</article></div>", "below"),  # (c) words above
+        ("http://f.com/1", "<body class=menu><p>plain</p><div class=menu>m</div>", "plain"),
+        ("http://g.com/1", "<article>real</article><div class=related><article>teaser, teaser</article></div><article class=comment>nice</article>", "real"),
+        ("http://h.com/1", "<p>real and long</p><div class=related><article>teaser</article></div>", "real and long"),
+        ("http://i.com/1", "<div class=header><p>top</div><article>&nbsp;</article><p>filled", "filled"),
+    ]
+    rows = [(i, url, page) for i, (url, page, _) in enumerate(pages)]
+    got = {r.page_id: r.text for r in wrappers.op9(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(len(pages))] == [want for *_, want in pages]
+
+
 def test_wrapper_folds_repeats_and_options():
     w = wrappers.Wrapper()
     for p in ("<ul><li>a</li></ul>", "<ul><li>a</li><li>b</li></ul><p>x</p>", "<dl><dt>a<dd>b<dt>c<dd>d</dl><ul><li><b>q</b></li></ul>"):
