@@ -3,6 +3,8 @@
 import decimal
 import math
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -55,8 +57,14 @@ def test_query_matches_oracle(spark, duck, name):
     assert _rows(sdf.columns, [tuple(r) for r in sdf.collect()]) == _rows(dcols, cur.fetchall())
 
 
-def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+def test_every_table_query_has_an_oracle():
+    assert set(E.registered.QUERIES) == set(E.registered.ORACLE)
+    assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_an_absent_package_costs_the_corpus_queries_alone():
+    code = "import sys; sys.modules['zstandard'] = None; import __spark_entry__ as E; assert len(E.queries()) == len(E.registered.QUERIES)"
+    subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=os.path.dirname(E.__file__), check=True)
 
 
 def test_entry_smoke(spark):
