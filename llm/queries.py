@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, nearjoin, pii, quality, rlz, secrets, simhash, suffix, tokenize, wrappers
+from llm import collocations, decontaminate, fertility, nearjoin, pii, quality, rlz, secrets, simhash, suffix, tokenize, variants, wrappers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+FERTILITY_VOCABULARIES = [public_tokenizers.path(f) for f in ("piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken")]
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -133,3 +134,81 @@ def op9_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.op11(table(spark, sf_dir, "documents"), FERTILITY_VOCABULARIES)
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.op12(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.op13(table(spark, sf_dir, "documents"))
+
+
+#: Pieces and words of every text; phrases of two and three words; counts in 128 bits.
+ORACLE["op13_collocations"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p
+), f AS (
+  SELECT lang, k, g, CAST(count(*) AS HUGEINT) AS f FROM (
+    SELECT lang, k, unnest(list_transform(range(1, greatest(len(ws) - k + 2, 1)), lambda i: ws[i:i + k - 1])) AS g FROM w, range(1, 4) r(k)
+  ) GROUP BY ALL
+), n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND f >= 10),
+longer AS (
+  SELECT lang, g, max(f) AS f FROM (SELECT lang, g[1:2] AS g, f FROM c WHERE k = 3 UNION ALL SELECT lang, g[2:3], f FROM c WHERE k = 3) GROUP BY ALL
+), kept AS (
+  SELECT c.* FROM c LEFT JOIN longer ON longer.lang = c.lang AND longer.g = c.g AND c.k = 2 WHERE longer.f IS NULL OR 100 * longer.f < 50 * c.f
+), cut AS (
+  SELECT k.lang, k.g, k.f AS a, j, l.f AS l, r.f AS r, (1000000 * k.f * k.f) // (l.f * r.f) AS score
+  FROM kept k JOIN range(1, 3) x(j) ON j < k.k
+  JOIN f l ON l.lang = k.lang AND l.g = k.g[1:j] JOIN f r ON r.lang = k.lang AND r.g = k.g[j + 1:k.k]
+), scored AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(g, ' '))) AS rank FROM scored
+)
+SELECT lang, rank, array_to_string(g, ' ') AS phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+#: The crc32 goes byte by byte over the list of bytes; two words are near if taking a letter out of one
+#: gives the other, or out of both at one place gives the same.
+ORACLE["op12_spelling_variants"] = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t
+), run AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS w FROM documents
+), own AS (
+  SELECT doc_id, w, count(*) AS n, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, unicode(c) - 64] END)) AS bytes
+  FROM run GROUP BY doc_id, w
+), hashed AS (
+  SELECT w, n, xor(list_reduce(list_concat([4294967295], bytes), lambda c, b: xor(c // 256, t[CAST(xor(c % 256, b) AS BIGINT) + 1])), 4294967295) AS h FROM own, crc
+), typed AS (
+  SELECT CASE WHEN h % 199 = 0 THEN w[1:h % len(w)] || w[h % len(w) + 2:] ELSE w END AS word, n FROM hashed
+), v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM typed WHERE len(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), d AS (SELECT word, n, i, word[1:i - 1] || word[i + 1:] AS k FROM (SELECT word, n, unnest(range(1, len(word) + 1)) AS i FROM v)),
+near AS (
+  SELECT DISTINCT x.word, x.n, y.word AS other, y.n AS other_n FROM d x JOIN d y ON x.i = y.i AND x.k = y.k AND x.word <> y.word
+  UNION SELECT d.word, d.n, v.word, v.n FROM d JOIN v ON v.word = d.k
+  UNION SELECT v.word, v.n, d.word, d.n FROM d JOIN v ON v.word = d.k
+), best AS (
+  SELECT word, n, count(*) OVER (PARTITION BY word) AS n_near, other, other_n FROM near QUALIFY row_number() OVER (PARTITION BY word ORDER BY other_n DESC, encode(other)) = 1
+), form AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * v.n THEN other END AS form, CASE WHEN other_n >= 5 * v.n THEN other_n END AS form_n FROM v LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, word AS root FROM form
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN form f ON f.word = c.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n
+FROM form f JOIN chain c USING (word) JOIN form r ON r.word = c.root WHERE r.form IS NULL
+"""
