@@ -1,6 +1,6 @@
 """Phrase collocation mining by direct-address tiling (operator 13).
 
-Words are counted first. The ``HEAD`` most frequent ones get ids by rank in their language, so the pairs
+Words are counted first. The ``Sizes.head`` most frequent ones get ids by rank in their language, so the pairs
 of head words fall into square tiles of ``TILE`` ids a side. In every task, tiles that hold many pairs are
 counted by a dense bincount, cell by cell, and kept until the task ends; the pairs of all other
 tiles, and those with a word behind the head (whose id is a hash), are counted as sorted
@@ -21,6 +21,7 @@ no phrases; doc_id is not read; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -34,12 +35,28 @@ from llm.textnum import U64, Roller, chunks, lower_ascii, mix
 from tablewatch.session import cut_lineage
 
 LEAST, INSIDE, TOP = 10, 50, 2000
-#: Words, and then pairs, that are addressed by rank; the driver and every task hold so many at most.
-HEAD = 1 << 16
 TILE = 1 << 10
-#: A tile is counted densely in a chunk from so many pairs on; a task holds so many dense tiles.
-DENSE, TILES = 1 << 14, 24
-WORD_BITS, PAIR_BITS = 1 << 23, 1 << 25
+
+
+@dataclass(frozen=True)
+class Sizes:
+    """Bounds of what is held in memory; none of them changes a count.
+
+    head: words, and then pairs, that are addressed by rank; the driver and every task hold so many
+    at most. dense: a tile is counted densely in a chunk from so many pairs on. tiles: a task holds so many
+    dense tiles. word_bits, pair_bits: of the filters.
+    """
+
+    head: int = 1 << 16
+    dense: int = 1 << 14
+    tiles: int = 24
+    word_bits: int = 1 << 23
+    pair_bits: int = 1 << 25
+
+
+SIZES = Sizes()
+#: Ids of a group (language) lie in so many; a whole number of tiles.
+GROUP = 1 << 20
 #: Bytes of text whose phrases are counted together.
 TOGETHER = 8 << 20
 
@@ -114,13 +131,13 @@ class Ids:
     """Ids by rank for the most frequent units: ``id >> 10`` is a row of tiles, of one group alone."""
 
     def __init__(self, keys: np.ndarray, group: np.ndarray) -> None:
-        """keys by descending count, with the group (language) of each; ranks run within groups."""
+        """Fewer than GROUP keys by descending count, with the group (language) of each; ranks run within groups."""
         _, number = np.unique(group, return_inverse=True)
         order = np.argsort(number, kind="stable")
         begin = np.searchsorted(number[order], np.arange(number.max(initial=-1) + 1))
         rank = np.empty(len(keys), np.int64)
         rank[order] = np.arange(len(keys)) - begin[number[order]] if len(keys) else 0
-        ids = (number.astype(np.int64) + 1) * 2 * HEAD + rank  # below 2**34
+        ids = (number.astype(np.int64) + 1) * GROUP + rank
         at = np.argsort(keys)
         self.keys, self.ids = keys[at], ids[at]
         by_id = np.argsort(self.ids)
@@ -137,17 +154,17 @@ class Ids:
         return self.key_of[np.searchsorted(self.ordered, ids)]
 
 
-def head(counts: DataFrame, key: str, group: str) -> Ids:
-    """Ids of the HEAD most frequent rows (equal counts by key)."""
-    top = counts.select(F.col(key).alias("k"), F.col(group).alias("g"), "n").orderBy(F.desc("n"), "k").limit(HEAD).toArrow()
+def head(counts: DataFrame, key: str, group: str, size: int) -> Ids:
+    """Ids of the most frequent rows (equal counts by key)."""
+    top = counts.select(F.col(key).alias("k"), F.col(group).alias("g"), "n").orderBy(F.desc("n"), "k").limit(size).toArrow()
     return Ids(top.column(0).to_numpy().view(U64), top.column(1).to_numpy())
 
 
 class Tiles:
     """Counts of pairs of units: dense in the tiles that hold many, sorted coordinates elsewhere."""
 
-    def __init__(self, left: Ids, right: Ids) -> None:
-        self.left, self.right = left, right
+    def __init__(self, left: Ids, right: Ids, sizes: Sizes) -> None:
+        self.left, self.right, self.sizes = left, right, sizes
         self.dense: dict[tuple[int, int], np.ndarray] = {}
 
     def add(self, a: np.ndarray, b: np.ndarray, key_a: np.ndarray, key_b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -160,7 +177,7 @@ class Tiles:
         for t, s, n in zip(name.tolist(), begin.tolist(), size.tolist(), strict=True):
             part = both[order[s : s + n]]
             known = (t >> 32, t & 0xFFFFFFFF) in self.dense
-            if n < DENSE and not known or not known and len(self.dense) >= TILES:
+            if not known and (n < self.sizes.dense or len(self.dense) >= self.sizes.tiles):
                 rest[part] = True
                 continue
             cells = np.bincount((a[part] % TILE) * TILE + b[part] % TILE, minlength=TILE * TILE)
@@ -194,11 +211,11 @@ def _keyed(h: np.ndarray, ids: Ids, frequent: np.ndarray) -> tuple[np.ndarray, n
     return found, (found > 0) | bloom.maybe(frequent, h)
 
 
-def count_pairs(docs: DataFrame, seed: int, words: Ids, frequent: np.ndarray) -> DataFrame:
+def count_pairs(docs: DataFrame, seed: int, words: Ids, frequent: np.ndarray, sizes: Sizes) -> DataFrame:
     """(a, b, n): pairs of frequent words, by the words' hashes, and their occurrences in all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tiles = Tiles(words, words)
+        tiles = Tiles(words, words, sizes)
         rows = lambda a, b, n: pa.record_batch([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(n)], names=["a", "b", "n"])
         for b in batches:
             code = b.column(1).to_numpy()
@@ -216,14 +233,14 @@ def count_pairs(docs: DataFrame, seed: int, words: Ids, frequent: np.ndarray) ->
     return _texts(docs).mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def count_triples(docs: DataFrame, seed: int, words: Ids, frequent: np.ndarray, pairs: Ids, both: tuple[np.ndarray, np.ndarray], frequent_pairs: np.ndarray) -> DataFrame:
+def count_triples(docs: DataFrame, seed: int, words: Ids, frequent: np.ndarray, pairs: Ids, both: tuple[np.ndarray, np.ndarray], frequent_pairs: np.ndarray, sizes: Sizes) -> DataFrame:
     """(a, b, c, n): triples of words whose two pairs are frequent, and their occurrences.
 
     ``both``: the words of the ranked pairs, sorted by the pairs' keys.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tiles = Tiles(pairs, words)
+        tiles = Tiles(pairs, words, sizes)
 
         def rows(a: np.ndarray, b: np.ndarray, c: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
             return pa.record_batch([*(pa.array(x.view(np.int64)) for x in (a, b, c)), pa.array(n)], names=["a", "b", "c", "n"])
@@ -274,14 +291,14 @@ def _score(a: Column, l: Column, r: Column) -> Column:  # noqa: E741
     return F.call_function("div", top, big(l) * big(r))
 
 
-def phrases(docs: DataFrame, least: int = LEAST, inside: int = INSIDE) -> tuple[DataFrame, DataFrame]:
+def phrases(docs: DataFrame, least: int = LEAST, inside: int = INSIDE, sizes: Sizes = SIZES) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, a, l, r, score) of all phrases that are not part of a longer one, (lang, n) words)."""
     every, seed = vocabulary(docs)
     total = every.groupBy("lang").agg(F.sum("n").alias("n"))
     often = every.where(F.col("n") >= least)
-    words = head(often.withColumn("group", F.xxhash64("lang")), "h", "group")
-    frequent = bloom.build(often, "h", WORD_BITS)
-    pairs = cut_lineage(count_pairs(docs, seed, words, frequent).where(F.col("n") >= least))
+    words = head(often.withColumn("group", F.xxhash64("lang")), "h", "group", sizes.head)
+    frequent = bloom.build(often, "h", sizes.word_bits)
+    pairs = cut_lineage(count_pairs(docs, seed, words, frequent, sizes).where(F.col("n") >= least))
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -289,15 +306,15 @@ def phrases(docs: DataFrame, least: int = LEAST, inside: int = INSIDE) -> tuple[
             yield pa.record_batch([*b.columns, pa.array(pair_keys(a, c).view(np.int64))], names=["a", "b", "n", "key"])
 
     keyed = pairs.mapInArrow(key, "a long, b long, n long, key long")
-    frequent_pairs = bloom.build(keyed, "key", PAIR_BITS)
-    top = keyed.orderBy(F.desc("n"), "a", "b").limit(HEAD).toArrow()
+    frequent_pairs = bloom.build(keyed, "key", sizes.pair_bits)
+    top = keyed.orderBy(F.desc("n"), "a", "b").limit(sizes.head).toArrow()
     a, b, k = (top.column(c).to_numpy().view(U64) for c in ("a", "b", "key"))
     _, single = np.unique(k, return_index=True)  # of pairs with one key the most frequent is ranked, the others are counted as coordinates
     single = np.sort(single)
     a, b, k = a[single], b[single], k[single]
     order = np.argsort(k)
     ranked = Ids(k, np.zeros(len(k), np.int64))
-    triples = cut_lineage(count_triples(docs, seed, words, frequent, ranked, (a[order], b[order]), frequent_pairs).where(F.col("n") >= least))
+    triples = cut_lineage(count_triples(docs, seed, words, frequent, ranked, (a[order], b[order]), frequent_pairs, sizes).where(F.col("n") >= least))
 
     word = lambda p: often.select(F.col("h").alias(p), F.col("word").alias(f"word_{p}"), F.col("n").alias(f"n_{p}"))
     # Pairs inside a triple, with the count of the most frequent one.
