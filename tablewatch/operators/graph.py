@@ -1,18 +1,19 @@
 """Reachability over the lineage edge table: upstream, downstream, blast radius.
 
-Semi-naive breadth-first expansion for a *set* of start nodes at once: each round joins
-the frontier with the edge table, removes pairs already reached (left-anti on
-``(root, node)``), keeps per new pair the lexicographically least path (all new paths of a
-round have the same length, so this is the least among the shortest paths), and
-checkpoints the round to the shared checkpoint folder. The loop ends when a round adds
-nothing, so cycles terminate; a start node is never reported as its own descendant.
-
-Per round the driver reads one observed number (rows in the new frontier), collected
-while the round's checkpoint job runs. Everything else
-is distributed: the small edge table may be broadcast by the planner, the growing
-reached set is shuffled and hash-joined (measured 2x faster than re-broadcasting it every
-round, and its size never passes through the driver); skewed hubs in the frontier join
-are split by AQE's skew-join handling.
+Closure for a *set* of start nodes at once, in a number of rounds that grows with the logarithm of the
+depth. ``jump`` holds the pairs joined by a walk of exactly ``span`` edges, first the edges themselves. A round
+joins the reached pairs with it, which reaches all nodes up to ``span`` edges further, keeps
+the least distance of each new pair (and with it the lexicographically least path, since all parts of
+shortest paths are shortest and of fixed length), drops pairs reached earlier by a left-anti join on
+``(root, node)``, and is checkpointed to the shared checkpoint folder. Then ``jump`` is joined with itself, so a
+chain of 1,000 edges takes 10 rounds. Where that would cost more than it saves (its rows are counted before
+they are made; hubs and dense cycles have very many walks) the span stays as it is and rounds go on with it.
+The result is the same either way. The loop ends when a round reaches nothing new, so cycles terminate; a start node is
+never reported as its own descendant.
+
+Per round the driver reads two or three numbers. Everything else is distributed: the planner may broadcast a
+small jump table, the growing reached set is shuffled and hash-joined (its size never passes
+through the driver); skewed hubs in the joins are split by AQE's skew-join handling.
 """
 
 from __future__ import annotations
@@ -39,6 +40,33 @@ def nodes_of(edges: DataFrame, src: str = "source_table", dst: str = "target_tab
         F.col("table_name").isNotNull()).distinct()
 
 
+#: The span is doubled while the longer walks are at most so many times the edges and the reached pairs.
+DOUBLING = 4
+
+
+def _walks(jump: DataFrame) -> int:
+    """Rows of ``jump`` joined with itself, before pairs met by several walks are merged."""
+    into = jump.groupBy(F.col("_to").alias("node")).agg(F.count("*").cast("double").alias("i"))
+    from_ = jump.groupBy(F.col("_from").alias("node")).agg(F.count("*").cast("double").alias("o"))
+    return int(into.join(from_, "node").agg(F.coalesce(F.sum(F.col("i") * F.col("o")), F.lit(0.0))).first()[0])
+
+
+def _doubled(jump: DataFrame, with_paths: bool) -> DataFrame:
+    """Pairs joined by a walk of twice the length, each with its least path."""
+    y = jump.select(F.col("_from").alias("_mid"), F.col("_to").alias("_end"), *([F.col("_path").alias("_rest")] if with_paths else []))
+    both = jump.join(y, jump["_to"] == y["_mid"])
+    if with_paths:
+        return both.groupBy("_from", F.col("_end").alias("_to")).agg(F.min(F.concat("_path", "_rest")).alias("_path"))
+    return both.select("_from", F.col("_end").alias("_to")).distinct()
+
+
+def _counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` cut from its lineage, and its rows, observed while the checkpoint job runs: no extra job."""
+    obs = Observation(f"tw_round_{uuid.uuid4().hex}")
+    out = cut_lineage(df.observe(obs, F.count(F.lit(1)).alias("n")))
+    return out, obs.get["n"]
+
+
 def reachable(
     edges: DataFrame,
     starts: DataFrame | None = None,
@@ -46,48 +74,44 @@ def reachable(
     with_paths: bool = False,
     src: str = "source_table",
     dst: str = "target_table",
+    doubling: float = DOUBLING,
 ) -> DataFrame:
     """Pairs ``(root, node, distance[, path])`` for every node reachable from each root.
 
     ``starts``: DataFrame with column ``table_name`` (default: every node of the graph).
     ``direction``: ``down`` follows edges (descendants), ``up`` reverses them (ancestors).
+    ``doubling``: how many times the edges and reached pairs longer walks may number; 0 goes edge by edge.
     Unknown start nodes simply reach nothing.
     """
-    e = cut_lineage(_edge_pairs(edges, direction, src, dst))
+    pairs = _edge_pairs(edges, direction, src, dst)
+    jump, n_edges = _counted(pairs.withColumn("_path", F.array("_to")) if with_paths else pairs)
     if starts is None:
         starts = nodes_of(edges, src, dst)
     seeds = starts.select(F.col("table_name").alias("root")).where(F.col("root").isNotNull()).distinct()
-    frontier = seeds.select("root", F.col("root").alias("node"))
-    if with_paths:
-        frontier = frontier.withColumn("path", F.array(F.col("root")))
-    frontier = cut_lineage(frontier)
-    seen = frontier.select("root", "node")
+    first = seeds.select("root", F.col("root").alias("node"), F.lit(0).alias("distance"), *([F.array("root").alias("path")] if with_paths else []))
+    seen, n_seen = _counted(first)
     parts: list[DataFrame] = []
-    depth = 0
-    while True:  # ends when a round reaches nothing new (also on cycles)
-        depth += 1
-        step = frontier.join(e, frontier["node"] == e["_from"]).select(
-            "root", F.col("_to").alias("node"), *(["path"] if with_paths else []))
-        # Reduce the candidates map-side first (many paths reach the same pair) ...
-        if with_paths:
-            step = step.groupBy("root", "node").agg(F.min(F.concat(F.col("path"), F.array(F.col("node")))).alias("path"))
-        else:
-            step = step.distinct()
-        # ... then drop pairs reached earlier. The reached set only grows: never broadcast
-        # it; a sort-merge join can spill.
-        step = step.join(seen, ["root", "node"], "left_anti")
-        # The round's row count is observed while the checkpoint job runs: no extra job.
-        obs = Observation(f"tw_round_{uuid.uuid4().hex}")
-        step = cut_lineage(step.withColumn("distance", F.lit(depth)).observe(obs, F.count(F.lit(1)).alias("n")))
-        if obs.get["n"] == 0:
+    known = span = 1  # all pairs nearer than ``known`` are in ``seen``
+    while True:
+        # Longer walks from every reached pair find each new pair at its own distance or more: the least counts.
+        near = seen.where(F.col("distance") >= known - span)
+        step = near.join(jump, near["node"] == jump["_from"])
+        reached = [(F.col("distance") + span).alias("distance"), *([F.concat("path", "_path").alias("path")] if with_paths else [])]
+        step = step.groupBy("root", F.col("_to").alias("node")).agg(F.min(F.struct(*reached)).alias("best")).select("root", "node", "best.*")
+        # The reached set only grows: never broadcast it; a sort-merge join can spill.
+        step, n = _counted(step.join(seen.select("root", "node"), ["root", "node"], "left_anti"))
+        if n == 0:
             break
         parts.append(step)
-        seen = seen.unionByName(step.select("root", "node"))
-        frontier = step.drop("distance")
+        seen = seen.unionByName(step)
+        n_seen += n
+        known += span
+        if span * 2 == known and _walks(jump) <= doubling * (n_edges + n_seen):
+            jump, _ = _counted(_doubled(jump, with_paths))
+            span *= 2
     cols = ["root", "node", "distance"] + (["path"] if with_paths else [])
     if not parts:
-        empty = frontier.limit(0).withColumn("distance", F.lit(0))
-        return empty.select(*cols)
+        return first.limit(0).select(*cols)
     out = parts[0].select(*cols)
     for p in parts[1:]:
         out = out.unionByName(p.select(*cols))

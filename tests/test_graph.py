@@ -4,7 +4,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tablewatch.operators.edges import combine_edges, node_degrees, upsert_edges
-from tablewatch.operators.graph import blast_radius, downstream, upstream
+from tablewatch.operators import graph
+from tablewatch.operators.graph import blast_radius, downstream, reachable, upstream
 
 
 def edges_df(spark, pairs):
@@ -85,3 +86,43 @@ def test_override_wins_and_upsert_refreshes(spark):
     u = upsert_edges(auto.where("job_name = 'j2'"), spark.createDataFrame([("j2", "a", "b", "manual_override", t2)], schema))
     r = u.collect()
     assert len(r) == 1 and r[0]["detected_at"] == t2 and r[0]["source_type"] == "auto_parsed"
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 11), st.integers(0, 11)), max_size=30), st.sampled_from([0, 0.5, 4, 1e9]))
+def test_closure_is_the_same_however_far_spans_are_doubled(spark, pairs, doubling):
+    names = [(f"t{a:02}", f"t{b:02}") for a, b in pairs]
+    adj = {}
+    for a, b in names:
+        if a != b:
+            adj.setdefault(a, set()).add(b)
+
+    def least(start):  # least shortest paths, level by level
+        best, level = {start: [start]}, {start: [start]}
+        while level:
+            new = {}
+            for node, path in level.items():
+                for t in adj.get(node, ()):
+                    if t not in best and (t not in new or path + [t] < new[t]):
+                        new[t] = path + [t]
+            best |= new
+            level = new
+        return best
+
+    got = {(r["root"], r["node"]): (r["distance"], r["path"]) for r in reachable(edges_df(spark, names), with_paths=True, doubling=doubling).collect()}
+    want = {(n, t): (len(p) - 1, p) for n in {x for p in names for x in p} for t, p in least(n).items() if t != n}
+    assert got == want
+
+
+def test_chain_of_a_thousand_takes_about_ten_rounds(spark):
+    rounds = []
+    counted = graph._counted
+    graph._counted = lambda df: rounds.append(1) or counted(df)
+    try:
+        pairs = [(f"c{i:04}", f"c{i + 1:04}") for i in range(1000)] + [(f"c{i:04}", f"c{i:04}x") for i in range(0, 1000, 50)]
+        starts = spark.createDataFrame([("c0000",), ("c0700",)], "table_name string")
+        got = {(r["root"], r["node"]): r["distance"] for r in reachable(edges_df(spark, pairs), starts).collect()}
+    finally:
+        graph._counted = counted
+    assert got == {(f"c{s:04}", t): d for s in (0, 700) for t, d in bfs(pairs, f"c{s:04}").items()}
+    assert len(rounds) <= 26  # two inputs, then at most two tables a round
