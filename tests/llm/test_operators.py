@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from llm import components, crf, decontaminate, nearjoin, pii, quality, rlz, secrets, simhash, suffix, tokenize, wrappers
 from llm.queries import BPE_RANKS
@@ -122,6 +123,66 @@ def test_near_duplicates_equal_brute_force(spark, odd):
     assert sorted({r.doc_id for r in kept.collect()}) == sorted(k for k, _, _, keep in brute_near(odd) if keep)
 
 
+def test_links_at_the_threshold_in_deep_nodes(spark):
+    """Pairs at exactly 0.75 among many texts with a common passage, where nodes of a few records only are compared.
+
+    Recall target: 0.9. Everything is linked with its partner alone, and nothing else.
+    """
+    word = iter(f"w{i}" for i in range(1 << 20))
+    take = lambda n: [next(word) for _ in range(n)]
+    passage, rows = take(25), []
+    for k in range(150):
+        both = passage + take(39)  # 60 common shingles of 70 and 70
+        rows += [(2 * k, " ".join(both + take(10))), (2 * k + 1, " ".join(both + take(10)))]
+    got = {r.doc_id: r.component_id for r in nearjoin.near_duplicates(docs(spark, rows), small=6).collect()}
+    assert {(d, k, c) for d, _, c, k in brute_near(rows)} and all(got[d] in (d, c) for d, _, c, _ in brute_near(rows))
+    assert sum(got[2 * k] == got[2 * k + 1] for k in range(150)) >= 0.9 * 150
+
+
+def test_common_counts_by_lists_and_by_matrices():
+    rng = np.random.default_rng(7)
+    for n, values in ((2, 9), (7, 40), (60, 300), (90, 100_000)):
+        sets = [np.unique(rng.integers(0, values, rng.integers(0, 200)).astype(np.uint64)) for _ in range(n)]
+        got = nearjoin.common(sets)
+        assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(n) for j in range(n) if i != j)
+
+
+def test_blocks_that_go_on_over_batches():
+    t = pa.table({"block": [1, 1, 2, 2, 2, 2, 2, 3, 4, 4], "v": list(range(10))})
+    for size in range(1, 11):
+        got = [x.to_pydict() for x in nearjoin._whole(iter(t.to_batches(max_chunksize=size)))]
+        assert sum((x["v"] for x in got), []) == list(range(10))
+        assert all(not set(a["block"]) & set(b["block"]) for i, a in enumerate(got) for b in got[i + 1 :])
+
+
+def test_a_hot_group_is_dealt_to_several_blocks(spark, monkeypatch):
+    """Others meet all records of their node once or more, whatever the number of blocks."""
+    monkeypatch.setattr(nearjoin, "BLOCK_RECORDS", 7)
+    rows = spark.range(100).select(F.lit(5).cast("long").alias("node"), F.col("id").alias("rec"), F.col("id").alias("comp"), F.lit(10).cast("long").alias("n"), F.col("id").alias("set1"), F.col("id").alias("bit0"), F.col("id").alias("bit1"))
+    rows = rows.withColumn("comp", F.when(F.col("rec") >= 20, F.lit(20).cast("long")).otherwise(F.col("rec")))
+    sizes = nearjoin._sizes(rows)
+    assert sizes.first().asDict() == {"node": 5, "major": 20, "records": 100, "others": 20, "shingles": 1000, "other_shingles": 200}
+    blocks = {}
+    for r in nearjoin._exhaustive(rows, sizes).collect():
+        blocks.setdefault(r.block, []).append((r.rec, r.other))
+    assert len(blocks) >= 40 and max(map(len, blocks.values())) < 40
+    met = {frozenset((a, b)) for rows_ in blocks.values() for a, o in rows_ for b, _ in rows_ if o and a != b}
+    assert met >= {frozenset((a, b)) for a in range(20) for b in range(100) if a != b}
+
+
+def test_pivot_is_the_text_that_others_were_copied_from(spark):
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 2, (2, 64))
+
+    def row(k, flips):
+        bits = base.copy()
+        bits[:, rng.choice(64, flips, replace=False)] ^= 1
+        return 1, k, *(int(np.packbits(b[::-1]).view(">i8")[0]) for b in bits)
+
+    rows = spark.createDataFrame([row(k, 0 if k == 17 else 20) for k in range(40)], "node long, rec long, bit0 long, bit1 long")
+    assert [tuple(r) for r in nearjoin._pivots(rows).collect()] == [(1, 17)]
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (3, 2), (4, 3), (9, 8), (5, 5), (None, 1), (1, 2)], "a long, b long")
     assert {tuple(r) for r in components.components(links).collect()} == {(1, 1), (2, 1), (3, 1), (4, 1), (8, 8), (9, 8)}
