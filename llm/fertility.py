@@ -41,6 +41,8 @@ MIN_WORDS = 50
 #: Robust standard deviations (1.4826 times the distance of a quartile from the median, scaled for a normal distribution).
 REACH = 3.5
 ENOUGH = 100
+#: Bands that may be broadcast.
+FEW_BANDS = 20_000
 #: Bytes of text whose distinct words are encoded together.
 TOGETHER = 4 << 20
 #: Histogram bins a unit of each measure; a band is at least WIDTH units wide on either side.
@@ -199,11 +201,14 @@ def bands(measured: DataFrame, n: int, reach: float = REACH, enough: int = ENOUG
     wide = q.groupBy("a", "b").agg(F.max("total").alias("total"), *limits)
     ends = [f"{side}_{m}" for m in named for side in ("low", "high")]
     level = lambda name, rows: rows.select("a", "b", F.struct("total", *ends).alias(name))
-    each = level("own", wide.where("b is not null")).withColumn("every", F.lit(1))
+    each = level("own", wide.where("b is not null"))
     by_kind = level("kinds", wide.where("a is not null and b is null")).drop("b")
-    of_all = level("alls", wide.where("a is null")).select(F.lit(1).alias("every"), "alls")
-    picked = each.join(by_kind, "a").join(of_all, "every")
-    best = F.when(F.col("own.total") >= enough, F.col("own")).when(F.col("kinds.total") >= enough, F.col("kinds")).otherwise(F.col("alls"))
+    alls = level("alls", wide.where("a is null")).first()  # one row: the band of all documents
+    if alls is None:
+        return wide.limit(0).select(F.col("a").alias("kind"), F.col("b").alias("length"), *ends)
+    of_all = F.struct(*(F.lit(alls["alls"][c]).alias(c) for c in ("total", *ends)))
+    picked = each.join(by_kind, "a")
+    best = F.when(F.col("own.total") >= enough, F.col("own")).when(F.col("kinds.total") >= enough, F.col("kinds")).otherwise(of_all)
     return picked.select(F.col("a").alias("kind"), F.col("b").alias("length"), best.alias("band")).select("kind", "length", *(F.col(f"band.{e}").alias(e) for e in ends))
 
 
@@ -214,7 +219,8 @@ def judge(docs: DataFrame, paths: Sequence[str], reach: float = REACH, enough: i
     rows = cut_lineage(rows.withColumn("base_failed", failed))
     named = measures(len(paths))
     limits = bands(rows.where(~F.col("base_failed")), len(paths), reach, enough)
-    joined = rows.join(limits, ["kind", "length"], "left")
+    limits = cut_lineage(limits)  # a row for each kind and length class, broadcast only if they are few
+    joined = rows.join(F.broadcast(limits) if limits.count() <= FEW_BANDS else limits, ["kind", "length"], "left")
     outside = []
     for m, c in named.items():
         value = c * BINS[m.rstrip("0123456789")]
