@@ -87,7 +87,7 @@ def cmd_suite(spark: SparkSession, a: argparse.Namespace) -> None:
 def cmd_lineage(spark: SparkSession, a: argparse.Namespace) -> None:
     from tablewatch.operators.edges import upsert_edges
     from tablewatch.operators.extract import extract_lineage, lineage_edges, unresolved_cases
-    from tablewatch.sources.catalog import replace_table
+    from tablewatch.sources.versioned import replace_table
     from tablewatch.session import cut_lineage
     from tablewatch.sources.files import read_scripts
 

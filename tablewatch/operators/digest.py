@@ -23,7 +23,7 @@ from tablewatch.functions.messages import (
     DIGEST_TABLE,
     render,
 )
-from tablewatch.functions.scalar import iso_text
+from tablewatch.functions.scalar import iso_text, utc_now
 from tablewatch.operators.freshness import ts_lit
 
 FOOTER = "See the failure drill-down report for full detail."
@@ -56,7 +56,7 @@ def failure_digest(results: DataFrame, radius: DataFrame | None = None, generate
     key = F.struct(F.col("table_name"), F.col("check_type"), F.coalesce(F.col("column_name"), F.lit("")).alias("c"),
                    F.coalesce(F.col("detail"), F.lit("")).alias("d"), block.alias("block"))
     g = fails.groupBy("run_id").agg(F.count(F.lit(1)).alias("failing_count"), F.array_sort(F.collect_list(key)).alias("blocks"))
-    now = F.current_timestamp().cast("timestamp_ntz") if generated_at is None else ts_lit(generated_at)
+    now = utc_now() if generated_at is None else ts_lit(generated_at)
     gen = iso_text(F.date_trunc("second", now).cast("timestamp_ntz"))
     n = F.col("failing_count").cast("string")
     body = F.concat_ws(

@@ -38,11 +38,11 @@ from tablewatch.sources.catalog import (
     append_results,
     preview,
     read_results,
-    replace_table,
     table_inventory,
     write_table,
 )
 from tablewatch.sources.files import read_csv
+from tablewatch.sources.versioned import replace_table
 from tablewatch.sources.rules import ForeignKey, Rules, TableRule
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -480,37 +480,26 @@ def _drift_snapshots(part: DataFrame, which: str) -> DataFrame:
     return part.select(tbl.alias("table_name"), F.explode(arr).alias("e")).select("table_name", "e.column_name", "e.data_type")
 
 
-def _drift_expected_sql() -> str:
-    rows = []
-    for k, cur in _DRIFT_CUR.items():
-        js = json.dumps(dict(cur), sort_keys=True)
-        prev, now = dict(_BASE), dict(cur)
-        removed = sorted(set(prev) - set(now))
-        added = sorted(set(now) - set(prev))
-        changed = {c: (prev[c], now[c]) for c in sorted(set(prev) & set(now)) if prev[c] != now[c]}
-        if k == 0:
-            status, detail, n = "pass", f"no prior snapshot -- recording baseline: {js}", 0
-        else:
-            issues, status = [], "pass"
-            if removed:
-                issues.append(f"removed columns: {removed}")
-                status = "fail"
-            if changed:
-                issues.append(f"type changes: {changed}")
-                status = "fail"
-            if added:
-                issues.append(f"added columns: {added}")
-                status = "warn" if status == "pass" else status
-            detail = ("; ".join(issues) if issues else "no schema changes detected") + f" | current_schema: {js}"
-            n = len(removed) + len(added) + len(changed)
-        rows.append(f"({k}, {_q(status)}, {float(n)}, {_q(detail)}, {_q(js)})")
-    return ("WITH exp(k, status, measured, detail, current_schema) AS (VALUES " + ", ".join(rows) + ")\n"
-            "SELECT 'tbl_' || CAST(p_partkey AS VARCHAR) AS table_name, 'schema_drift' AS check_type, "
-            "CAST(NULL AS VARCHAR) AS column_name, status, CAST(measured AS DOUBLE) AS measured, "
-            "CAST(NULL AS DOUBLE) AS threshold, detail, current_schema FROM part JOIN exp ON exp.k = p_partkey % 6")
-
-
-@register("schema_drift", _drift_expected_sql())
+# What the six cases must give, by part key % 6.
+DRIFT_EXPECTED_SQL = """WITH expected(k, status, measured, detail, current_schema) AS (VALUES
+  (0, 'pass', 0, 'no prior snapshot -- recording baseline: {"id": "bigint", "name": "string", "price": "double", "size": "int"}',
+   '{"id": "bigint", "name": "string", "price": "double", "size": "int"}'),
+  (1, 'pass', 0, 'no schema changes detected | current_schema: {"id": "bigint", "name": "string", "price": "double", "size": "int"}',
+   '{"id": "bigint", "name": "string", "price": "double", "size": "int"}'),
+  (2, 'fail', 1, 'removed columns: [''size''] | current_schema: {"id": "bigint", "name": "string", "price": "double"}',
+   '{"id": "bigint", "name": "string", "price": "double"}'),
+  (3, 'fail', 1, 'type changes: {''size'': (''int'', ''bigint'')} | current_schema: {"id": "bigint", "name": "string", "price": "double", "size": "bigint"}',
+   '{"id": "bigint", "name": "string", "price": "double", "size": "bigint"}'),
+  (4, 'warn', 1, 'added columns: [''brand''] | current_schema: {"brand": "string", "id": "bigint", "name": "string", "price": "double", "size": "int"}',
+   '{"brand": "string", "id": "bigint", "name": "string", "price": "double", "size": "int"}'),
+  (5, 'fail', 2, 'removed columns: [''price'']; added columns: [''brand''] | current_schema: {"brand": "string", "id": "bigint", "name": "string", "size": "int"}',
+   '{"brand": "string", "id": "bigint", "name": "string", "size": "int"}'))
+SELECT 'tbl_' || CAST(p_partkey AS VARCHAR) AS table_name, 'schema_drift' AS check_type, CAST(NULL AS VARCHAR) AS column_name, status,
+       CAST(measured AS DOUBLE) AS measured, CAST(NULL AS DOUBLE) AS threshold, detail, current_schema
+FROM part JOIN expected ON k = p_partkey % 6"""
+
+
+@register("schema_drift", DRIFT_EXPECTED_SQL)
 def q_schema_drift(spark, sf):
     part = T(spark, sf, "part")
     return DR.check_schema_drift(_drift_snapshots(part, "cur"), _drift_snapshots(part, "prev"))

@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewatch.functions.scalar import SEVERITY, STATUS_MARKER, severity
+from tablewatch.functions.scalar import SEVERITY, STATUS_MARKER, severity, utc_now
 from tablewatch.operators.freshness import ts_lit
 from tablewatch.operators.graph import blast_radius, blast_radius_summary, downstream, nodes_of, upstream
 from tablewatch.operators.latest import latest_per_key
@@ -50,7 +50,7 @@ def dq_history(results: DataFrame, days: int = 7, as_of: datetime | str | Column
     """Daily counts per status over the last ``days`` days. On a results table partitioned
     by check day the window is also stated on the partition column, so whole days outside
     it are pruned at the scan."""
-    now = F.current_timestamp().cast("timestamp_ntz") if as_of is None else ts_lit(as_of)
+    now = utc_now() if as_of is None else ts_lit(as_of)
     since = now - F.make_dt_interval(F.lit(days))
     recent = results.where(F.col("checked_at") >= since)
     if partition_col in results.columns:

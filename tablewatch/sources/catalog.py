@@ -1,13 +1,11 @@
-"""Catalog sinks and listings.
+"""Catalog sinks and listings, and the results sink.
 
-``replace_table`` is the self-overwrite of a table that is also an input of the new data:
-Spark refuses a direct overwrite of a table it is reading, so the data is written to a
-side table first, then swapped in by DROP + RENAME (two metadata operations).
+Results are appended run by run: the partitions of a run, ``(check_date, run_id)``, are overwritten as
+a whole, so a run that is written again is stored once.
 """
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,17 +31,6 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by:
     w.saveAsTable(name)
 
 
-def replace_table(spark: SparkSession, df: DataFrame, name: str, path: str | None = None) -> None:
-    """Swap ``df`` in as table ``name``; ``path`` places the new data (external table)."""
-    side = f"{name}_swap_{uuid.uuid4().hex[:8]}"
-    w = df.write.mode("overwrite")
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(side)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {side} RENAME TO {name}")
-
-
 def table_inventory(spark: SparkSession, tables: dict[str, DataFrame | None] | list[str]) -> DataFrame:
     """One row per requested table: exists flag and row count; a missing table is a row, not an error.
 
@@ -74,11 +61,34 @@ def preview(df: DataFrame, n: int = 3) -> DataFrame:
     return df.limit(n)
 
 
+RUN_PARTITIONS = ("check_date", "run_id")
+
+
 def append_results(results: DataFrame, path: str, partition_col: str = "check_date") -> None:
-    """Append check results (one write per suite run) partitioned by check day, so history
-    reports read only the days they need (partition pruning)."""
-    results.withColumn(partition_col, F.to_date("checked_at")).write.mode("append").partitionBy(partition_col).parquet(path)
+    """Store check results partitioned by check day and run. History reports read only the days they
+    need (partition pruning), and the rows of a run replace those that it stored before."""
+    out = results.withColumn(partition_col, F.to_date("checked_at"))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col, "run_id").parquet(path)
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """Stored results; run_id, a folder name, is a long again."""
+    return spark.read.parquet(path).withColumn("run_id", F.col("run_id").cast("long"))
+
+
+def append_results_table(spark: SparkSession, results: DataFrame, name: str) -> None:
+    """The same for a catalog table. One that is partitioned otherwise gets only rows of ids it has not."""
+    if not spark.catalog.tableExists(name):
+        results.write.partitionBy(*RUN_PARTITIONS).saveAsTable(name)
+        return
+    stored = spark.read.table(name)
+    if [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == list(RUN_PARTITIONS):
+        mode = "spark.sql.sources.partitionOverwriteMode"  # an insert by name takes it from the session alone
+        before = spark.conf.get(mode)
+        spark.conf.set(mode, "dynamic")
+        try:
+            results.select(*stored.columns).write.mode("overwrite").insertInto(name)
+        finally:
+            spark.conf.set(mode, before)
+    else:
+        results.join(stored.select("check_result_id"), "check_result_id", "left_anti").select(*stored.columns).write.insertInto(name)

@@ -1,7 +1,7 @@
 """Metadata tables: run events, lineage edges and overrides, check results.
 
 ``create_metadata_tables`` creates them empty in the session catalog (results partitioned
-by check day, so history reports prune by day). Rows are only ever appended; "current"
+by check day and run, so history reports prune by day and a run is stored once). Rows are only ever appended; "current"
 state is derived by the operators (``current_runs``, ``combine_edges``, ``latest_results``).
 """
 
@@ -19,7 +19,19 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from tablewatch.operators.runlog import EVENT_SCHEMA
+from tablewatch.sources.catalog import RUN_PARTITIONS
+
+EVENT_SCHEMA = StructType(
+    [
+        StructField("run_id", LongType(), False),
+        StructField("job_name", StringType(), False),
+        StructField("event_time", TimestampNTZType(), False),
+        StructField("status", StringType(), False),
+        StructField("rows_read", LongType(), True),
+        StructField("rows_written", LongType(), True),
+        StructField("error_message", StringType(), True),
+    ]
+)
 
 EDGE_SCHEMA = StructType([
     StructField("job_name", StringType(), False),
@@ -65,7 +77,7 @@ TABLES = {
     "pipeline_run_events": (EVENT_SCHEMA, None),
     "lineage_edges": (EDGE_SCHEMA, None),
     "lineage_overrides": (OVERRIDE_SCHEMA, None),
-    "dq_check_results": (RESULT_SCHEMA, "check_date"),
+    "dq_check_results": (RESULT_SCHEMA, RUN_PARTITIONS),
     "schema_snapshots": (SNAPSHOT_TABLE_SCHEMA, None),
 }
 
@@ -79,7 +91,7 @@ def create_metadata_tables(spark: SparkSession, prefix: str = "") -> list[str]:
             continue
         w = spark.createDataFrame([], schema).write.format("parquet")
         if part:
-            w = w.partitionBy(part)
+            w = w.partitionBy(*part)
         w.saveAsTable(full)
         made.append(full)
     return made
