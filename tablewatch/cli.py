@@ -1,7 +1,7 @@
 """Command line: run the check suite, build lineage, inspect tables, compute blast radius.
 
     python -m tablewatch suite --rules rules.yaml --results dq_check_results \\
-        [--runs pipeline_run_events] [--edges lineage_edges] [--as-of "2024-01-31 00:00:00"]
+        [--runs pipeline_run_events] [--edges lineage_edges] [--failures dq_failures] [--as-of "2024-01-31 00:00:00"]
     python -m tablewatch lineage --scripts jobs/ --edges lineage_edges   (or --config config.yaml)
     python -m tablewatch init [--prefix meta.]
     python -m tablewatch load customers --source data/customers.csv --target stg_customers --runs pipeline_run_events
@@ -10,8 +10,8 @@
     python -m tablewatch blast-radius --edges lineage_edges stg_orders
 
 Tables are catalog tables of the active session (``spark.read.table``). Results are
-appended (partitioned by check day), edges are upserted and swapped in, run events are
-read as an append-only log. Output is printed as JSON lines.
+stored once a run (partitioned by check day and run), edges are upserted and swapped in as a new version, and
+with ``--runs`` the suite logs itself as ``dq_check_run``. Output is printed as JSON lines.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from __future__ import annotations
 import argparse
 import json
 import sys
-import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,17 +42,27 @@ def _edges(spark: SparkSession, edges: str | None, overrides: str | None) -> Dat
     return combine_edges(auto, manual)
 
 
+def _events(spark: SparkSession, runs: str | None) -> DataFrame | None:
+    """The run events of a catalog table, or of a folder (a name with a slash)."""
+    from tablewatch.operators.runlog import read_events
+
+    return read_events(spark, runs) if runs and "/" in runs else _table(spark, runs)
+
+
 def _print(df: DataFrame) -> None:
     for row in df.toLocalIterator():  # report-sized outputs only
         print(json.dumps(row.asDict(recursive=True), default=str))
 
 
 def cmd_suite(spark: SparkSession, a: argparse.Namespace) -> None:
+    from tablewatch.operators.digest import digest_lines
+    from tablewatch.operators.graph import downstream
     from tablewatch.operators.drift import last_snapshot, latest_snapshot, schema_snapshot, stamp_snapshot
     from tablewatch.functions.scalar import utc_now
     from tablewatch.operators.freshness import ts_lit
-    from tablewatch.operators.runlog import current_runs
-    from tablewatch.plans.suite import run_suite, suite_totals
+    from tablewatch.operators.runlog import RunLog, current_runs, new_run_id
+    from tablewatch.plans.suite import run_suite, suite_failures, suite_totals
+    from tablewatch.sources.catalog import append_results_table
     from tablewatch.sources.rules import load_rules
 
     rules = load_rules(a.rules)
@@ -66,22 +75,38 @@ def cmd_suite(spark: SparkSession, a: argparse.Namespace) -> None:
         previous = latest_snapshot(snapshots)
     else:
         previous = last_snapshot(history, a.baseline) if history is not None else None
-    events = _table(spark, a.runs)
-    runs = current_runs(events) if events is not None else None
-    run_id = a.run_id if a.run_id is not None else int(time.time() * 1000)
-    res = run_suite(spark, tables, rules, run_id, a.as_of, previous, _edges(spark, a.edges, a.overrides), runs)
-    # deterministic id (stable under task retries); the detail names the parent, which tells two foreign keys of one column apart
-    rid = F.xxhash64("run_id", "table_name", "check_type", F.coalesce("column_name", F.lit("")), F.coalesce("detail", F.lit("")))
-    res = res.withColumn("check_result_id", rid).withColumn(
-        "check_date", F.to_date("checked_at"))
-    res.write.mode("append").partitionBy("check_date").saveAsTable(a.results)
-    if a.snapshots:
-        present = {r.name: tables[r.name] for r in rules.tables if r.name in tables}
-        now = ts_lit(a.as_of) if a.as_of else utc_now()
-        stamp_snapshot(schema_snapshot(spark, present), run_id, now).write.mode("append").saveAsTable(a.snapshots)
-    days = [r[0] for r in res.select("check_date").distinct().collect()]  # one, or two around midnight
-    stored = spark.read.table(a.results).where(F.col("check_date").isin(days) & (F.col("run_id") == run_id))
-    _print(suite_totals(stored))
+    edges = _edges(spark, a.edges, a.overrides)
+    log = RunLog(spark, a.runs, "dq_check_run") if a.runs else None
+    run_id = log.start(a.run_id) if log else a.run_id if a.run_id is not None else new_run_id()
+    try:
+        events = _events(spark, a.runs)  # listed after the start event, which replaces that of a run that is repeated
+        runs = current_runs(events) if events is not None else None
+        res = run_suite(spark, tables, rules, run_id, a.as_of, previous, edges, runs, with_ids=True)
+        append_results_table(spark, res.withColumn("check_date", F.to_date("checked_at")), a.results)
+        if a.snapshots:
+            present = {r.name: tables[r.name] for r in rules.tables if r.name in tables}
+            now = ts_lit(a.as_of) if a.as_of else utc_now()
+            stamp_snapshot(schema_snapshot(spark, present), run_id, now).write.mode("append").saveAsTable(a.snapshots)
+        stored = spark.read.table(a.results).where(F.col("run_id") == run_id)
+        totals = suite_totals(stored)
+        n = totals.first()["checks_run"]
+        if edges is not None and runs is not None:
+            failures = suite_failures(stored.drop("check_date"), edges, runs).select(
+                "table_name", "check_type", "column_name", "detail", "affected_count", "latency_human")
+            if a.failures:
+                failures.withColumn("run_id", F.lit(run_id).cast("long")).write.mode("append").saveAsTable(a.failures)
+            _print(failures.orderBy("table_name", "check_type", "column_name"))
+            if a.digest:
+                failed = stored.where("status = 'fail'").select("table_name").distinct()
+                radius = downstream(edges, failed).select(F.col("table_name").alias("failing_table"), F.col("downstream_table").alias("affected_table"))
+                digest_lines(stored, radius, a.as_of).write.mode("append").saveAsTable(a.digest)
+    except BaseException as problem:
+        if log:
+            log.finish("failed", error_message=str(problem) or type(problem).__name__)
+        raise
+    if log:
+        log.finish("success", n, n)
+    _print(totals)
 
 
 def cmd_lineage(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -179,6 +204,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     s.add_argument("--run-id", type=int)
     s.add_argument("--baseline", choices=["latest", "last_pass"], default="latest")
     s.add_argument("--snapshots", help="typed schema snapshot table: read as baseline, appended per run")
+    s.add_argument("--failures", help="table to append the failing checks with blast radius and latency to")
+    s.add_argument("--digest", help="table to append the lines of the alert to")
     s.set_defaults(fn=cmd_suite)
     li = sub.add_parser("lineage")
     src = li.add_mutually_exclusive_group(required=True)

@@ -2,9 +2,9 @@
 
 Plan shape per table: ONE aggregate computes the row count, a ``count_if(isnull)`` per
 checked column and the distinct-key count; the check rows are generated from that single
-row. Referential integrity is one branch per foreign key: distinct child keys without a
+row. Referential integrity is one branch per child table whatever the number of its foreign keys: distinct child keys without a
 match among the distinct parent keys, then a count. Both distincts are partial (map-side) aggregates that
-leave the data hash-partitioned on the key, so the anti-join adds no exchange, and a hot
+leave the data hash-partitioned on the key, so the join adds no exchange, and a hot
 key is reduced to one row per map task before anything is shuffled. A small parent is
 broadcast by AQE from its measured runtime size.
 
@@ -14,11 +14,12 @@ Check row columns: check_type, column_name, status, measured, threshold, detail.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DataType, DateType, DecimalType, DoubleType, FloatType, NumericType, StringType,
-                               StructField, StructType, TimestampNTZType, TimestampType)
+                               StructField, StructType, TimestampNTZType, TimestampType, _parse_datatype_string)
 
 from tablewatch.functions.messages import DUPLICATE_DETAIL, MISSING_COLUMN_DETAIL, NULL_DETAIL, ORPHAN_DETAIL, render
 from tablewatch.functions.scalar import fixed, percent, py_num, status_over
@@ -176,15 +177,76 @@ def check_referential_integrity(
     child: DataFrame, fk_column: str, parent: DataFrame, parent_column: str, fail_on_any_orphan: bool = True
 ) -> DataFrame:
     """Count distinct orphan keys; any orphan -> fail (or warn when the flag is off)."""
+    return check_foreign_keys(child, [(fk_column, parent, parent_column)], fail_on_any_orphan)
+
+
+def _filler(kind: DataType) -> Column:
+    """A constant for the key column of another type; both sides have it, so it matches itself."""
+    if isinstance(kind, (DateType, TimestampType, TimestampNTZType)):
+        return F.lit("1970-01-01").cast(kind)
+    return F.lit("" if isinstance(kind, StringType) else 0).cast(kind)
+
+
+def check_foreign_keys(
+    child: DataFrame, keys: Sequence[tuple[str, DataFrame, str]], fail_on_any_orphan: bool = True, numbered: bool = False
+) -> DataFrame:
+    """``check_referential_integrity`` for all foreign keys ``(column, parent, parent column)`` of a table.
+
+    The child is read once: each row gives one (number of the key, value) for every key that is not
+    NULL, and their distinct set, reduced map-side, meets the distinct values of all parents in one join
+    on number and value. Values have a column for each type that keys are compared in (see
+    ``common_key_type``); a text that is no value of its parent's type is an orphan by itself.
+    ``numbered`` adds the position of the key, ``fk_no``: two keys of one column may have equal rows.
+    """
     spark: SparkSession = child.sparkSession
-    if fk_column not in child.columns:
-        return spark.range(1).select(F.inline(F.array(_missing_column_row("referential_integrity", fk_column))))
-    if parent_column not in parent.columns:
-        row = check_row("referential_integrity", fk_column, "fail", None, None,
-                        f"parent column '{parent_column}' not found in parent table")
-        return spark.range(1).select(F.inline(F.array(row)))
-    n = F.count(F.lit(1))
+    rows: list[tuple[int, Column]] = []
+    pairs: list[tuple[int, Column, Column, DataFrame, bool, str]] = []
     bad = "fail" if fail_on_any_orphan else "warn"
-    detail = render(ORPHAN_DETAIL, count=n.cast("string"), column=fk_column, parent_column=parent_column)
-    row = check_row("referential_integrity", fk_column, F.when(n > 0, F.lit(bad)).otherwise(F.lit("pass")), n, 0.0, detail)
-    return orphan_keys(child, fk_column, parent, parent_column).agg(row.alias("r")).select("r.*")
+    for i, (fk_column, parent, parent_column) in enumerate(keys):
+        if fk_column not in child.columns:
+            rows.append((i, _missing_column_row("referential_integrity", fk_column)))
+            continue
+        if parent_column not in parent.columns:
+            rows.append((i, check_row("referential_integrity", fk_column, "fail", None, None,
+                                      f"parent column '{parent_column}' not found in parent table")))
+            continue
+        ct, pt = child.schema[fk_column].dataType, parent.schema[parent_column].dataType
+        common = common_key_type(ct, pt)
+        ck, pk = child[fk_column], F.col(parent_column)
+        if common:
+            ck, pk = ck.try_cast(common), pk.try_cast(common)
+        pairs.append((i, ck, pk, parent, bool(common) and isinstance(ct, StringType), common or ct.simpleString()))
+        n = F.col(f"n{i}")
+        detail = render(ORPHAN_DETAIL, count=n.cast("string"), column=fk_column, parent_column=parent_column)
+        status = F.when(n > 0, F.lit(bad)).otherwise(F.lit("pass"))
+        rows.append((i, check_row("referential_integrity", fk_column, status, n, 0.0, detail)))
+    found = F.inline(F.array(*(F.struct(row.alias("row"), F.lit(i).alias("fk_no")) for i, row in rows)))
+    columns = ["row.*", "fk_no"] if numbered else ["row.*"]
+    if not pairs:
+        return spark.range(1).select(found).select(*columns) if rows else spark.createDataFrame([], CHECK_SCHEMA)
+    kinds = list(dict.fromkeys(p[5] for p in pairs))
+    names = ["fk_no", *(f"key{j}" for j in range(len(kinds))), "stray"]
+
+    def entry(i: int, value: Column, kind: str, stray: Column) -> Column:
+        by_kind = [(value if k == kind else _filler(_parsed(k))).alias(f"key{j}") for j, k in enumerate(kinds)]
+        return F.struct(F.lit(i).alias("fk_no"), *by_kind, stray.alias("stray"))
+
+    none, entries = F.lit(""), []
+    for i, ck, _, _, text, kind in pairs:
+        known = F.when(ck.isNotNull(), entry(i, ck, kind, none))
+        if text:  # what cannot be cast is told apart by its text
+            raw = child[keys[i][0]]
+            known = F.when(ck.isNotNull(), entry(i, ck, kind, none)).when(
+                raw.isNotNull(), entry(i, _filler(_parsed(kind)), kind, F.concat(F.lit("text "), raw)))
+        entries.append(known)
+    mine = child.select(F.inline(F.array_compact(F.array(*entries))).alias(*names)).distinct()
+    theirs = reduce(DataFrame.unionByName, [
+        parent.where(pk.isNotNull()).select(entry(i, pk, kind, none).alias("e")).select("e.*") for i, _, pk, parent, _, kind in pairs])
+    matched = mine.join(theirs.distinct().withColumn("_matched", F.lit(True)), names, "left")
+    orphan = F.col("_matched").isNull()
+    counts = matched.agg(*(F.count_if(orphan & (F.col("fk_no") == i)).alias(f"n{i}") for i, *_ in pairs))
+    return counts.select(found).select(*columns)
+
+
+def _parsed(kind: str) -> DataType:
+    return _parse_datatype_string(kind)

@@ -1,7 +1,9 @@
 """Failure digest: one alert text per run with failing checks (``warn`` never alerts).
 
-Blocks are built per failing check (joined to its blast-radius list), then one text per
-run is assembled from the sorted blocks. A run without failures produces no row.
+``digest_lines`` gives the alert as rows, one a line, numbered without gathering a run anywhere: block 0 is the
+head, one block per failing check follows, with a line for every affected table, then the foot. ``failure_digest``
+assembles one text per run for reports of a size that is mailed: all blocks of a run meet in one group there.
+A run without failures produces no row.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from tablewatch.functions.messages import (
 )
 from tablewatch.functions.scalar import iso_text, utc_now
 from tablewatch.operators.freshness import ts_lit
+from tablewatch.operators.numbering import numbered
 
 FOOTER = "See the failure drill-down report for full detail."
 
@@ -71,3 +74,43 @@ def failure_digest(results: DataFrame, radius: DataFrame | None = None, generate
     )
     return g.select("run_id", "failing_count",
                     render(DIGEST_SUBJECT, n=n).alias("subject"), body.alias("body"))
+
+
+def _lines(*lines) -> F.Column:
+    """(line_no, line) of consecutive lines; a NULL is left out and takes no number."""
+    kept = F.array_compact(F.array(*lines))
+    return F.inline(F.transform(kept, lambda line, i: F.struct((i + 1).cast("long").alias("line_no"), line.alias("line"))))
+
+
+def digest_lines(results: DataFrame, radius: DataFrame, generated_at=None) -> DataFrame:
+    """``(run_id, block_no, line_no, line)``; inputs as for ``failure_digest``.
+
+    Blocks are in the order of table, check type, column and detail, affected tables in the order of their names.
+    """
+    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
+    fails = results.where(F.col("status") == "fail").select("run_id", "table_name", "check_type", blank("column_name").alias("column_name"), "detail")
+    blocks = numbered(fails.withColumn("d", blank("detail")), ["run_id"], ["table_name", "check_type", "column_name", "d"], "block_no")
+    names = numbered(radius.select(F.col("failing_table").alias("table_name"), "affected_table"), ["table_name"], ["affected_table"], "name_no")
+    blocks = blocks.join(names.groupBy("table_name").agg(F.count("*").alias("n")), "table_name", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    has_column = F.col("column_name") != ""
+    top = F.lit(4) + has_column.cast("int")  # lines of a block before the names
+    count = F.col("n").cast("string")
+    fixed = blocks.select("run_id", "block_no", _lines(
+        render(DIGEST_TABLE, v=F.col("table_name")),
+        render(DIGEST_CHECK, v=F.col("check_type")),
+        F.when(has_column, render(DIGEST_COLUMN, v=F.col("column_name"))),
+        render(DIGEST_DETAIL, v=F.coalesce("detail", F.lit("None"))),
+        F.when(F.col("n") > 0, F.rtrim(render(DIGEST_BLAST, n=count, tables=""))).otherwise(DIGEST_NO_BLAST),
+    ))
+    named = blocks.join(names, "table_name").select("run_id", "block_no", (top + F.col("name_no")).alias("line_no"), F.concat(F.lit("  "), "affected_table").alias("line"))
+    rule = blocks.select("run_id", "block_no", (top + F.col("n") + 1).alias("line_no"), F.lit(DIGEST_LIGHT_RULE).alias("line"))
+    runs = blocks.groupBy("run_id").agg(F.count("*").alias("blocks"))
+    now = utc_now() if generated_at is None else ts_lit(generated_at)
+    at = iso_text(F.date_trunc("second", now).cast("timestamp_ntz"))
+    head = runs.select("run_id", F.lit(0).cast("long").alias("block_no"), _lines(
+        render(DIGEST_HEADER, n=F.col("blocks").cast("string")), render(DIGEST_GENERATED, at=at), F.lit(DIGEST_HEAVY_RULE), F.lit("")))
+    foot = runs.select("run_id", (F.col("blocks") + 1).alias("block_no"), _lines(F.lit(""), F.lit(FOOTER)))
+    out = head
+    for part in (fixed, named, rule, foot):
+        out = out.unionByName(part)
+    return out.select("run_id", "block_no", "line_no", "line")

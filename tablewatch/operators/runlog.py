@@ -61,6 +61,10 @@ def utc_clock() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def new_run_id() -> int:
+    return uuid.uuid4().int >> 65
+
+
 class RunLog:
     """Driver-side logger writing start/finish events to a Parquet table path.
 
@@ -87,7 +91,7 @@ class RunLog:
             event.write.mode("append").saveAsTable(self.path)
 
     def start(self, run_id: int | None = None) -> int:
-        self.run_id = run_id if run_id is not None else uuid.uuid4().int >> 65
+        self.run_id = run_id if run_id is not None else new_run_id()
         self._append(RUNNING, utc_clock())
         return self.run_id
 

@@ -21,19 +21,19 @@ from tablewatch.operators import freshness as FR
 from tablewatch.operators import edges as ED
 from tablewatch.operators import graph as GR
 from tablewatch.operators.asof import asof_backward
-from tablewatch.operators.digest import failure_digest
+from tablewatch.operators.digest import digest_lines, failure_digest
 from tablewatch.operators.extract import extract_lineage, lineage_edges, unresolved_cases
 from tablewatch.operators.faults import break_foreign_key, drop_column, stale_as_of
 from tablewatch.operators.latency import detection_latency
 from tablewatch.operators.latest import dedupe_latest
-from tablewatch.operators.runlog import current_runs
+from tablewatch.operators.runlog import RunLog, current_runs, read_events
 from tablewatch.plans import derived as D
 from tablewatch.plans import staging as S
 from tablewatch.plans import warehouse as WH
 from tablewatch.plans import suite as SU
 from tablewatch.plans import reports as RP
 from tablewatch.plans.default_rules import DEFAULT_RULES
-from tablewatch.session import scratch_path
+from tablewatch.session import cut_lineage, scratch_path
 from tablewatch.sources.catalog import (
     append_results,
     preview,
@@ -41,7 +41,7 @@ from tablewatch.sources.catalog import (
     table_inventory,
     write_table,
 )
-from tablewatch.sources.files import read_csv
+from tablewatch.sources.files import read_csv, read_scripts
 from tablewatch.sources.versioned import replace_table
 from tablewatch.sources.rules import ForeignKey, Rules, TableRule
 
@@ -1073,10 +1073,10 @@ def q_result_tables(spark, sf):
 
 @register("results_history_pruned", f"WITH {FX_RESULTS_SQL}, {HISTORY_SQL}\nSELECT * FROM history")
 def q_results_history_pruned(spark, sf):
-    """Check history appended to a day-partitioned results table, then the 7-day trend read
+    """Check history brought into a day-partitioned results table, then the 7-day trend read
     back from it: the day filter prunes partitions at the scan."""
     path = scratch_path(spark, "dq_check_results")
-    append_results(fx_results_df(spark, sf), path)
+    append_results(fx_results_df(spark, sf), path, unit="day")
     return RP.dq_history(read_results(spark, path), 7, D.AS_OF)
 
 
@@ -1133,9 +1133,10 @@ def _warehouse_suite_sql() -> str:
 @register("warehouse_suite", _warehouse_suite_sql())
 def q_warehouse_suite(spark, sf):
     """The default 41-check configuration on a first run (no earlier snapshots): 6 table
-    aggregates, 4 foreign-key branches, drift and freshness, one result frame."""
+    aggregates, a foreign-key branch for each child table, drift and freshness, one result frame."""
     stg = staged(spark, sf)
     tables = {**stg, **WH.warehouse_tables(stg)}
+    tables["Fact_Order_Items"] = cut_lineage(tables["Fact_Order_Items"])  # joined once, then checked as a stored table
     edges = spark.createDataFrame([(j, t) for t, j in WH_JOBS.items()], "job_name string, target_table string").withColumn(
         "detected_at", F.lit(D.JOBS_AT).cast("timestamp_ntz"))
     return SU.run_suite(spark, tables, DEFAULT_RULES, 7, D.AS_OF, None, edges, D.fx_runs(T(spark, sf, "events")))
@@ -1145,3 +1146,116 @@ def q_warehouse_suite(spark, sf):
 def q_table_preview(spark, sf):
     """First rows of a table in key order (the limit is the feature: a preview)."""
     return preview(T(spark, sf, "orders").orderBy("o_orderkey"), 3)
+
+
+# =========================================================================================
+# After a run: failures with radius and latency, the digest as lines, logged jobs, script files
+# =========================================================================================
+
+# Which suite tables feed which, next to the derived lineage graph.
+SUITE_SOURCES = {"lineitem": ("orders", "part", "supplier"), "orders": ("customer",), "tbl_1": ("lineitem",), "tbl_2": ("orders",)}
+SUITE_EDGES_SQL = " UNION ALL ".join(
+    f"SELECT {_q(SUITE_JOBS.get(t, 'job_0'))} AS job_name, {_q(s)} AS source_table, {_q(t)} AS target_table, TIMESTAMP '{D.JOBS_AT}' AS detected_at"
+    for t, sources in SUITE_SOURCES.items() for s in sources)
+
+
+def suite_edges(spark, sf) -> DataFrame:
+    rows = [(SUITE_JOBS.get(t, "job_0"), s, t) for t, sources in SUITE_SOURCES.items() for s in sources]
+    own = spark.createDataFrame(rows, "job_name string, source_table string, target_table string").withColumn(
+        "detected_at", F.lit(D.JOBS_AT).cast("timestamp_ntz"))
+    return own.unionByName(graph_edges(spark, sf).select(*own.columns))
+
+
+@register("suite_failures", _suite_sql().replace("WITH ", "WITH RECURSIVE ", 1) + f""", {GRAPH_SQL},
+sg AS ({SUITE_EDGES_SQL} UNION ALL SELECT job_name, source_table, target_table, detected_at FROM g),
+f AS (SELECT * FROM res WHERE status = 'fail'),
+reach(root, node) AS (SELECT DISTINCT f.table_name, sg.target_table FROM f JOIN sg ON sg.source_table = f.table_name
+  UNION SELECT r.root, sg.target_table FROM reach r JOIN sg ON sg.source_table = r.node),
+n AS (SELECT root, count(*) AS affected_count FROM reach WHERE root <> node GROUP BY root),
+j AS (SELECT f.*, coalesce(n.affected_count, 0) AS affected_count, pj.job_name FROM f LEFT JOIN n ON n.root = f.table_name
+      LEFT JOIN {sql_producing_job('sg')} pj ON pj.table_name = f.table_name),
+a AS (SELECT j.*, (SELECT max(r.finished_at) FROM fx_runs r WHERE r.job_name = j.job_name AND r.status = 'success'
+                   AND r.finished_at <= j.checked_at) AS last_written_at FROM j),
+s AS (SELECT a.*, CAST(date_diff('microsecond', last_written_at, checked_at) AS DOUBLE) / CAST(1000000.0 AS DOUBLE) AS latency_seconds FROM a)
+SELECT *, CASE WHEN latency_seconds IS NULL THEN 'unknown -- no prior successful write found for this table'
+  WHEN latency_seconds < 60 THEN printf('%.0f', latency_seconds) || ' seconds'
+  WHEN latency_seconds < 3600 THEN printf('%.1f', latency_seconds / 60) || ' minutes'
+  ELSE printf('%.2f', latency_seconds / 3600) || ' hours' END AS latency_human FROM s""")
+def q_suite_failures(spark, sf):
+    """The failing rows of the suite run with their blast radius and detection latency, in one plan."""
+    return SU.suite_failures(cut_lineage(q_dq_suite(spark, sf)), suite_edges(spark, sf), D.fx_runs(T(spark, sf, "events")))
+
+
+@register("failure_digest_lines", f"""WITH RECURSIVE {FX_RESULTS_SQL}, {GRAPH_SQL}, {CLOSURE_SQL},
+f AS (SELECT run_id, table_name, check_type, coalesce(column_name, '') AS c, coalesce(detail, 'None') AS d,
+        row_number() OVER (PARTITION BY run_id ORDER BY table_name, check_type, coalesce(column_name, ''), coalesce(detail, '')) AS b
+      FROM fx_results WHERE status = 'fail'),
+nm AS (SELECT root, node, row_number() OVER (PARTITION BY root ORDER BY node) AS i FROM closure),
+b AS (SELECT f.*, coalesce(k.n, 0) AS n, CASE WHEN c <> '' THEN 5 ELSE 4 END AS t
+      FROM f LEFT JOIN (SELECT root, count(*) AS n FROM nm GROUP BY root) k ON k.root = f.table_name),
+r AS (SELECT run_id, count(*) AS n FROM f GROUP BY run_id),
+lines(run_id, block_no, line_no, line) AS (
+  SELECT run_id, 0, 1, 'Data Quality Alert -- ' || CAST(n AS VARCHAR) || ' check(s) failing' FROM r
+  UNION ALL SELECT run_id, 0, 2, 'Generated: 2024-01-31T00:00:00' FROM r
+  UNION ALL SELECT run_id, 0, 3, repeat('=', 60) FROM r
+  UNION ALL SELECT run_id, 0, 4, '' FROM r
+  UNION ALL SELECT run_id, b, 1, 'Table:      ' || table_name FROM b
+  UNION ALL SELECT run_id, b, 2, 'Check type: ' || check_type FROM b
+  UNION ALL SELECT run_id, b, 3, 'Column:     ' || c FROM b WHERE c <> ''
+  UNION ALL SELECT run_id, b, t - 1, 'Detail:     ' || d FROM b
+  UNION ALL SELECT run_id, b, t, CASE WHEN n > 0 THEN 'Blast radius: ' || CAST(n AS VARCHAR) || ' table(s) potentially affected --'
+                                      ELSE 'Blast radius: none (failure contained to this table)' END FROM b
+  UNION ALL SELECT run_id, b, t + i, '  ' || node FROM b JOIN nm ON nm.root = b.table_name
+  UNION ALL SELECT run_id, b, t + n + 1, repeat('-', 60) FROM b
+  UNION ALL SELECT run_id, n + 1, 1, '' FROM r
+  UNION ALL SELECT run_id, n + 1, 2, 'See the failure drill-down report for full detail.' FROM r)
+SELECT run_id, CAST(block_no AS BIGINT) AS block_no, CAST(line_no AS BIGINT) AS line_no, line FROM lines""")
+def q_failure_digest_lines(spark, sf):
+    """The alert of every run as numbered lines: no group per run, affected tables as rows."""
+    results = fx_results_df(spark, sf)
+    fails = results.where(F.col("status") == "fail").select("table_name").distinct()
+    radius = GR.downstream(graph_edges(spark, sf), fails).select(
+        F.col("table_name").alias("failing_table"), F.col("downstream_table").alias("affected_table"))
+    return digest_lines(results, radius, D.AS_OF)
+
+
+@register("observed_load", _with(WH_SQL, """
+SELECT CAST(1 AS BIGINT) AS run_id, 'load_order_items' AS job_name, 'success' AS status, (SELECT count(*) FROM raw_order_items) AS rows_read,
+       (SELECT count(*) FROM stg_order_items) AS rows_written, CAST(NULL AS VARCHAR) AS error_message
+UNION ALL SELECT 2, 'build_warehouse', 'success',
+  (SELECT count(*) FROM stg_customers) + (SELECT count(*) FROM stg_orders) + (SELECT count(*) FROM stg_order_items)
+    + (SELECT count(*) FROM stg_products) + (SELECT count(*) FROM stg_sellers),
+  (SELECT count(*) FROM dim_customer) + (SELECT count(*) FROM dim_product) + (SELECT count(*) FROM dim_seller)
+    + (SELECT count(*) FROM dim_date) + (SELECT count(*) FROM fact_order_items), NULL"""))
+def q_observed_load(spark, sf):
+    """A load and the warehouse build, logged: rows are counted while they are written, not by further passes."""
+    at = scratch_path(spark, "observed_load")
+    with RunLog(spark, f"{at}/runs", "load_order_items").run(1) as run:
+        staged_items = S.stage_order_items(run.observe_read(raw_order_items(T(spark, sf, "lineitem"))))
+        run.observe_write(staged_items).write.parquet(f"{at}/stg_order_items")
+    with RunLog(spark, f"{at}/runs", "build_warehouse").run(2) as run:
+        stg = staged(spark, sf) | {"stg_order_items": spark.read.parquet(f"{at}/stg_order_items")}
+        WH.build_warehouse(stg, lambda name, df: df.write.parquet(f"{at}/{name}"), run)
+    return current_runs(read_events(spark, f"{at}/runs")).select("run_id", "job_name", "status", "rows_read", "rows_written", "error_message")
+
+
+@register("script_corpus", """SELECT CASE WHEN k = 'old' THEN 'archive of ' ELSE '' END || 'team ' || CAST(s_nationkey AS VARCHAR) || '/load ' || CAST(s_suppkey AS VARCHAR) AS job_name,
+  'raw_' || CAST(s_suppkey AS VARCHAR) AS source_table, k || '_' || CAST(s_suppkey AS VARCHAR) AS target_table
+FROM supplier, (VALUES ('stg'), ('old')) v(k)""")
+def q_script_corpus(spark, sf):
+    """Lineage of scripts in files: written one a folder, listed and read by Spark, parsed, traced."""
+    at = scratch_path(spark, "scripts")
+    files = D.fx_script_files(T(spark, sf, "supplier"))
+    files.repartition("folder").write.partitionBy("folder", "job").text(at)
+    corpus = read_scripts(spark, at, pattern="part-*", named_by="folder")
+    return extract_lineage(corpus).where("resolved").select("job_name", "source_table", "target_table")
+
+
+@register("results_stored_once", _suite_sql() + "SELECT * FROM res")
+def q_results_stored_once(spark, sf):
+    """A suite run written, written again as a retry does, and read back."""
+    path = scratch_path(spark, "dq_check_results")
+    results = cut_lineage(q_dq_suite(spark, sf))
+    for _ in range(2):
+        append_results(results, path)
+    return read_results(spark, path).select(*results.columns)

@@ -1,7 +1,7 @@
 """Config-driven check suite: every rule of every table in ONE plan and one result frame.
 
-Per table: one aggregate branch (nulls + duplicates) and one anti-join branch per foreign
-key; drift for all tables from their schemas; freshness for all flagged tables in one
+Per table: one aggregate branch (nulls + duplicates) and one branch for all its foreign
+keys; drift for all tables from their schemas; freshness for all flagged tables in one
 join. The branches are unioned, stamped with one ``run_id`` and one ``checked_at`` and can
 be appended with a single write. A missing table, key or FK column yields a fail row
 and the suite goes on.
@@ -16,19 +16,22 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewatch.operators.checks import CHECK_COLUMNS, check_referential_integrity, check_row, table_checks
+from tablewatch.operators.checks import CHECK_COLUMNS, check_foreign_keys, check_row, table_checks
 from tablewatch.operators.drift import check_schema_drift, schema_snapshot
 from tablewatch.functions.scalar import utc_now
 from tablewatch.operators.freshness import check_freshness, ts_lit
+from tablewatch.operators.graph import downstream
+from tablewatch.operators.latency import detection_latency
 from tablewatch.sources.rules import Rules
 
 RESULT_COLUMNS = ["run_id", "table_name", *CHECK_COLUMNS, "checked_at"]
 
 
-def _stamp(df: DataFrame, table_name: str | None = None) -> DataFrame:
+def _stamp(df: DataFrame, table_name: str | None = None, target=None) -> DataFrame:
+    """Check rows of a table; ``target`` is what a foreign key points to, which tells two keys of one column apart."""
     if table_name is not None:
         df = df.withColumn("table_name", F.lit(table_name))
-    return df.select("table_name", *CHECK_COLUMNS)
+    return df.select("table_name", *CHECK_COLUMNS, (F.lit("") if target is None else target).alias("target"))
 
 
 def run_suite(
@@ -40,8 +43,10 @@ def run_suite(
     previous_snapshots: DataFrame | None = None,
     edges: DataFrame | None = None,
     runs: DataFrame | None = None,
+    with_ids: bool = False,
 ) -> DataFrame:
-    """Results with columns ``RESULT_COLUMNS``."""
+    """Results with columns ``RESULT_COLUMNS``; ``with_ids`` adds ``check_result_id``, a hash of the run and of what is
+    checked, so the same check of the same run has the same id when a task or the run is repeated."""
     parts: list[DataFrame] = []
     present: dict[str, DataFrame] = {}
     for rule in rules.tables:
@@ -53,15 +58,20 @@ def run_suite(
         present[rule.name] = df
         parts.append(_stamp(table_checks(df, rule.null_check_columns, rule.key_columns,
                                          rules.max_null_rate_pct, rules.max_duplicate_rate_pct), rule.name))
+        keys, targets = [], []
         for fk in rule.referential_integrity:
             parent = tables.get(fk.parent_table)
             if parent is None:
                 row = check_row("referential_integrity", fk.column, "fail", None, None,
                                 f"parent table '{fk.parent_table}' not found")
-                parts.append(_stamp(spark.range(1).select(F.inline(F.array(row))), rule.name))
-                continue
-            parts.append(_stamp(check_referential_integrity(df, fk.column, parent, fk.parent_column,
-                                                            rules.fail_on_any_orphan), rule.name))
+                parts.append(_stamp(spark.range(1).select(F.inline(F.array(row))), rule.name,
+                                    F.lit(f"{fk.parent_table}.{fk.parent_column}")))
+            else:
+                keys.append((fk.column, parent, fk.parent_column))
+                targets.append(f"{fk.parent_table}.{fk.parent_column}")
+        if keys:
+            target = F.array(*map(F.lit, targets))[F.col("fk_no")]
+            parts.append(_stamp(check_foreign_keys(df, keys, rules.fail_on_any_orphan, numbered=True), rule.name, target))
     if present:
         snap = schema_snapshot(spark, present).select("table_name", "column_name", "data_type")
         drift = check_schema_drift(snap, previous_snapshots, rules.fail_on_column_removed,
@@ -77,7 +87,9 @@ def run_suite(
         parts.append(_stamp(check_freshness(names, edges, runs, rules.max_staleness_hours, as_of)))
     out = reduce(DataFrame.unionByName, parts)
     checked = utc_now() if as_of is None else ts_lit(as_of)
-    return out.select(F.lit(run_id).cast("long").alias("run_id"), "table_name", *CHECK_COLUMNS, checked.alias("checked_at"))
+    run = F.lit(run_id).cast("long")
+    ids = [F.xxhash64(run, "table_name", "check_type", F.coalesce("column_name", F.lit("")), "target").alias("check_result_id")]
+    return out.select(run.alias("run_id"), "table_name", *CHECK_COLUMNS, checked.alias("checked_at"), *(ids if with_ids else []))
 
 
 def iter_suite(spark: SparkSession, tables: dict[str, DataFrame], rules: Rules, run_id: int, tables_per_plan: int = 50,
@@ -89,6 +101,17 @@ def iter_suite(spark: SparkSession, tables: dict[str, DataFrame], rules: Rules,
         yield run_suite(spark, tables, replace(rules, tables=tuple(items[i:i + tables_per_plan])), run_id, **kw)
 
 
+def suite_failures(results: DataFrame, edges: DataFrame, runs: DataFrame) -> DataFrame:
+    """The failing rows of a run with what an alert needs: how many tables lie downstream of the failing one, and how
+    long after its last successful write the failure was found (as of the check). ``edges``: source_table,
+    target_table, job_name, detected_at."""
+    fails = results.where(F.col("status") == "fail")
+    reach = downstream(edges, fails.select("table_name").distinct()).groupBy("table_name").agg(F.count("*").alias("affected_count"))
+    found = detection_latency(fails.join(reach, "table_name", "left"), edges, runs)
+    return found.select(*results.columns, F.coalesce("affected_count", F.lit(0)).cast("long").alias("affected_count"),
+                        "job_name", "last_written_at", "latency_seconds", "latency_human")
+
+
 def suite_totals(results: DataFrame) -> DataFrame:
     """Per run: checks run / failed / warned; the suite's own run-log counts (rows read =
     rows written = checks run)."""

@@ -64,15 +64,16 @@ def preview(df: DataFrame, n: int = 3) -> DataFrame:
 RUN_PARTITIONS = ("check_date", "run_id")
 
 
-def append_results(results: DataFrame, path: str, partition_col: str = "check_date") -> None:
-    """Store check results partitioned by check day and run. History reports read only the days they
-    need (partition pruning), and the rows of a run replace those that it stored before."""
-    out = results.withColumn(partition_col, F.to_date("checked_at"))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col, "run_id").parquet(path)
+def append_results(results: DataFrame, path: str, unit: str = "run") -> None:
+    """Store check results partitioned by check day, and by run unless ``unit`` is "day". History reports read
+    only the days they need (partition pruning), and the rows of a run replace those that it stored before. With
+    "day", for a history that is brought in as a whole, the rows of a day replace those of that day."""
+    out = results.withColumn("check_date", F.to_date("checked_at")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.partitionBy(*(RUN_PARTITIONS if unit == "run" else RUN_PARTITIONS[:1])).parquet(path)
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """Stored results; run_id, a folder name, is a long again."""
+    """Stored results; run_id, where it is a folder name, is a long again."""
     return spark.read.parquet(path).withColumn("run_id", F.col("run_id").cast("long"))
 
 

@@ -2,7 +2,10 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from tablewatch import cli
+from tablewatch.operators.runlog import current_runs, read_events
 
 
 def test_lineage_then_blast_radius_then_suite(spark, capsys):
@@ -42,6 +45,18 @@ def test_lineage_then_blast_radius_then_suite(spark, capsys):
               "--as-of", "2024-01-31 00:00:00"], spark)
     tot = json.loads(capsys.readouterr().out.splitlines()[-1])
     assert tot["checks_run"] == 4 and tot["checks_failed"] == 3
+    # The suite logs itself, a repeated run is stored once, and failures come with radius and latency.
+    args = ["suite", "--rules", rules, "--results", "cli_results", "--edges", "cli_edges", "--runs", os.path.join(d, "runs"), "--failures", "cli_failures", "--digest", "cli_digest"]
+    for _ in range(2):
+        cli.main([*args, "--run-id", "6"], spark)
+    assert spark.read.table("cli_results").groupBy("run_id").count().orderBy("run_id").collect() == [(5, 4), (6, 4)]
+    assert {r["affected_count"] for r in spark.read.table("cli_failures").collect()} == {0}
+    with pytest.raises(Exception, match="no_such_baseline"):
+        cli.main([*args, "--run-id", "7", "--as-of", "no_such_baseline"], spark)
+    assert spark.read.table("cli_digest").where("block_no = 0 AND line_no = 1").first()["line"].startswith("Data Quality Alert -- ")
+    runs = {r["run_id"]: r for r in current_runs(read_events(spark, os.path.join(d, "runs"))).collect()}
+    assert (runs[6]["job_name"], runs[6]["status"], runs[6]["rows_written"]) == ("dq_check_run", "success", 4)
+    assert runs[7]["status"] == "failed"
 
 
 def test_job_list_config_skips_missing_and_init_creates_tables(spark, capsys):

@@ -2,8 +2,9 @@ from datetime import datetime
 
 from tablewatch.operators.drift import schema_snapshot
 from tablewatch.operators.faults import drop_column
+from tablewatch.operators.checks import check_foreign_keys
 from tablewatch.plans.suite import run_suite, suite_totals
-from tablewatch.sources.rules import rules_from_dict
+from tablewatch.sources.rules import ForeignKey, Rules, TableRule, rules_from_dict
 
 CONFIG = {"data_quality": {
     "null_checks": {"max_null_rate_pct": 1.0},
@@ -55,3 +56,25 @@ def test_batched_suite_equals_single_plan(spark):
     assert len(parts) == 3
     key = lambda r: (r["table_name"], r["check_type"], r["column_name"] or "")
     assert sorted(reduce(DataFrame.unionByName, parts).collect(), key=key) == sorted(whole.collect(), key=key)
+
+
+def test_two_keys_of_one_column_have_two_ids(spark):
+    """Equal orphan counts and column names: only the parents differ."""
+    t = {"c": spark.createDataFrame([(1,), (2,)], "x long"), "a": spark.createDataFrame([(1,)], "id long"), "b": spark.createDataFrame([(2,)], "id long")}
+    rules = Rules(tables=(TableRule("c", (), (), False, (ForeignKey("x", "a", "id"), ForeignKey("x", "b", "id"), ForeignKey("x", "gone", "id"))),))
+    got = run_suite(spark, t, rules, 3, "2024-01-31 00:00:00", with_ids=True).where("check_type = 'referential_integrity'").collect()
+    assert len(got) == 3 and len({r["check_result_id"] for r in got}) == 3
+    again = run_suite(spark, t, rules, 3, "2024-01-31 00:00:00", with_ids=True).collect()
+    assert {r["check_result_id"] for r in got} <= {r["check_result_id"] for r in again}
+
+
+def test_all_foreign_keys_of_a_table_take_one_scan(spark, tmp_path):
+    spark.createDataFrame([(1, "1", 1.0, None), (2, "x", 2.5, 7), (3, None, 3.0, 7)], "a long, b string, c double, d int").write.parquet(str(tmp_path / "child"))
+    spark.createDataFrame([(1, "1", 7)], "k int, t string, d long").write.parquet(str(tmp_path / "parent"))
+    child, parent = spark.read.parquet(str(tmp_path / "child")), spark.read.parquet(str(tmp_path / "parent"))
+    keys = [("a", parent, "k"), ("b", parent, "k"), ("c", parent, "k"), ("d", parent, "d"), ("b", parent, "t"), ("no", parent, "k"), ("a", parent, "no")]
+    df = check_foreign_keys(child, keys, numbered=True)
+    assert [(r["fk_no"], r["column_name"], r["status"], r["measured"]) for r in df.collect()] == [
+        (0, "a", "fail", 2.0), (1, "b", "fail", 1.0), (2, "c", "fail", 2.0), (3, "d", "pass", 0.0), (4, "b", "fail", 1.0), (5, "no", "fail", None), (6, "a", "fail", None)]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [a") == 1
