@@ -49,7 +49,7 @@ class Sizes:
 
     head: int = 1 << 16
     dense: int = 1 << 14
-    tiles: int = 24
+    tiles: int = 6
     word_bits: int = 1 << 23
     pair_bits: int = 1 << 25
 
@@ -58,7 +58,7 @@ SIZES = Sizes()
 #: Ids of a group (language) lie in so many; a whole number of tiles.
 GROUP = 1 << 20
 #: Bytes of text whose phrases are counted together.
-TOGETHER = 8 << 20
+TOGETHER = (1 << 20) - 64
 
 # Bytes that end a word, and those that end a piece as well.
 _GAP = np.zeros(256, bool)
