@@ -11,11 +11,12 @@ Equal sets are one record, and records already in one component need no further
 node costs is its *others*, the records outside its largest component. Nodes with ``SMALL`` others at most
 are compared, others against all; larger ones first meet one pivot, the record that agrees best with
 the majority of the node's sketches (in a group of copies that is the text they were copied from),
-and branch on with what that leaves open. Comparing is done in blocks: records are dealt to blocks of
-bounded size by hash (a node that needs several sends its others to each), the sketches of a block
-say which of its records have a possible partner at all, and only these go on with their texts, each once a block
-whatever the number of its pairs. A task counts all common shingles of a block and gives one link for
-each record that it joined to another component, not one a pair.
+and branch on with what that leaves open. Comparing is done in blocks, mostly a node each: records are dealt to
+blocks of bounded size by hash where one is not enough (the others are sent to each). The sketches of a block
+say which of its records have a possible partner at all. A pair that shares several compared nodes
+on the first level is tested in the first of them alone, which the records' own lists of nodes tell; only records with
+a pair left go on with their texts, each once a block whatever the number of its pairs. A task counts all common shingles
+of a block and gives one link for each record that it joined to another component, not one a pair.
 
 Recall: links are confirmed on full sets, so none is false. A linked pair is lost if none of the
 trees brings it into a common node that is compared, or if its sketches differ too much (``SKETCH_DIFFERS``; below 1e-3
@@ -36,9 +37,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from llm import bloom
 from llm.components import components
 from llm.textnum import WORDS, chunks, inside, lower_ascii, mix, ranges, word_hashes, words
 from tablewatch.session import cut_lineage
@@ -49,11 +52,13 @@ SIMILAR = (75, 100)
 POSITIONS = 64
 TREES = 12
 #: A node is compared where so many of its records at most are outside its largest component.
-SMALL = 512
+SMALL = 2560
 #: Shingles and records that a block holds about at most; hash decides, and one record may have more.
-BLOCK_SHINGLES, BLOCK_RECORDS = 1 << 19, 1 << 10
-#: Trees that are compared first; what they link is not compared again in the others.
-FIRST = 3
+BLOCK_SHINGLES, BLOCK_RECORDS = 1 << 19, 2560
+#: Slot of the nodes below the first level; a node of the first level has tree * POSITIONS + position.
+DEEP = 1 << 20
+#: Bits of the filter of nodes on the first level that are not compared.
+OPEN_BITS = 1 << 20
 #: positions of 64 whose two-bit sketches may differ
 SKETCH_DIFFERS = 22
 #: Buckets of document ids that the join with texts tells apart before it moves texts: what is broadcast holds so many rows at most.
@@ -113,7 +118,7 @@ def children(path: np.ndarray, used: np.ndarray, tokens: np.ndarray) -> tuple[np
     return row, mix(choice[row, at] + tokens[row, at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), used[row] | bit[at]
 
 
-_SKETCH = "doc_id long, n long, set1 long, set2 long, bit0 long, bit1 long, tokens binary, nodes array<struct<node: long, used: long, tree: long>>"
+_SKETCH = "doc_id long, n long, set1 long, set2 long, bit0 long, bit1 long, tokens binary, nodes array<struct<node: long, used: long, slot: long>>"
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,18 +132,19 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kids = [children(np.full(len(full), root), np.zeros(len(full), np.uint64), tokens) for root in _ROOTS]
             tree = np.repeat(np.arange(TREES), [len(k[0]) for k in kids])
             row, key, used = (np.concatenate(x) for x in zip(*kids, strict=True))
+            slot = tree * POSITIONS + np.bitwise_count(used - np.uint64(1)).astype(np.int64)  # one position is used so far
             order = np.argsort(row, kind="stable")
-            node = pa.StructArray.from_arrays([pa.array(key[order].view(np.int64)), pa.array(used[order].view(np.int64)), pa.array(tree[order])], names=["node", "used", "tree"])
+            node = pa.StructArray.from_arrays([pa.array(key[order].view(np.int64)), pa.array(used[order].view(np.int64)), pa.array(slot[order])], names=["node", "used", "slot"])
             lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row[order], np.arange(len(full) + 1)).astype(np.int32)), node)
             ids = b.column(0).slice(i, len(n))
             spread = np.full(len(n), -1)
             spread[full] = np.arange(len(full))
             take = pa.array(spread, mask=spread < 0)
             cols = [pa.array(bits[0]), pa.array(bits[1]), pa.array([t.tobytes() for t in tokens], pa.binary()), lists]
-            yield pa.record_batch([ids, pa.array(n.astype(np.int64)), pa.array(set1.view(np.int64)), pa.array(set2.view(np.int64)), *(c.take(take) for c in cols)], names=[x.split()[0] for x in re.split(", (?!used|tree)", _SKETCH)])
+            yield pa.record_batch([ids, pa.array(n.astype(np.int64)), pa.array(set1.view(np.int64)), pa.array(set2.view(np.int64)), *(c.take(take) for c in cols)], names=[x.split()[0] for x in re.split(", (?!used|slot)", _SKETCH)])
 
 
-_BLOCK = "block long, rec long, comp long, other boolean, n long, set1 long, bit0 long, bit1 long"
+_BLOCK = "block long, rec long, comp long, other boolean, n long, set1 long, bit0 long, bit1 long, slot long"
 _BLOCK_NAMES = [x.split()[0] for x in _BLOCK.split(", ")]
 
 
@@ -161,7 +167,7 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 def _pairs(cols: list[np.ndarray], differs: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of one block, one of them another, whose sizes and sketches allow the similarity; about a million tested at once."""
-    block, _, comp, other, n, _, bit0, bit1 = cols
+    block, _, comp, other, n, _, bit0, bit1, _ = cols
     left = np.searchsorted(block, block, "right") - np.arange(len(block)) - 1
     lo, upto = 0, np.cumsum(left)
     while lo < len(block):
@@ -193,6 +199,104 @@ def _active(differs: int):
     return run
 
 
+def _nodes(differs: int, records: int, shingles: int):
+    """Rows sorted by node -> the rows with a possible partner of nodes that are one block, and all rows of larger nodes (big).
+
+    A larger node passes through row by row as soon as it is known to be one.
+    """
+
+    def small(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        cols = [c.to_numpy() for c in t.columns]
+        node, _, slot, rec, n, set1, bit0, bit1, comp = cols
+        keep = np.zeros(t.num_rows, bool)
+        for i, j in _pairs([node, rec, comp, np.ones(len(node), bool), n, set1, bit0, bit1, slot], differs):
+            keep[i] = keep[j] = True
+        yield from marked(t.filter(pa.array(keep)), False)
+
+    def marked(t: pa.Table, big: bool) -> Iterator[pa.RecordBatch]:
+        yield from t.append_column("big", pa.array(np.full(t.num_rows, big))).combine_chunks().to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wait: list[pa.Table] = []  # the node being read, while it may be one block
+        held = weight = 0
+        open_node = None  # a larger node being read
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b])
+            if wait and t.column(0)[0].as_py() == wait[-1].column(0)[0].as_py():
+                t = pa.concat_tables([*wait, t])
+            elif wait:
+                yield from small(pa.concat_tables(wait))
+            wait, held, weight = [], 0, 0
+            node, n = t.column(0).to_numpy(), t.column(4).to_numpy()
+            first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+            size, total = np.diff(np.r_[first, len(node)]), np.add.reduceat(n, first)
+            big = (size > records) | (total > shingles) | (node[first] == open_node if open_node is not None else False)
+            of_row = np.repeat(big, size)
+            last = slice(first[-1], len(node))
+            of_small = ~of_row
+            if not big[-1]:
+                of_small[last] = False
+                wait = [t.slice(first[-1])]
+                open_node = None
+            else:
+                open_node = node[-1]
+            yield from marked(t.filter(pa.array(of_row)), True)
+            yield from small(t.filter(pa.array(of_small)))
+        if wait:
+            yield from small(pa.concat_tables(wait))
+
+    return run
+
+
+def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by their first column, without those that are alone."""
+    last = None  # the row before the batch, and whether it is known to have company
+    company = False
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([b] if last is None else [last, b])
+        key = t.column(0).to_numpy()
+        same = key[1:] == key[:-1]
+        keep = np.zeros(len(key), bool)
+        keep[1:] |= same
+        keep[:-1] |= same
+        keep[0] |= company
+        company = bool(keep[-1])
+        keep[-1] = False  # decided with the next batch
+        yield from t.filter(pa.array(keep)).combine_chunks().to_batches()
+        last = t.slice(t.num_rows - 1).combine_chunks().to_batches()[0]
+    if company:
+        yield last
+
+
+def _unmet(differs: int, open_: np.ndarray):
+    """Rows of blocks with their record's nodes on the first level -> rows with a pair that shares no earlier compared node."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _whole(batches):
+            cols = _numbers(t)
+            nodes = t.column(len(_BLOCK_NAMES)).combine_chunks()
+            row = pc.list_parent_indices(nodes).to_numpy().astype(np.int64)
+            flat = nodes.flatten()
+            key, slot = flat.field(0).to_numpy(), flat.field(2).to_numpy()
+            slots, column = np.unique(slot, return_inverse=True)
+            key = np.where(bloom.maybe(open_, key), row, key)  # a node that is not compared is like no other's
+            table = np.broadcast_to(np.arange(t.num_rows)[:, None], (t.num_rows, len(slots))).copy()
+            table[row, column] = key
+            keep = np.zeros(t.num_rows, bool)
+            for i, j in _pairs(cols, differs):
+                met = np.zeros(len(i), bool)
+                for c, s in enumerate(slots):
+                    met |= (table[i, c] == table[j, c]) & (s < cols[8][i])
+                keep[i[~met]] = keep[j[~met]] = True
+            yield from t.select(_BLOCK_NAMES).filter(pa.array(keep)).to_batches()
+
+    return run
+
+
 def common(sets: list[np.ndarray]) -> np.ndarray:
     """How many values each two of the sets (distinct sorted values) have in common.
 
@@ -281,19 +385,22 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition("block").sortWithinPartitions("block", "rec")
 
 
-def compare(blocks: DataFrame, docs: DataFrame, differs: int) -> DataFrame:
-    """Links (a, b) between components from the rows of blocks, confirmed on the documents' full sets."""
-    active = cut_lineage(_dealt(blocks.select(*_BLOCK_NAMES)).mapInArrow(_active(differs), _BLOCK))
+def compare(active: DataFrame, docs: DataFrame, nodes: DataFrame, open_: np.ndarray, differs: int) -> DataFrame:
+    """Links (a, b) between components from rows of blocks, confirmed on the documents' full sets.
+
+    nodes: (rec, set1, nodes) of all records; open_: filter of those nodes that are not compared.
+    """
     bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS)).alias("bucket")
-    needed = active.select(bucket("rec")).distinct()
-    text = docs.select(F.col("doc_id").alias("rec"), "text", bucket("doc_id")).join(F.broadcast(needed), "bucket", "left_semi").drop("bucket")
-    return _dealt(active.join(text, "rec").select(*_BLOCK_NAMES, "text")).mapInArrow(_links(differs), "a long, b long").distinct()
 
+    def of(rows: DataFrame, there: DataFrame) -> DataFrame:
+        """The rows (rec, ...) that may be needed, found before they are moved."""
+        needed = there.select(bucket("rec")).distinct()
+        return rows.withColumn("bucket", bucket("rec")).join(F.broadcast(needed), "bucket", "left_semi").drop("bucket")
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """The rows of nodes with two records at least, written once."""
-    many = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-    return cut_lineage(rows.join(many, "node"))
+    listed = active.join(of(nodes, active), ["rec", "set1"]).select(*_BLOCK_NAMES, "nodes")
+    left = cut_lineage(_dealt(listed).mapInArrow(_unmet(differs, open_), _BLOCK))
+    text = of(docs.select(F.col("doc_id").alias("rec"), "text"), left)
+    return _dealt(left.join(text, "rec").select(*_BLOCK_NAMES, "text")).mapInArrow(_links(differs), "a long, b long").distinct()
 
 
 def _sizes(named: DataFrame) -> DataFrame:
@@ -318,7 +425,7 @@ def _deal(rows: DataFrame) -> DataFrame:
     as_other = F.transform(F.sequence(F.lit(0).cast("long"), F.col("wide") - 1), lambda j: at(own, j, F.lit(True)))
     one = F.array(at(F.lit(0).cast("long"), F.lit(0).cast("long"), F.col("other")))
     places = F.when(F.col("wide") == 1, one).when(F.col("other"), F.concat(as_all, as_other)).otherwise(as_all)
-    return rows.withColumn("place", F.explode(places)).select(F.col("place.block").alias("block"), "rec", "comp", F.col("place.other").alias("other"), "n", "set1", "bit0", "bit1")
+    return rows.withColumn("place", F.explode(places)).select(F.col("place.block").alias("block"), "rec", "comp", F.col("place.other").alias("other"), "n", "set1", "bit0", "bit1", "slot")
 
 
 def _pivots(rows: DataFrame) -> DataFrame:
@@ -361,7 +468,7 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(used.view(np.int64)), *kept.columns], names=b.schema.names[:-1])
 
 
-_KINDS = "node long, used long, tree long, rec long, n long, set1 long, bit0 long, bit1 long"
+_KINDS = "node long, used long, slot long, rec long, n long, set1 long, bit0 long, bit1 long"
 _RECORD = [x.split()[0] for x in _KINDS.split(", ")]
 
 
@@ -371,43 +478,52 @@ def near_duplicates(docs: DataFrame, small: int = SMALL, differs: int = SKETCH_D
     sets = sketch.where("n > 0 and doc_id is not null").groupBy("set1", "set2", "n").agg(F.min("doc_id").alias("rec"))
     members = cut_lineage(sketch.select("doc_id", "n", "set1", "set2").join(sets, ["set1", "set2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rec", "doc_id").alias("rec")))
     record = sketch.where("n > 0").join(sets.select(F.col("rec").alias("doc_id"), "set1", "set2", "n"), ["doc_id", "set1", "set2", "n"], "left_semi").withColumnRenamed("doc_id", "rec")
-    tokens = record.select("rec", "set1", "tokens")
-    open_ = _shared(record.select(F.inline("nodes"), "rec", "n", "set1", "bit0", "bit1").select(*_RECORD))
+    record = cut_lineage(record.drop("set2").dropDuplicates(["rec", "set1"]))
     comp = None
 
     def named(rows: DataFrame) -> DataFrame:
         """Rows with the component of their record, as far as it is known."""
+        rows = rows.select(*_RECORD)
         if comp is None:
             return rows.withColumn("comp", F.col("rec"))
         return rows.join(comp.withColumnRenamed("node", "rec"), "rec", "left").withColumn("comp", F.coalesce("component", "rec")).drop("component")
 
-    def link(blocks: DataFrame) -> bool:
+    def link(active: DataFrame) -> None:
         """Compare blocks; components take in what was found."""
         nonlocal comp
-        new = cut_lineage(compare(blocks, docs, differs))
-        if new.isEmpty():
-            return False
-        old = [] if comp is None else [comp.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))]
-        comp = cut_lineage(components(reduce(DataFrame.unionByName, old, new)))
-        return True
-
-    waves = [F.col("tree") < FIRST, F.col("tree") >= FIRST]
-    while not open_.isEmpty():
-        for wave in waves:  # small nodes as a whole, pivots of large ones, then what these leave open
-            rows = cut_lineage(named(open_.where(wave)))
-            sizes = cut_lineage(_sizes(rows))
-            few, many = sizes.where(F.col("others") <= small), sizes.where(F.col("others") > small)
-            link(_exhaustive(rows, few).unionByName(_stars(rows, many)))
-        rows = cut_lineage(named(open_))
+        new = cut_lineage(compare(active, docs, record.select("rec", "set1", "nodes"), open_nodes, differs))
+        if not new.isEmpty():
+            old = [] if comp is None else [comp.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))]
+            comp = cut_lineage(components(reduce(DataFrame.unionByName, old, new)))
+
+    def active_in(blocks: DataFrame) -> DataFrame:
+        return _dealt(blocks.select(*_BLOCK_NAMES)).mapInArrow(_active(differs), _BLOCK)
+
+    # The first level moves keys alone until it is known which nodes have two records.
+    thin = record.select("rec", "set1", F.inline("nodes")).select("node", "used", "slot", "rec", "set1")
+    shared = thin.repartition("node").sortWithinPartitions("node").mapInArrow(_several, "node long, used long, slot long, rec long, set1 long")
+    level = named(shared.join(record.select("rec", "set1", "n", "bit0", "bit1"), ["rec", "set1"]))
+    open_nodes = None
+    while True:
+        dealt = level.select(*_RECORD, "comp").repartition("node").sortWithinPartitions("node", "rec")
+        read = cut_lineage(dealt.mapInArrow(_nodes(differs, min(small + 1, BLOCK_RECORDS), BLOCK_SHINGLES), f"{_KINDS}, comp long, big boolean"))
+        rows = read.where("big").drop("big")
         sizes = cut_lineage(_sizes(rows))
         few, many = sizes.where(F.col("others") <= small), sizes.where(F.col("others") > small)
-        # Nodes that were small have been compared already; those whose pivot made them small have not.
-        link(_exhaustive(rows, few.where(F.col("records") > small)))
-        large = rows.join(many.select("node"), "node", "left_semi").select(*_RECORD)
+        if open_nodes is None:
+            open_nodes = bloom.build(many, "node", OPEN_BITS)
+        whole = read.where("not big").select(F.col("node").alias("block"), "rec", "comp", F.lit(True).alias("other"), "n", "set1", "bit0", "bit1", "slot")
+        link(whole.unionByName(active_in(_exhaustive(rows, few).unionByName(_stars(rows, many)))))
         if many.isEmpty():
             break
-        open_ = _shared(large.join(tokens, ["rec", "set1"]).select(*_RECORD, "tokens").mapInArrow(_branch, _KINDS).distinct())
-        waves = [F.lit(True)]
+        # What the pivots have left open: compared now, or branched on.
+        rows = cut_lineage(named(rows.join(many.select("node"), "node", "left_semi")).withColumn("slot", F.lit(DEEP).cast("long")))
+        sizes = cut_lineage(_sizes(rows))
+        link(active_in(_exhaustive(rows, sizes.where(F.col("others") <= small))))
+        large = rows.join(sizes.where(F.col("others") > small).select("node"), "node", "left_semi").select(*_RECORD)
+        level = cut_lineage(named(large.join(record.select("rec", "set1", "tokens"), ["rec", "set1"]).select(*_RECORD, "tokens").mapInArrow(_branch, _KINDS).distinct()))
+        if level.isEmpty():
+            break
     # A document id with several rows belongs to each of its records.
     same = members.where("rec <> doc_id").select(F.col("doc_id").alias("a"), F.col("rec").alias("b"))
     every = components(same if comp is None else comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(same))
