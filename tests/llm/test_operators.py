@@ -155,10 +155,23 @@ def test_blocks_that_go_on_over_batches():
         assert all(not set(a["block"]) & set(b["block"]) for i, a in enumerate(got) for b in got[i + 1 :])
 
 
+def test_nodes_and_single_rows_over_batches():
+    """Whatever the batches: nodes that fit give rows with a partner, larger ones all rows, single rows go."""
+    rng = np.random.default_rng(0)
+    for _ in range(100):
+        k = np.sort(rng.integers(0, rng.integers(2, 12), rng.integers(1, 40)))
+        t = pa.table({"node": k, "used": k, "slot": k, "rec": np.arange(len(k)), "n": np.full(len(k), 10), "set1": k, "bit0": k * 0, "bit1": k * 0, "comp": np.arange(len(k))})
+        size = collections.Counter(k.tolist())
+        batches = lambda: iter(t.to_batches(max_chunksize=int(rng.integers(1, 15))))
+        got = [x for b in nearjoin._nodes(22, 5, 1000)(batches()) for x in zip(b.column("rec").to_pylist(), b.column("big").to_pylist(), strict=True)]
+        assert sorted(got) == [(i, size[x] > 5) for i, x in enumerate(k.tolist()) if size[x] > 1]
+        assert sorted(x for b in nearjoin._several(batches()) for x in b.column("rec").to_pylist()) == [i for i, x in enumerate(k.tolist()) if size[x] > 1]
+
+
 def test_a_hot_group_is_dealt_to_several_blocks(spark, monkeypatch):
     """Others meet all records of their node once or more, whatever the number of blocks."""
     monkeypatch.setattr(nearjoin, "BLOCK_RECORDS", 7)
-    rows = spark.range(100).select(F.lit(5).cast("long").alias("node"), F.col("id").alias("rec"), F.col("id").alias("comp"), F.lit(10).cast("long").alias("n"), F.col("id").alias("set1"), F.col("id").alias("bit0"), F.col("id").alias("bit1"))
+    rows = spark.range(100).select(F.lit(5).cast("long").alias("node"), F.col("id").alias("rec"), F.col("id").alias("comp"), F.lit(10).cast("long").alias("n"), F.col("id").alias("set1"), F.col("id").alias("bit0"), F.col("id").alias("bit1"), F.lit(0).cast("long").alias("slot"))
     rows = rows.withColumn("comp", F.when(F.col("rec") >= 20, F.lit(20).cast("long")).otherwise(F.col("rec")))
     sizes = nearjoin._sizes(rows)
     assert sizes.first().asDict() == {"node": 5, "major": 20, "records": 100, "others": 20, "shingles": 1000, "other_shingles": 200}
