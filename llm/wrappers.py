@@ -47,6 +47,10 @@ CLOSED_BY = {"p": frozenset("address article aside blockquote div dl fieldset fo
 #: Elements, and words in classes, ids and roles, that never hold main text; the second of each only outside the article.
 NEVER = frozenset("nav footer aside form button head dialog menu".split())
 NEVER_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu menus breadcrumb breadcrumbs footer sidebar aside widget cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe signup comment comments commentlist respond replies disqus discussion share sharing social related recommended pagination pager login search toolbar copyright complementary contentinfo".split())
+#: Of these words, those that articles use in other senses as well ("related work", "share price"): inside the article they
+#: count only in a name that holds nothing else but such words and the plain words of page building below.
+OPEN_WORDS = frozenset("related share sharing social discussion notice notices alert recommended search menu menus navigation subscribe login replies respond copyright comment comments notification overlay modal widget promotion promo".split())
+PLAIN_WORDS = frozenset("area article articles bar block body bottom box button buttons container content count entry feed form group header icon icons inline inner item items left link links list main module outer page panel post posts reader right row section site stories story text title tools top user wrap wrapper".split())
 OUTSIDE = frozenset(["header"])
 OUTSIDE_WORDS = frozenset("header masthead banner topbar".split())
 MAIN = frozenset(["article", "main"])
@@ -68,9 +72,13 @@ def host_of(url: str | None) -> str:
 
 @lru_cache(1 << 14)
 def key_of(tag: str, attributes: str) -> str:
-    """A tag with the words of its class, id and role: what must agree for two tags to be aligned."""
-    names = sorted({w.lower() for m in _ATTRIBUTE.finditer(attributes) for w in _WORD.findall(m[2] or m[3] or m[4] or "")})
-    return ".".join([tag, *names])
+    """A tag with the words of its class, id and role: what must agree for two tags to be aligned.
+
+    "!" stands among them if one of the names, taken as a whole, speaks against main text in an article too.
+    """
+    names = [frozenset(w.lower() for w in _WORD.findall(name)) for m in _ATTRIBUTE.finditer(attributes) for name in (m[2] or m[3] or m[4] or "").split()]
+    denies = any(n & NEVER_WORDS - OPEN_WORDS or n & OPEN_WORDS and n <= NEVER_WORDS | PLAIN_WORDS for n in names)
+    return ".".join([tag, *(["!"] if denies else []), *sorted(frozenset().union(*names))])
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
@@ -282,7 +290,7 @@ def place(address: str) -> str:
     for key in address.split("/"):
         tag, *names = key.split(".")
         never = tag not in ("html", "body") and bool(NEVER_WORDS.intersection(names))
-        if tag in NEVER or never and (inside != "body" or tag == "article"):
+        if tag in NEVER or "!" in names and (inside != "body" or tag == "article"):
             return ""
         denied |= never
         if tag in MAIN or not never and "main" in names and tag in ("div", "section"):
@@ -308,6 +316,8 @@ def text_of(page: str, main: dict[str, str], between: str = "\n") -> str:
     for kind, key, text, block in seen:
         if kind != "#":
             new |= key.split(".", 1)[0] not in INLINE
+        elif text == " " and blocks and not new and not block:
+            blocks[-1].append(text)  # a blank between two elements of a block, listed or not
         elif main.get(key) == best:
             if new or block or not blocks:
                 blocks.append([])
