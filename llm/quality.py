@@ -38,7 +38,7 @@ def train_dictionary(texts: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
     try:
         return zstandard.train_dictionary(size, pieces).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(pieces)[:size]
+        return b"".join(pieces)  # too few strings to choose from: all of them
 
 
 class Sizes:
@@ -127,17 +127,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
     return fit_texts([t for _, y, t in got if y == 1], [t for _, y, t in got if y == 0], counts.get(1, 0), counts.get(0, 0))
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The input rows with ``quality_score`` appended (an older column of that name is replaced)."""
-    docs = docs.drop("quality_score")
-    schema = StructType([*docs.schema.fields, StructField("quality_score", DoubleType())])
+def score(docs: DataFrame, model: Model, text: str = "text", out: str = "quality_score") -> DataFrame:
+    """The input rows with the score appended as ``out`` (an older column of that name is replaced)."""
+    docs = docs.drop(out)
+    schema = StructType([*docs.schema.fields, StructField(out, DoubleType())])
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = Sizes(model.good, model.bad)
         for b in (whole.slice(i, 256) for whole in batches for i in range(0, max(1, whole.num_rows), 256)):
             texts = [t or b"" for t in b.column(at).cast(pa.large_binary() if pa.types.is_large_string(b.column(at).type) else pa.binary()).to_pylist()]
-            yield pa.record_batch([*b.columns, pa.array(model.scores(texts, tool), pa.float64())], names=[*b.schema.names, "quality_score"])
+            yield pa.record_batch([*b.columns, pa.array(model.scores(texts, tool), pa.float64())], names=[*b.schema.names, out])
 
     return docs.mapInArrow(run, schema)
 
@@ -149,4 +149,7 @@ def op4(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier does not reject, with their columns unchanged."""
-    return score(docs, fit(docs, labels)).where(F.col("quality_score") >= threshold).drop("quality_score")
+    own = "quality_score"
+    while own in docs.columns:  # a column of the table's own stays
+        own += "_"
+    return score(docs, fit(docs, labels), out=own).where(F.col(own) >= threshold).drop(own)

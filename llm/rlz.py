@@ -7,7 +7,7 @@ another context, the phrase lies on a factor boundary and its windows are looked
 one. Adjoining factors are joined greedily, and the stretches of at least ``WIDTH`` words that
 they cover are the duplicate spans.
 
-Defined results: null and empty texts have no words; texts of fewer than WIDTH words lose
+Defined results: doc_id is a bigint; null and empty texts have no words; texts of fewer than WIDTH words lose
 nothing; rows without an id neither lose words nor serve as reference; rows of one id are one
 document (a repeated row is no earlier document; if their texts differ, places found in any of
 them count for all). Extra columns are ignored.

@@ -11,7 +11,7 @@ A block holds the phrases of whole anchors, ``BLOCK_BYTES`` at most unless one a
 an anchor with more than ``HOT`` different phrases does not enter a block: its windows are dealt
 one by one by the hash of their whole content, exactly and without any group to gather.
 
-Defined results: null and empty texts have no bytes and no spans; texts shorter than WIDTH lose
+Defined results: doc_id is a bigint; null and empty texts have no bytes and no spans; texts shorter than WIDTH lose
 nothing; rows without an id neither lose bytes nor count as another place; a repeated row (same
 id, same text) is another place, so both lose all they have from WIDTH bytes on.
 """
