@@ -209,10 +209,10 @@ def _trained(words: tuple[str, ...]) -> Tagger:
 
 
 def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Tagger:
-    """Train on labelled snippets written with the words of at most ``rows`` documents."""
+    """Train on labelled snippets written with the words of at most ``rows`` documents, taken whole (words of 1 to 24 characters)."""
     few = docs.where(F.length("text") > 0).select("doc_id", F.xxhash64("text").alias("h")).orderBy("h", "doc_id").limit(rows)
     got = docs.select("doc_id", "text").join(F.broadcast(few.select("doc_id")), "doc_id", "left_semi")
-    head = got.select(F.slice(F.split("text", r"\s+"), 1, 60).alias("w")).select(F.explode("w").alias("w")).where(F.length("w").between(1, 24)).distinct()
+    head = got.select(F.split("text", r"\s+").alias("w")).select(F.explode("w").alias("w")).where(F.length("w").between(1, 24)).distinct()
     return _trained(tuple(sorted(r["w"] for r in head.collect())) or ("the", "and", "of"))
 
 
