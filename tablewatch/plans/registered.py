@@ -1087,6 +1087,7 @@ def q_results_history_pruned(spark, sf):
 
 WH_JOBS = {"stg_customers": "job_1", "stg_orders": "job_2", "stg_order_items": "job_3", "stg_products": "job_4",
            "stg_sellers": "job_5", "Fact_Order_Items": "job_6"}
+# Column names and types of the staged tables and the fact.
 WH_SCHEMAS = {
     "stg_customers": [("customer_id", "bigint"), ("customer_unique_id", "string"), ("customer_zip_code_prefix", "string"),
                       ("customer_city", "string"), ("customer_state", "string")],

@@ -109,21 +109,11 @@ def node_status(edges: DataFrame, results: DataFrame) -> DataFrame:
         "table_name", F.coalesce(F.col("status"), F.lit("not checked")).alias("status"))
 
 
-def table_drilldown(edges: DataFrame, results: DataFrame, tables: DataFrame | None = None) -> DataFrame:
-    """Per table: number of upstream and downstream tables, latest status, alert flag.
-
-    For the whole graph one downstream closure serves both directions (the upstream count
-    of a node is the number of closure pairs that end in it).
-    """
-    if tables is None:
-        starts = nodes_of(edges)
-        pairs = downstream(edges, starts)
-        up = pairs.groupBy(F.col("downstream_table").alias("table_name")).agg(F.count(F.lit(1)).alias("n_upstream"))
-        down = pairs.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_downstream"))
-    else:
-        starts = tables.select("table_name")
-        up = upstream(edges, starts).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_upstream"))
-        down = downstream(edges, starts).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_downstream"))
+def table_drilldown(edges: DataFrame, results: DataFrame, tables: DataFrame) -> DataFrame:
+    """Per table of ``tables`` (column ``table_name``): number of upstream and downstream tables, latest status, alert flag."""
+    starts = tables.select("table_name")
+    up = upstream(edges, starts).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_upstream"))
+    down = downstream(edges, starts).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_downstream"))
     st = status_per_table(results)
     j = starts.distinct().join(up, "table_name", "left").join(down, "table_name", "left").join(st, "table_name", "left")
     return j.select(

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Columns of the star schema.
 DIM_CUSTOMER_COLUMNS = ("customer_id", "customer_unique_id", "customer_city", "customer_state", "customer_zip_code_prefix")
 DIM_PRODUCT_COLUMNS = ("product_id", "product_category_name", "product_weight_g", "product_length_cm",
                        "product_height_cm", "product_width_cm")
