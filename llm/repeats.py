@@ -86,9 +86,13 @@ def _settled(doc: np.ndarray, place: np.ndarray, n: np.ndarray) -> pa.RecordBatc
     return _batch(doc, np.zeros(len(doc), np.int64), doc, place, n, np.ones(len(doc), bool), 1)
 
 
-def _send(rule: str, anchor: np.ndarray, content: np.ndarray, doc: np.ndarray, place: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of a batch: what it can settle by itself, and of the rest what other batches must see."""
+def _send(rule: str, anchor: np.ndarray, content: np.ndarray, doc: np.ndarray, place: np.ndarray, n: np.ndarray, many: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch: what it can settle by itself, and of the rest what other batches must see.
+
+    many: contents known to occur again (with "anywhere").
+    """
     order = np.lexsort((place, doc, content, anchor))
+    known = np.zeros(len(doc), bool) if many is None else many[order]
     anchor, content, doc, place, n = (x[order] for x in (anchor, content, doc, place, n))
     head = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])]) if len(doc) else np.zeros(0, int)
     size = np.diff(np.r_[head, len(doc)])
@@ -97,7 +101,7 @@ def _send(rule: str, anchor: np.ndarray, content: np.ndarray, doc: np.ndarray, p
         many = np.zeros(len(doc), bool)
         sent = ~gone
     else:
-        many = gone = np.repeat(size > 1, size)
+        many = gone = np.repeat((size > 1) | (np.bitwise_or.reduceat(known, head) if len(head) else known), size)
         sent = np.zeros(len(doc), bool)
         sent[head] = True
     yield _batch(anchor[sent], content[sent], doc[sent], place[sent], n[sent], many[sent], 0)
@@ -131,10 +135,7 @@ def send_windows(docs: DataFrame, which: DataFrame, units: Units, width: int, ru
                 h = WORDS.runs(WORDS.prefix(values), width)[at]
                 row, many = np.repeat(row, n), np.repeat(many, n)
                 doc, place = ids[i + row], at - first[row]
-                if rule == "earlier":
-                    yield from _send(rule, h, h, doc, place, np.ones(len(h), np.int64))
-                else:  # copies of a phrase already stand for themselves
-                    yield _batch(h, h, doc, place, np.ones(len(h), np.int64), many, 0)
+                yield from _send(rule, h, h, doc, place, np.ones(len(h), np.int64), many if rule == "anywhere" else None)
 
     return with_stretches(docs, which).mapInArrow(run, ROW)
 
