@@ -166,12 +166,12 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _pairs(cols: list[np.ndarray], differs: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows of one block, one of them another, whose sizes and sketches allow the similarity; about a million tested at once."""
+    """Pairs of rows of one block, one of them another, whose sizes and sketches allow the similarity; about a quarter of a million tested at once."""
     block, _, comp, other, n, _, bit0, bit1, _ = cols
     left = np.searchsorted(block, block, "right") - np.arange(len(block)) - 1
     lo, upto = 0, np.cumsum(left)
     while lo < len(block):
-        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + (1 << 20))))
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + (1 << 18))))
         i = np.repeat(np.arange(lo, hi), left[lo:hi])
         j = ranges(np.arange(lo, hi) + 1, left[lo:hi])
         ok = (other[i] | other[j]) & (comp[i] != comp[j])
@@ -318,7 +318,7 @@ def common(sets: list[np.ndarray]) -> np.ndarray:
     if int((size * size).sum()) * 16 < m * m * len(size):
         lo, upto = 0, np.cumsum(size * size)
         while lo < len(size):
-            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + (1 << 21))))
+            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + (1 << 19))))
             rows = np.arange(first[lo], first[hi])
             wide = size[value[rows]]
             total += np.bincount(np.repeat(owner[rows], wide) * m + owner[ranges(first[value[rows]], wide)], minlength=m * m)
@@ -411,14 +411,18 @@ def _sizes(named: DataFrame) -> DataFrame:
     return whole.select("node", F.col("top.comp").alias("major"), "records", "others", "shingles", (F.col("shingles") - F.col("top.w")).alias("other_shingles"))
 
 
+def _parts(records: str, shingles: str):
+    """How many blocks hold so much."""
+    return F.greatest(F.lit(1), F.ceil(F.col(records) / F.lit(BLOCK_RECORDS)), F.ceil(F.col(shingles) / F.lit(BLOCK_SHINGLES))).cast("long")
+
+
 def _deal(rows: DataFrame) -> DataFrame:
     """Blocks of rows (node, rec, comp, other, n, ..., records, others, shingles, other_shingles): every other one of a node meets all its records.
 
     A node that fits is one block. Otherwise all records are dealt to ``wide`` and the others to ``high`` parts by
     hash, a block for each two parts.
     """
-    parts = lambda records, shingles: F.ceil(F.greatest(F.col(records) / F.lit(BLOCK_RECORDS), F.col(shingles) / F.lit(BLOCK_SHINGLES))).cast("long")
-    rows = rows.withColumn("wide", parts("records", "shingles")).withColumn("high", F.when(F.col("wide") == 1, F.lit(1).cast("long")).otherwise(F.greatest(F.lit(1).cast("long"), parts("others", "other_shingles"))))
+    rows = rows.withColumn("wide", _parts("records", "shingles")).withColumn("high", F.when(F.col("wide") == 1, F.lit(1).cast("long")).otherwise(_parts("others", "other_shingles")))
     at = lambda i, j, other: F.struct(F.xxhash64("node", i, j).alias("block"), other.alias("other"))
     mine, own = F.pmod(F.xxhash64("rec"), F.col("wide")), F.pmod(F.xxhash64("rec", F.lit(1)), F.col("high"))
     as_all = F.transform(F.sequence(F.lit(0).cast("long"), F.col("high") - 1), lambda i: at(i, mine, F.lit(False)))
@@ -428,8 +432,8 @@ def _deal(rows: DataFrame) -> DataFrame:
     return rows.withColumn("place", F.explode(places)).select(F.col("place.block").alias("block"), "rec", "comp", F.col("place.other").alias("other"), "n", "set1", "bit0", "bit1", "slot")
 
 
-def _pivots(rows: DataFrame) -> DataFrame:
-    """(node, pivot): the record of each node that agrees best with the majority of its sketches."""
+def _majority(rows: DataFrame) -> DataFrame:
+    """(node, most0, most1): the bits that most sketches of a node have."""
     sums = [F.sum(F.shiftright(F.col(b), k).bitwiseAND(F.lit(1))) for b in ("bit0", "bit1") for k in range(64)]
     totals = rows.groupBy("node").agg(F.count("*").alias("size"), F.array(*sums).alias("ones"))
 
@@ -440,9 +444,14 @@ def _pivots(rows: DataFrame) -> DataFrame:
                 bits = np.packbits((2 * ones > b.column(1).to_numpy()[:, None]).reshape(-1, 2, 64)[:, :, ::-1], axis=2).view(">i8").reshape(-1, 2).astype(np.int64)
                 yield pa.record_batch([b.column(0), pa.array(bits[:, 0]), pa.array(bits[:, 1])], names=["node", "most0", "most1"])
 
-    most = totals.mapInArrow(run, "node long, most0 long, most1 long")
+    return totals.mapInArrow(run, "node long, most0 long, most1 long")
+
+
+def _measured(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The rows of the nodes of ``sizes``, with the parts of their node (wide) and how far each is from the majority (apart)."""
+    node = _majority(rows).join(sizes.select("node", _parts("records", "shingles").alias("wide")), "node")
     apart = F.bit_count(F.col("bit0").bitwiseXOR(F.col("most0")).bitwiseOR(F.col("bit1").bitwiseXOR(F.col("most1"))))
-    return rows.join(most, "node").groupBy("node").agg(F.min(F.struct(apart.alias("apart"), "rec")).alias("best")).select("node", F.col("best.rec").alias("pivot"))
+    return rows.join(node, "node").withColumn("apart", apart).drop("most0", "most1")
 
 
 def _exhaustive(named: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -450,11 +459,14 @@ def _exhaustive(named: DataFrame, sizes: DataFrame) -> DataFrame:
     return _deal(named.join(sizes, "node").withColumn("other", F.col("comp") != F.col("major")))
 
 
-def _stars(named: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Blocks in which the pivots of large nodes meet all records."""
-    rows = named.join(sizes, "node")
-    rows = rows.join(_pivots(rows), "node").withColumn("other", F.col("rec") == F.col("pivot"))
-    return _deal(rows.withColumn("others", F.lit(1).cast("long")).withColumn("other_shingles", F.lit(0).cast("long")))
+def _stars(measured: DataFrame) -> DataFrame:
+    """Blocks in which the pivot of each large node, the record nearest to its majority, meets all records."""
+    own = ["rec", "comp", "n", "set1", "bit0", "bit1", "slot", "wide"]
+    pivots = measured.groupBy("node").agg(F.min(F.struct("apart", *own)).alias("best")).select("node", *(f"best.{c}" for c in own))
+    there = lambda part, other: (F.xxhash64("node", part).alias("block"), "rec", "comp", F.lit(other).alias("other"), "n", "set1", "bit0", "bit1", "slot")
+    every = measured.select(*there(F.pmod(F.xxhash64("rec"), F.col("wide")), False))
+    pivots = pivots.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("wide") - 1)))
+    return every.unionByName(pivots.select(*there(F.col("part"), True)))
 
 
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -475,10 +487,10 @@ _RECORD = [x.split()[0] for x in _KINDS.split(", ")]
 def near_duplicates(docs: DataFrame, small: int = SMALL, differs: int = SKETCH_DIFFERS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document; component_id is the smallest id reachable."""
     sketch = cut_lineage(docs.select("doc_id", "text").mapInArrow(_sketch, _SKETCH))
-    sets = sketch.where("n > 0 and doc_id is not null").groupBy("set1", "set2", "n").agg(F.min("doc_id").alias("rec"))
-    members = cut_lineage(sketch.select("doc_id", "n", "set1", "set2").join(sets, ["set1", "set2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rec", "doc_id").alias("rec")))
-    record = sketch.where("n > 0").join(sets.select(F.col("rec").alias("doc_id"), "set1", "set2", "n"), ["doc_id", "set1", "set2", "n"], "left_semi").withColumnRenamed("doc_id", "rec")
-    record = cut_lineage(record.drop("set2").dropDuplicates(["rec", "set1"]))
+    # Equal sets have equal sketches: a record takes any of its documents', and the least id.
+    same = [F.first(c).alias(c) for c in ("bit0", "bit1", "tokens", "nodes")]
+    record = cut_lineage(sketch.where("n > 0 and doc_id is not null").groupBy("set1", "set2", "n").agg(F.min("doc_id").alias("rec"), *same))
+    members = cut_lineage(sketch.select("doc_id", "n", "set1", "set2").join(record.select("set1", "set2", "n", "rec"), ["set1", "set2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rec", "doc_id").alias("rec")))
     comp = None
 
     def named(rows: DataFrame) -> DataFrame:
@@ -513,19 +525,28 @@ def near_duplicates(docs: DataFrame, small: int = SMALL, differs: int = SKETCH_D
         if open_nodes is None:
             open_nodes = bloom.build(many, "node", OPEN_BITS)
         whole = read.where("not big").select(F.col("node").alias("block"), "rec", "comp", F.lit(True).alias("other"), "n", "set1", "bit0", "bit1", "slot")
-        link(whole.unionByName(active_in(_exhaustive(rows, few).unionByName(_stars(rows, many)))))
         if many.isEmpty():
+            link(whole.unionByName(active_in(_exhaustive(rows, few))))
             break
+        large = cut_lineage(_measured(rows, many))
+        link(whole.unionByName(active_in(_exhaustive(rows, few).unionByName(_stars(large)))))
         # What the pivots have left open: compared now, or branched on.
-        rows = cut_lineage(named(rows.join(many.select("node"), "node", "left_semi")).withColumn("slot", F.lit(DEEP).cast("long")))
+        rows = cut_lineage(named(large).withColumn("slot", F.lit(DEEP).cast("long")))
         sizes = cut_lineage(_sizes(rows))
-        link(active_in(_exhaustive(rows, sizes.where(F.col("others") <= small))))
-        large = rows.join(sizes.where(F.col("others") > small).select("node"), "node", "left_semi").select(*_RECORD)
-        level = cut_lineage(named(large.join(record.select("rec", "set1", "tokens"), ["rec", "set1"]).select(*_RECORD, "tokens").mapInArrow(_branch, _KINDS).distinct()))
-        if level.isEmpty():
+        few, many = sizes.where(F.col("others") <= small), sizes.where(F.col("others") > small)
+        if not few.isEmpty():
+            link(active_in(_exhaustive(rows, few)))
+        if many.isEmpty():
             break
+        rows = rows.join(many.select("node"), "node", "left_semi").select(*_RECORD)
+        level = named(rows.join(record.select("rec", "set1", "tokens"), ["rec", "set1"]).select(*_RECORD, "tokens").mapInArrow(_branch, _KINDS).distinct())
     # A document id with several rows belongs to each of its records.
-    same = members.where("rec <> doc_id").select(F.col("doc_id").alias("a"), F.col("rec").alias("b"))
+    same = members.where("rec <> doc_id").select(F.col("doc_id").alias("a"), F.col("rec").alias("b")).distinct()
+    several = members.groupBy("doc_id").agg(F.min("rec").alias("least"), F.max("rec").alias("most")).where("least <> most")
+    if several.isEmpty():  # then an id has the component of its one record
+        whole = members if comp is None else members.join(comp.withColumnRenamed("node", "rec"), "rec", "left")
+        found = F.col("rec") if comp is None else F.coalesce("component", "rec")
+        return whole.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), found).alias("component_id"))
     every = components(same if comp is None else comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(same))
     return members.join(every.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
