@@ -269,6 +269,14 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id")
     return rows.mapInArrow(run, f"{key} {rows.schema[0].dataType.simpleString()}, ids binary")
 
 
+def decode_ids(ranks: Ranks, ids: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """The bytes that the ids stand for, row by row; first: where each row's ids begin (n + 1)."""
+    n = ranks.length[ids]
+    flat = ranks.flat[ranges(ranks.start[ids], n)].tobytes()
+    cut = np.concatenate([[0], np.cumsum(n)])[first].tolist()
+    return [flat[s:e] for s, e in zip(cut[:-1], cut[1:], strict=True)]
+
+
 def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     """(key, ids, decoded): the bytes that the ids stand for; a null is an empty row of ids."""
 
@@ -277,18 +285,31 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
         for b in batches:
             for i, data, off in chunks(b.column(1)):
                 ids = data.view("<u4").astype(np.int64) if len(data) % 4 == 0 and data.flags.aligned else np.frombuffer(data.tobytes(), "<u4").astype(np.int64)
-                n = ranks.length[ids]
-                flat = ranks.flat[ranges(ranks.start[ids], n)].tobytes()
-                cut = np.concatenate([[0], np.cumsum(n)])[off // 4].tolist()
-                values = [flat[s:e] for s, e in zip(cut[:-1], cut[1:], strict=True)]
+                values = decode_ids(ranks, ids, off // 4)
                 yield pa.record_batch([b.column(0).slice(i, len(values)), b.column(1).slice(i, len(values)), pa.array(values, pa.binary())], names=[key, "ids", "decoded"])
 
     rows = encoded.select(key, "ids")
     return rows.mapInArrow(run, f"{key} {rows.schema[0].dataType.simpleString()}, ids binary, decoded binary")
 
 
+def round_trip(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, ids, decoded): ``decode(encode(docs))`` in one pass, so a task keeps one worker and one set of tables."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = load_ranks(_local(path))
+        for b in batches:
+            for i, data, off in chunks(b.column(1)):
+                ids, first = encode_chunk(ranks, data, off)
+                flat = ids.astype("<u4").tobytes()
+                values = [flat[4 * s : 4 * e] for s, e in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+                yield pa.record_batch([b.column(0).slice(i, len(values)), pa.array(values, pa.binary()), pa.array(decode_ids(ranks, ids, first), pa.binary())], names=[key, "ids", "decoded"])
+
+    rows = docs.select(F.col(key), F.col(text).alias("text"))
+    return rows.mapInArrow(run, f"{key} {rows.schema[0].dataType.simpleString()}, ids binary, decoded binary")
+
+
 def op8(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text, through encode and decode."""
-    both = decode(encode(docs, path), path)
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text, encoded and decoded again from the ids."""
+    both = round_trip(docs, path)
     ids = F.coalesce("ids", F.lit(b""))
     return both.select("doc_id", (F.length(ids) / 4).cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2(F.coalesce("decoded", F.lit(b"")), 256).alias("decoded_sha256"))

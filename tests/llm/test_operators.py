@@ -183,17 +183,21 @@ def test_a_hot_group_is_dealt_to_several_blocks(spark, monkeypatch):
     assert met >= {frozenset((a, b)) for a in range(20) for b in range(100) if a != b}
 
 
-def test_pivot_is_the_text_that_others_were_copied_from(spark):
+def test_pivot_is_the_text_that_others_were_copied_from(spark, monkeypatch):
+    monkeypatch.setattr(nearjoin, "BLOCK_RECORDS", 15)
     rng = np.random.default_rng(2)
     base = rng.integers(0, 2, (2, 64))
 
     def row(k, flips):
         bits = base.copy()
         bits[:, rng.choice(64, flips, replace=False)] ^= 1
-        return 1, k, *(int(np.packbits(b[::-1]).view(">i8")[0]) for b in bits)
+        return 1, k, k, 10, k, *(int(np.packbits(b[::-1]).view(">i8")[0]) for b in bits), 7
 
-    rows = spark.createDataFrame([row(k, 0 if k == 17 else 20) for k in range(40)], "node long, rec long, bit0 long, bit1 long")
-    assert [tuple(r) for r in nearjoin._pivots(rows).collect()] == [(1, 17)]
+    rows = spark.createDataFrame([row(k, 0 if k == 17 else 20) for k in range(40)], "node long, rec long, comp long, n long, set1 long, bit0 long, bit1 long, slot long")
+    blocks = nearjoin._stars(nearjoin._measured(rows, nearjoin._sizes(rows))).collect()
+    assert {r.rec for r in blocks if r.other} == {17} and len({r.block for r in blocks}) == 3
+    assert sorted(r.rec for r in blocks if not r.other) == list(range(40))
+    assert {r.block for r in blocks if r.other} == {r.block for r in blocks}
 
 
 def test_components(spark):
@@ -268,6 +272,8 @@ def test_bpe_equals_the_library(spark, odd):
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
     assert tokenize.op8(docs(spark, []), BPE_RANKS).collect() == []
+    apart = tokenize.decode(tokenize.encode(docs(spark, rows), BPE_RANKS), BPE_RANKS)
+    assert sorted(map(tuple, apart.collect())) == sorted(map(tuple, tokenize.round_trip(docs(spark, rows), BPE_RANKS).collect()))
 
 
 @pytest.fixture(scope="module")
