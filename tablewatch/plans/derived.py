@@ -195,13 +195,13 @@ def fx_scripts(part: DataFrame) -> DataFrame:
 
 
 def fx_script_files(supplier: DataFrame) -> DataFrame:
-    """Two script files per supplier, in the folder of its team and in the archive: equal names, and blanks in them."""
+    """Statements of script files (folder, job, value): one script per team and one in its archive, with a load for
+    each supplier of the team. File names are equal in all folders, and folders have blanks in their names."""
     s, team = F.col("s_suppkey").cast("string"), F.col("s_nationkey").cast("string")
-    text = F.format_string('IN = "raw_%s"\n\n\ndef run():\n    rows = spark.read.table(IN)\n    rows.write.saveAsTable("%s_%s")\n',
-                           s, F.col("kind"), s)
     kinds = supplier.withColumn("kind", F.explode(F.array(F.lit("stg"), F.lit("old"))))
+    value = F.format_string('rows_%s = spark.read.table("raw_%s")\nrows_%s.write.saveAsTable("%s_%s")', s, s, s, F.col("kind"), s)
     folder = F.concat(F.when(F.col("kind") == "old", F.lit("archive of ")).otherwise(F.lit("")), F.lit("team "), team)
-    return kinds.select(folder.alias("folder"), F.concat(F.lit("load "), s).alias("job"), text.alias("value"))
+    return kinds.select(folder.alias("folder"), F.lit("all loads").alias("job"), value.alias("value"))
 
 
 # --- faults --------------------------------------------------------------------------------------

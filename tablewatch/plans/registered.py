@@ -1240,11 +1240,11 @@ def q_observed_load(spark, sf):
     return current_runs(read_events(spark, f"{at}/runs")).select("run_id", "job_name", "status", "rows_read", "rows_written", "error_message")
 
 
-@register("script_corpus", """SELECT CASE WHEN k = 'old' THEN 'archive of ' ELSE '' END || 'team ' || CAST(s_nationkey AS VARCHAR) || '/load ' || CAST(s_suppkey AS VARCHAR) AS job_name,
+@register("script_corpus", """SELECT CASE WHEN k = 'old' THEN 'archive of ' ELSE '' END || 'team ' || CAST(s_nationkey AS VARCHAR) || '/all loads' AS job_name,
   'raw_' || CAST(s_suppkey AS VARCHAR) AS source_table, k || '_' || CAST(s_suppkey AS VARCHAR) AS target_table
 FROM supplier, (VALUES ('stg'), ('old')) v(k)""")
 def q_script_corpus(spark, sf):
-    """Lineage of scripts in files: written one a folder, listed and read by Spark, parsed, traced."""
+    """Lineage of scripts in files: written a folder each, listed and read by Spark, parsed, traced."""
     at = scratch_path(spark, "scripts")
     files = D.fx_script_files(T(spark, sf, "supplier"))
     files.repartition("folder").write.partitionBy("folder", "job").text(at)
