@@ -1,6 +1,6 @@
 """Phrase collocation mining by direct-address tiling (operator 13).
 
-Words are counted first. The ``Sizes.head`` most frequent ones get ids by rank in their language, so the pairs
+Words are counted first. The most frequent ones, ``Sizes.head`` at most, get ids by rank in their language, so the pairs
 of head words fall into square tiles of ``TILE`` ids a side. In every task, tiles that hold many pairs are
 counted by a dense bincount, cell by cell, and kept until the task ends; the pairs of all other
 tiles, and those with a word behind the head (whose id is a hash), are counted as sorted
@@ -154,10 +154,26 @@ class Ids:
         return self.key_of[np.searchsorted(self.ordered, ids)]
 
 
+def most_frequent(counts: DataFrame, size: int) -> DataFrame:
+    """The rows with the largest n, ``size`` of them at most, all rows of a step of n (eight a power of two) or none.
+
+    The driver learns how many rows each step has (a few hundred numbers), so no task or driver gathers and sorts more.
+    """
+    step = F.floor(F.log2("n") * 8)
+    cut, taken = None, 0
+    for k, c in sorted(((r[0], r[1]) for r in counts.groupBy(step).count().collect()), reverse=True):
+        if taken + c > size:
+            break
+        cut, taken = k, taken + c
+    return counts.where(step >= cut) if cut is not None else counts.limit(0)
+
+
 def head(counts: DataFrame, key: str, group: str, size: int) -> Ids:
     """Ids of the most frequent rows (equal counts by key)."""
-    top = counts.select(F.col(key).alias("k"), F.col(group).alias("g"), "n").orderBy(F.desc("n"), "k").limit(size).toArrow()
-    return Ids(top.column(0).to_numpy().view(U64), top.column(1).to_numpy())
+    top = most_frequent(counts, size).select(F.col(key).alias("k"), F.col(group).alias("g"), "n").toArrow()
+    k, g, n = (top.column(c).to_numpy() for c in range(3))
+    order = np.lexsort((k, -n))
+    return Ids(k[order].view(U64), g[order])
 
 
 class Tiles:
@@ -307,8 +323,9 @@ def phrases(docs: DataFrame, least: int = LEAST, inside: int = INSIDE, sizes: Si
 
     keyed = pairs.mapInArrow(key, "a long, b long, n long, key long")
     frequent_pairs = bloom.build(keyed, "key", sizes.pair_bits)
-    top = keyed.orderBy(F.desc("n"), "a", "b").limit(sizes.head).toArrow()
-    a, b, k = (top.column(c).to_numpy().view(U64) for c in ("a", "b", "key"))
+    top = most_frequent(keyed, sizes.head).toArrow()
+    order = np.lexsort((top.column("b").to_numpy(), top.column("a").to_numpy(), -top.column("n").to_numpy()))
+    a, b, k = (top.column(c).to_numpy()[order].view(U64) for c in ("a", "b", "key"))
     _, single = np.unique(k, return_index=True)  # of pairs with one key the most frequent is ranked, the others are counted as coordinates
     single = np.sort(single)
     a, b, k = a[single], b[single], k[single]
