@@ -447,3 +447,12 @@ def test_forest_as_sql_equals_the_trees(spark):
     for r in rows:
         want = sum(secrets.predict(t, np.array(r[2:])) for t in trees) / len(trees)
         assert abs(got[r.doc_id, r.column] - want) < 1e-5
+
+
+def test_dictionary_words_are_counted_over_all_documents(spark):
+    rng = np.random.default_rng(8)
+    names = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(400)]
+    texts = [" ".join(names[i] for i in rng.integers(0, 400, 20)) for _ in range(900)] + [None, "", "Ab 12"]
+    n = collections.Counter(w for t in texts if t for w in re.split("[^a-z]+", t.lower()) if 3 <= len(w) <= 12)
+    want = sorted(n, key=lambda w: (-n[w], w))[: secrets.DICTIONARY]
+    assert secrets.fit(docs(spark, [*enumerate(texts)]))[1] == want
