@@ -2,13 +2,14 @@
 
 Closure for a *set* of start nodes at once, in a number of rounds that grows with the logarithm of the
 depth. ``jump`` holds the pairs joined by a walk of exactly ``span`` edges, first the edges themselves. A round
-joins the reached pairs with it, which reaches all nodes up to ``span`` edges further, keeps
-the least distance of each new pair (and with it the lexicographically least path, since all parts of
-shortest paths are shortest and of fixed length), drops pairs reached earlier by a left-anti join on
-``(root, node)``, and is checkpointed to the shared checkpoint folder. Then ``jump`` is joined with itself, so a
+joins the reached pairs with it, which reaches all nodes up to ``span`` edges further, drops pairs reached
+earlier by a left-anti join on ``(root, node)``, keeps the least distance of each new pair (and with it the
+lexicographically least path, since all parts of shortest paths are shortest and of fixed length), and is
+checkpointed to the shared checkpoint folder. Then ``jump`` is joined with itself, so a
 chain of 1,000 edges takes 10 rounds. Where that would cost more than it saves (its rows are counted before
 they are made; hubs and dense cycles have very many walks) the span stays as it is and rounds go on with it.
-The result is the same either way. The loop ends when a round reaches nothing new, so cycles terminate; a start node is
+The result is the same either way. Between the rounds a path is one text of its inner nodes (see ``_step``); the
+ends are columns already. The loop ends when a round reaches nothing new, so cycles terminate; a start node is
 never reported as its own descendant.
 
 Per round the driver reads two or three numbers. Everything else is distributed: the planner may broadcast a
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tablewatch.session import cut_lineage
@@ -42,6 +43,8 @@ def nodes_of(edges: DataFrame, src: str = "source_table", dst: str = "target_tab
 
 #: The span is doubled while the longer walks are at most so many times the edges and the reached pairs.
 DOUBLING = 4
+#: Nodes that may be broadcast, about 10 MB.
+FEW = 100_000
 
 
 def _walks(jump: DataFrame) -> int:
@@ -51,12 +54,27 @@ def _walks(jump: DataFrame) -> int:
     return int(into.join(from_, "node").agg(F.coalesce(F.sum(F.col("i") * F.col("o")), F.lit(0.0))).first()[0])
 
 
+def _step(node: Column) -> Column:
+    """A node's name as part of a path text: closed by NUL, with NUL and SOH inside names written so that texts
+    of equally many nodes are ordered as the lists of their names."""
+    return F.concat(F.replace(F.replace(node, F.lit("\1"), F.lit("\1\2")), F.lit("\0"), F.lit("\1\1")), F.lit("\0"))
+
+
+def _nodes(inner: Column) -> Column:
+    """The names of a path text."""
+    back = lambda x: F.replace(F.replace(x, F.lit("\1\1"), F.lit("\0")), F.lit("\1\2"), F.lit("\1"))
+    names = F.split(inner, "\\x00")
+    return F.transform(F.slice(names, F.lit(1), F.size(names) - 1), back)
+
+
 def _doubled(jump: DataFrame, with_paths: bool) -> DataFrame:
     """Pairs joined by a walk of twice the length, each with its least path."""
-    y = jump.select(F.col("_from").alias("_mid"), F.col("_to").alias("_end"), *([F.col("_path").alias("_rest")] if with_paths else []))
+    y = jump.select(F.col("_from").alias("_mid"), F.col("_to").alias("_end"), *([F.col("_inner").alias("_rest")] if with_paths else []))
     both = jump.join(y, jump["_to"] == y["_mid"])
     if with_paths:
-        return both.groupBy("_from", F.col("_end").alias("_to")).agg(F.min(F.concat("_path", "_rest")).alias("_path"))
+        # Dealt by the ends first: one sort of a bounded partition, not another one of all that a task has joined.
+        walks = both.select("_from", F.col("_end").alias("_to"), F.concat("_inner", _step(F.col("_mid")), "_rest").alias("_inner"))
+        return walks.repartition("_from", "_to").groupBy("_from", "_to").agg(F.min("_inner").alias("_inner"))
     return both.select("_from", F.col("_end").alias("_to")).distinct()
 
 
@@ -67,6 +85,13 @@ def _counted(df: DataFrame) -> tuple[DataFrame, int]:
     return out, obs.get["n"]
 
 
+def _walk_table(jump: DataFrame) -> tuple[DataFrame, int, int]:
+    """``jump`` cut from its lineage, its rows, and about how many nodes its walks set out from."""
+    obs = Observation(f"tw_walks_{uuid.uuid4().hex}")
+    out, n = _counted(jump.observe(obs, F.approx_count_distinct("_from").alias("n")))
+    return out, n, obs.get["n"]
+
+
 def reachable(
     edges: DataFrame,
     starts: DataFrame | None = None,
@@ -84,22 +109,34 @@ def reachable(
     Unknown start nodes simply reach nothing.
     """
     pairs = _edge_pairs(edges, direction, src, dst)
-    jump, n_edges = _counted(pairs.withColumn("_path", F.array("_to")) if with_paths else pairs)
+    jump, n_edges, n_sources = _walk_table(pairs.withColumn("_inner", F.lit("")) if with_paths else pairs)
     if starts is None:
         starts = nodes_of(edges, src, dst)
     seeds = starts.select(F.col("table_name").alias("root")).where(F.col("root").isNotNull()).distinct()
-    first = seeds.select("root", F.col("root").alias("node"), F.lit(0).alias("distance"), *([F.array("root").alias("path")] if with_paths else []))
+    first = seeds.select("root", F.col("root").alias("node"), F.lit(0).alias("distance"), *([F.lit("").alias("inner")] if with_paths else []))
     seen, n_seen = _counted(first)
     parts: list[DataFrame] = []
     known = span = 1  # all pairs nearer than ``known`` are in ``seen``
     while True:
         # Longer walks from every reached pair find each new pair at its own distance or more: the least counts.
         near = seen.where(F.col("distance") >= known - span)
+        if known > 1 and n_sources <= FEW:
+            # Most nodes of a deep graph have no long walk before them: their pairs need no shuffle to find that out.
+            near = near.join(F.broadcast(jump.select(F.col("_from").alias("node")).distinct()), "node", "left_semi")
         step = near.join(jump, near["node"] == jump["_from"])
-        reached = [(F.col("distance") + span).alias("distance"), *([F.concat("path", "_path").alias("path")] if with_paths else [])]
-        step = step.groupBy("root", F.col("_to").alias("node")).agg(F.min(F.struct(*reached)).alias("best")).select("root", "node", "best.*")
+        further = (F.col("distance") + span).alias("distance")
         # The reached set only grows: never broadcast it; a sort-merge join can spill.
-        step, n = _counted(step.join(seen.select("root", "node"), ["root", "node"], "left_anti"))
+        known_pairs = seen.select("root", "node")
+        if with_paths:
+            # Known pairs go before the paths are compared; the aggregate then needs no shuffle and no sort of its own.
+            middle = F.when(F.col("distance") > 0, _step(F.col("node"))).otherwise(F.lit(""))
+            step = step.select("root", F.col("_to").alias("node"), further, F.concat("inner", middle, "_inner").alias("inner"))
+            step = step.join(known_pairs, ["root", "node"], "left_anti")
+            step = step.groupBy("root", "node").agg(F.min(F.struct("distance", "inner")).alias("best")).select("root", "node", "best.*")
+        else:
+            step = step.select("root", F.col("_to").alias("node"), further).groupBy("root", "node").agg(F.min("distance").alias("distance"))
+            step = step.join(known_pairs, ["root", "node"], "left_anti")
+        step, n = _counted(step)
         if n == 0:
             break
         parts.append(step)
@@ -107,15 +144,15 @@ def reachable(
         n_seen += n
         known += span
         if span * 2 == known and _walks(jump) <= doubling * (n_edges + n_seen):
-            jump, _ = _counted(_doubled(jump, with_paths))
+            jump, n_walks, n_sources = _walk_table(_doubled(jump, with_paths))
             span *= 2
-    cols = ["root", "node", "distance"] + (["path"] if with_paths else [])
-    if not parts:
-        return first.limit(0).select(*cols)
-    out = parts[0].select(*cols)
+            if n_walks == 0:  # no walk of ``known`` edges, so nothing is that far
+                break
+    out = parts[0] if parts else first.limit(0)
     for p in parts[1:]:
-        out = out.unionByName(p.select(*cols))
-    return out
+        out = out.unionByName(p)
+    path = F.concat(F.array("root"), _nodes(F.col("inner")), F.array("node")) if with_paths else None
+    return out.select("root", "node", "distance", *([path.alias("path")] if with_paths else []))
 
 
 def downstream(edges: DataFrame, starts: DataFrame | None = None, **kw) -> DataFrame:

@@ -126,3 +126,57 @@ def test_chain_of_a_thousand_takes_about_ten_rounds(spark):
         graph._counted = counted
     assert got == {(f"c{s:04}", t): d for s in (0, 700) for t, d in bfs(pairs, f"c{s:04}").items()}
     assert len(rounds) <= 26  # two inputs, then at most two tables a round
+
+
+def recorded(run):
+    """What ``run`` materialises, and its result."""
+    seen, counted = [], graph._counted
+    graph._counted = lambda df: seen.append(df) or counted(df)
+    try:
+        return seen, run()
+    finally:
+        graph._counted = counted
+
+
+def test_known_pairs_go_before_paths_are_compared(spark):
+    e = edges_df(spark, [("a", "b"), ("b", "c"), ("a", "c"), ("c", "d")])
+    made, out = recorded(lambda: reachable(e, with_paths=True))
+    assert out.where("root = 'a' and node = 'd'").first()["path"] == ["a", "c", "d"]
+    steps = [df._jdf.queryExecution().executedPlan().toString() for df in made if "distance" in df.columns][1:]
+    assert steps
+    for plan in steps:  # the aggregate stands above the anti join, and sorts nothing itself
+        top = plan.split("== Initial Plan ==")[-1]
+        assert top.index("SortAggregate") < top.index("LeftAnti")
+
+
+def test_distances_alone_need_no_sorted_aggregate(spark):
+    made, _ = recorded(lambda: reachable(edges_df(spark, [("a", "b"), ("b", "c"), ("a", "c")])))
+    assert not [df for df in made if "SortAggregate" in df._jdf.queryExecution().executedPlan().toString()]
+
+
+def test_no_round_once_no_walk_is_long_enough(spark):
+    made, out = recorded(lambda: reachable(edges_df(spark, [("hub", f"t{i}") for i in range(5)])))
+    assert out.count() == 5
+    assert sum("distance" in df.columns for df in made) == 2  # the starts and one round
+
+
+def test_the_same_pairs_with_many_or_few_nodes_to_go_on_from(spark):
+    pairs = [(f"n{i // 3}", f"n{i}") for i in range(1, 60)] + [(f"n{i}", f"n{i + 1}") for i in range(0, 55, 5)]
+    rows = lambda: sorted((r["root"], r["node"], r["distance"], r["path"]) for r in reachable(edges_df(spark, pairs), with_paths=True).collect())
+    some, graph.FEW = graph.FEW, 0
+    try:
+        want = rows()
+    finally:
+        graph.FEW = some
+    assert rows() == want
+
+
+def test_paths_with_control_characters_in_names(spark):
+    odd = ["\0", "\1", "\2", "\1\1", "\1\2", "\0\1", "", "a\0", "a", "a\1b"]
+    pairs = [("root", m) for m in odd] + [(m, "end") for m in odd] + [("end", m + "x") for m in odd]
+    got = {r["node"]: r["path"] for r in reachable(edges_df(spark, pairs), spark.createDataFrame([("root",)], "table_name string"), with_paths=True).collect()}
+    assert got["end"] == ["root", "", "end"]
+    assert all(got[m + "x"] == ["root", "", "end", m + "x"] for m in odd if m + "x" not in odd)
+    for m in odd:
+        one = reachable(edges_df(spark, [("r", m), (m, "s"), ("s", "t")]), with_paths=True).where("root = 'r' and node = 't'").first()
+        assert one["path"] == ["r", m, "s", "t"]
