@@ -161,8 +161,12 @@ def downstream(edges: DataFrame, starts: DataFrame | None = None, **kw) -> DataF
     return r.select(F.col("root").alias("table_name"), F.col("node").alias("downstream_table"), "distance")
 
 
-def upstream(edges: DataFrame, starts: DataFrame | None = None, **kw) -> DataFrame:
-    """``(table_name, upstream_table, distance)``: all ancestors, excluding the start."""
+def upstream(edges: DataFrame, starts: DataFrame | None = None, down: DataFrame | None = None, **kw) -> DataFrame:
+    """``(table_name, upstream_table, distance)``: all ancestors, excluding the start.
+
+    ``down``: what ``downstream`` gave from every node; its pairs are then read from their other end, not walked again."""
+    if down is not None:
+        return down.select(F.col("downstream_table").alias("table_name"), F.col("table_name").alias("upstream_table"), "distance")
     r = reachable(edges, starts, "up", **kw)
     return r.select(F.col("root").alias("table_name"), F.col("node").alias("upstream_table"), "distance")
 

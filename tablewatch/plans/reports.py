@@ -109,13 +109,17 @@ def node_status(edges: DataFrame, results: DataFrame) -> DataFrame:
         "table_name", F.coalesce(F.col("status"), F.lit("not checked")).alias("status"))
 
 
-def table_drilldown(edges: DataFrame, results: DataFrame, tables: DataFrame) -> DataFrame:
-    """Per table of ``tables`` (column ``table_name``): number of upstream and downstream tables, latest status, alert flag."""
-    starts = tables.select("table_name")
-    up = upstream(edges, starts).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_upstream"))
-    down = downstream(edges, starts).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_downstream"))
+def table_drilldown(edges: DataFrame, results: DataFrame, tables: DataFrame | None = None) -> DataFrame:
+    """Per table of ``tables`` (column ``table_name``; default: every node of the graph): number of upstream and
+    downstream tables, latest status, alert flag."""
+    starts = nodes_of(edges) if tables is None else tables.select("table_name").distinct()
+    down = downstream(edges, starts)
+    # From every node, the pairs are the same either way.
+    up = upstream(edges, starts, down=down if tables is None else None)
+    n_up = up.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_upstream"))
+    n_down = down.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_downstream"))
     st = status_per_table(results)
-    j = starts.distinct().join(up, "table_name", "left").join(down, "table_name", "left").join(st, "table_name", "left")
+    j = starts.join(n_up, "table_name", "left").join(n_down, "table_name", "left").join(st, "table_name", "left")
     return j.select(
         "table_name",
         F.coalesce("n_upstream", F.lit(0)).cast("long").alias("n_upstream"),

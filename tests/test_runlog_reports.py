@@ -68,3 +68,21 @@ def test_digest_only_fails_and_none_without_fails(spark):
     assert "Generated: 2024-01-31T09:00:00" in body
     assert "Blast radius: none (failure contained to this table)" in d[1]["body"]
     assert failure_digest(r.where(F.col("status") != "fail"), radius, T0).count() == 0
+
+
+def test_drilldown_has_every_node_of_the_graph(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", "t2"), ("a", "t2"), ("t2", "d")], "source_table string, target_table string")
+    got = {tuple(x) for x in RP.table_drilldown(edges, results(spark)).collect()}
+    assert got == {("a", 0, 3, "not checked", False), ("b", 1, 2, "not checked", False), ("t2", 2, 1, "fail", True), ("d", 3, 0, "not checked", False)}
+    one = RP.table_drilldown(edges, results(spark), spark.createDataFrame([("t2",)], "table_name string"))
+    assert [tuple(x) for x in one.collect()] == [("t2", 2, 1, "fail", True)]
+
+
+def test_drilldown_query_reads_the_whole_table(spark, tmp_path):
+    from tablewatch.plans import registered
+
+    spark.range(1, 9).select(F.col("id").alias("p_partkey")).write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(11, 2, "{}", T0), (12, 40, "{}", T0)], "event_id long, user_id long, props string, ts timestamp_ntz").write.parquet(f"{tmp_path}/events.parquet")
+    got = {x["table_name"]: (x["n_upstream"], x["n_downstream"], x["status"]) for x in registered.q_table_drilldown(spark, str(tmp_path)).collect()}
+    assert set(got) == {f"tbl_{i}" for i in range(9)}
+    assert got["tbl_2"] == (1, 4, "fail") and got["tbl_0"] == (0, 8, "not checked") and got["tbl_8"] == (2, 0, "not checked")
