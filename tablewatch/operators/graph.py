@@ -12,9 +12,9 @@ The result is the same either way. Between the rounds a path is one text of its
 ends are columns already. The loop ends when a round reaches nothing new, so cycles terminate; a start node is
 never reported as its own descendant.
 
-Per round the driver reads two or three numbers. Everything else is distributed: the planner may broadcast a
-small jump table, the growing reached set is shuffled and hash-joined (its size never passes
-through the driver); skewed hubs in the joins are split by AQE's skew-join handling.
+Per round the driver reads a few numbers. Everything else is distributed. A side of a join is broadcast, and so passes
+through the driver, only while its rows have been measured as small (``SMALL``), whatever the planner takes their size for;
+two larger sides are shuffled and merged. Skewed hubs in the joins are split by AQE's skew-join handling.
 """
 
 from __future__ import annotations
@@ -45,13 +45,30 @@ def nodes_of(edges: DataFrame, src: str = "source_table", dst: str = "target_tab
 DOUBLING = 4
 #: Nodes that may be broadcast, about 10 MB.
 FEW = 100_000
+#: Bytes of rows that may be broadcast; the driver holds some three times as many while it builds their table.
+SMALL = 10 << 20
 
 
-def _walks(jump: DataFrame) -> int:
-    """Rows of ``jump`` joined with itself, before pairs met by several walks are merged."""
+def _merged(df: DataFrame, size: int) -> DataFrame:
+    """``df`` of ``size`` bytes as a side of a join, never broadcast if it is large. The planner takes a checkpoint for as
+    large as the files its rows were derived from, which can be a tenth of its size in memory."""
+    return df if size <= SMALL else df.hint("merge")
+
+
+def _joined(x: DataFrame, x_size: int, y: DataFrame, y_size: int, on: Column) -> DataFrame:
+    """Inner join of frames of so many bytes: the small side goes to the large one, two large ones are merged."""
+    if x_size > SMALL >= y_size:
+        return x.join(F.broadcast(y), on)
+    if y_size > SMALL >= x_size:
+        return F.broadcast(x).join(y, on)
+    return _merged(x, x_size).join(y, on)
+
+
+def _walks(jump: DataFrame, size: int) -> int:
+    """Rows of ``jump`` of ``size`` bytes joined with itself, before pairs met by several walks are merged."""
     into = jump.groupBy(F.col("_to").alias("node")).agg(F.count("*").cast("double").alias("i"))
     from_ = jump.groupBy(F.col("_from").alias("node")).agg(F.count("*").cast("double").alias("o"))
-    return int(into.join(from_, "node").agg(F.coalesce(F.sum(F.col("i") * F.col("o")), F.lit(0.0))).first()[0])
+    return int(into.join(_merged(from_, size), "node").agg(F.coalesce(F.sum(F.col("i") * F.col("o")), F.lit(0.0))).first()[0])
 
 
 def _step(node: Column) -> Column:
@@ -67,10 +84,10 @@ def _nodes(inner: Column) -> Column:
     return F.transform(F.slice(names, F.lit(1), F.size(names) - 1), back)
 
 
-def _doubled(jump: DataFrame, with_paths: bool) -> DataFrame:
-    """Pairs joined by a walk of twice the length, each with its least path."""
+def _doubled(jump: DataFrame, size: int, with_paths: bool) -> DataFrame:
+    """Pairs joined by a walk of twice the length of those in ``jump``, each with its least path."""
     y = jump.select(F.col("_from").alias("_mid"), F.col("_to").alias("_end"), *([F.col("_inner").alias("_rest")] if with_paths else []))
-    both = jump.join(y, jump["_to"] == y["_mid"])
+    both = jump.join(_merged(y, size), jump["_to"] == y["_mid"])
     if with_paths:
         # Dealt by the ends first: one sort of a bounded partition, not another one of all that a task has joined.
         walks = both.select("_from", F.col("_end").alias("_to"), F.concat("_inner", _step(F.col("_mid")), "_rest").alias("_inner"))
@@ -78,18 +95,20 @@ def _doubled(jump: DataFrame, with_paths: bool) -> DataFrame:
     return both.select("_from", F.col("_end").alias("_to")).distinct()
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """``df`` cut from its lineage, and its rows, observed while the checkpoint job runs: no extra job."""
+def _counted(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """``df`` cut from its lineage, its rows and their bytes, observed while the checkpoint job runs: no extra job."""
     obs = Observation(f"tw_round_{uuid.uuid4().hex}")
-    out = cut_lineage(df.observe(obs, F.count(F.lit(1)).alias("n")))
-    return out, obs.get["n"]
+    names = [F.octet_length(c).cast("long") for c, kind in df.dtypes if kind == "string"]
+    size = F.coalesce(F.sum(sum(names, F.lit(8 * (1 + len(df.columns) + len(names))))), F.lit(0))
+    out = cut_lineage(df.observe(obs, F.count(F.lit(1)).alias("n"), size.alias("size")))
+    return out, obs.get["n"], obs.get["size"]
 
 
-def _walk_table(jump: DataFrame) -> tuple[DataFrame, int, int]:
-    """``jump`` cut from its lineage, its rows, and about how many nodes its walks set out from."""
+def _walk_table(jump: DataFrame) -> tuple[DataFrame, int, int, int]:
+    """``jump`` cut from its lineage, its rows, their bytes, and about how many nodes its walks set out from."""
     obs = Observation(f"tw_walks_{uuid.uuid4().hex}")
-    out, n = _counted(jump.observe(obs, F.approx_count_distinct("_from").alias("n")))
-    return out, n, obs.get["n"]
+    out, n, size = _counted(jump.observe(obs, F.approx_count_distinct("_from").alias("n")))
+    return out, n, size, obs.get["n"]
 
 
 def reachable(
@@ -109,13 +128,14 @@ def reachable(
     Unknown start nodes simply reach nothing.
     """
     pairs = _edge_pairs(edges, direction, src, dst)
-    jump, n_edges, n_sources = _walk_table(pairs.withColumn("_inner", F.lit("")) if with_paths else pairs)
+    jump, n_edges, jump_size, n_sources = _walk_table(pairs.withColumn("_inner", F.lit("")) if with_paths else pairs)
     if starts is None:
         starts = nodes_of(edges, src, dst)
     seeds = starts.select(F.col("table_name").alias("root")).where(F.col("root").isNotNull()).distinct()
     first = seeds.select("root", F.col("root").alias("node"), F.lit(0).alias("distance"), *([F.lit("").alias("inner")] if with_paths else []))
-    seen, n_seen = _counted(first)
+    seen, n_seen, size = _counted(first)
     parts: list[DataFrame] = []
+    sizes = {0: size}  # bytes of the starts and of each part, by its least distance
     known = span = 1  # all pairs nearer than ``known`` are in ``seen``
     while True:
         # Longer walks from every reached pair find each new pair at its own distance or more: the least counts.
@@ -123,10 +143,10 @@ def reachable(
         if known > 1 and n_sources <= FEW:
             # Most nodes of a deep graph have no long walk before them: their pairs need no shuffle to find that out.
             near = near.join(F.broadcast(jump.select(F.col("_from").alias("node")).distinct()), "node", "left_semi")
-        step = near.join(jump, near["node"] == jump["_from"])
+        near_size = sum(size for least, size in sizes.items() if least >= known - span)
+        step = _joined(near, near_size, jump, jump_size, near["node"] == jump["_from"])
         further = (F.col("distance") + span).alias("distance")
-        # The reached set only grows: never broadcast it; a sort-merge join can spill.
-        known_pairs = seen.select("root", "node")
+        known_pairs = _merged(seen.select("root", "node"), sum(sizes.values()))  # a sort-merge join can spill
         if with_paths:
             # Known pairs go before the paths are compared; the aggregate then needs no shuffle and no sort of its own.
             middle = F.when(F.col("distance") > 0, _step(F.col("node"))).otherwise(F.lit(""))
@@ -136,15 +156,16 @@ def reachable(
         else:
             step = step.select("root", F.col("_to").alias("node"), further).groupBy("root", "node").agg(F.min("distance").alias("distance"))
             step = step.join(known_pairs, ["root", "node"], "left_anti")
-        step, n = _counted(step)
+        step, n, size = _counted(step)
         if n == 0:
             break
         parts.append(step)
+        sizes[known] = size
         seen = seen.unionByName(step)
         n_seen += n
         known += span
-        if span * 2 == known and _walks(jump) <= doubling * (n_edges + n_seen):
-            jump, n_walks, n_sources = _walk_table(_doubled(jump, with_paths))
+        if span * 2 == known and _walks(jump, jump_size) <= doubling * (n_edges + n_seen):
+            jump, n_walks, jump_size, n_sources = _walk_table(_doubled(jump, jump_size, with_paths))
             span *= 2
             if n_walks == 0:  # no walk of ``known`` edges, so nothing is that far
                 break

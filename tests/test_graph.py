@@ -1,7 +1,9 @@
 from collections import deque
+from datetime import datetime
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tablewatch.operators.edges import combine_edges, node_degrees, upsert_edges
 from tablewatch.operators import graph
@@ -180,3 +182,61 @@ def test_paths_with_control_characters_in_names(spark):
     for m in odd:
         one = reachable(edges_df(spark, [("r", m), (m, "s"), ("s", "t")]), with_paths=True).where("root = 'r' and node = 't'").first()
         assert one["path"] == ["r", m, "s", "t"]
+
+
+def joins(frames):
+    """The join lines of each plan that has any."""
+    plans = [df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1] for df in frames]
+    found = [[line for line in plan.splitlines() if "Join" in line] for plan in plans]
+    return [lines for lines in found if lines]
+
+
+def grid(spark, tmp_path):
+    """Edges from a few kB of files, all of three levels, and their pairs."""
+    spark.range(1, 400).write.parquet(f"{tmp_path}/ids")
+    i = F.col("id")
+    name = lambda c: F.concat(F.lit("table_"), c.cast("string"))
+    edges = spark.read.parquet(f"{tmp_path}/ids").select(name(F.floor(i / 20)).alias("source_table"), name(i).alias("target_table"))
+    pairs = [(f"table_{k // 20}", f"table_{k}") for k in range(1, 400)]
+    return edges, pairs
+
+
+def test_large_sides_of_a_round_are_never_broadcast(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(graph, "SMALL", 1000, raising=False)
+    monkeypatch.setattr(graph, "FEW", 0)
+    edges, pairs = grid(spark, tmp_path)
+    made, out = recorded(lambda: reachable(edges))
+    assert joins(made) and not [line for lines in joins(made) for line in lines if "Broadcast" in line]
+    assert {(r["root"], r["node"], r["distance"]) for r in out.collect()} == {(n, t, d) for n in {x for p in pairs for x in p} for t, d in bfs(pairs, n).items()}
+
+
+def test_few_starts_go_to_a_large_graph(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(graph, "SMALL", 1000, raising=False)
+    monkeypatch.setattr(graph, "FEW", 0)
+    edges, pairs = grid(spark, tmp_path)
+    starts = spark.createDataFrame([("table_0",), ("table_3",), ("nope",)], "table_name string")
+    made, out = recorded(lambda: reachable(edges, starts))
+    first = [line for line in joins(made)[0] if "Inner" in line]
+    assert len(first) == 1 and "BroadcastHashJoin" in first[0] and "BuildLeft" in first[0]
+    assert {(r["root"], r["node"], r["distance"]) for r in out.collect()} == {(n, t, d) for n in ("table_0", "table_3") for t, d in bfs(pairs, n).items()}
+
+
+def test_rounds_count_rows_and_their_bytes(spark):
+    names = ["a", "tabelle_größe", "表"]
+    _, n, size = graph._counted(spark.createDataFrame([(x, 1) for x in names], "node string, distance int"))
+    assert n == 3 and size == sum(len(x.encode()) + 8 * 4 for x in names)
+    assert graph._counted(spark.createDataFrame([], "node string"))[1:] == (0, 0)
+
+
+def test_drilldown_of_every_node_broadcasts_no_closure(spark, tmp_path, monkeypatch):
+    from tablewatch.plans.reports import table_drilldown
+
+    monkeypatch.setattr(graph, "SMALL", 1000, raising=False)
+    monkeypatch.setattr(graph, "FEW", 0)
+    edges, pairs = grid(spark, tmp_path)
+    results = spark.createDataFrame([("table_0", "freshness", "fail", datetime(2024, 1, 1))], "table_name string, check_type string, status string, checked_at timestamp_ntz")
+    made, out = recorded(lambda: table_drilldown(edges, results))
+    assert joins(made) and not [line for lines in joins(made) for line in lines if "Broadcast" in line]
+    got = {r["table_name"]: (r["n_upstream"], r["n_downstream"], r["status"]) for r in out.collect()}
+    down = {n: set(bfs(pairs, n)) for n in {x for p in pairs for x in p}}
+    assert got == {n: (sum(n in d for d in down.values()), len(down[n]), "fail" if n == "table_0" else "not checked") for n in down}
